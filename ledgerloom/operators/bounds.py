@@ -1,0 +1,17 @@
+"""Size checks for the small side of a join."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+MAX_BROADCAST_ROWS = 200_000
+
+
+def broadcast_if_bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Hint a broadcast only after counting that at most ``max_rows`` rows exist.
+
+    Counting stops at ``max_rows + 1`` rows. A larger table is returned without a hint and Spark
+    joins it by shuffle, splitting skewed partitions at run time.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
