@@ -68,12 +68,17 @@ def published_rows(current: DataFrame, history: DataFrame, period: int, mode: st
 def publish(current: DataFrame, table: str, period: int, mode: str = "ALL") -> DataFrame:
     """Publish into the table at ``table`` and return the stored slice.
 
-    The new rows are stored first and read back, so replacing the slice reads no part of the table
-    that is being replaced.
+    Each stage is stored and read back: several later branches start from it, and replacing the
+    slice must not read the part of the table that is being replaced.
     """
     spark = current.sparkSession
+
+    def stored(df: DataFrame, stage: str) -> DataFrame:
+        return stage_boundary(df, new_path(spark, stage), ["period_date"], {"period_date": period})
+
     history = spark.read.parquet(table).where(F.col("period_date") < period)
-    rows = published_rows(current, history, period, mode)
-    staged = stage_boundary(rows, new_path(spark, "publish"), ["period_date", "scenario_id"], {"period_date": period})
-    replace_slice(staged, table, "period_date", period, "scenario_id", scenario_ids(mode, "published"))
+    reported = stored(current, "reported")
+    cumulated = stored(year_to_date_rows(reported, history, period), "cumulated")
+    final = stored(finish(cumulated, history, period, mode), "final")
+    replace_slice(final, table, "period_date", period, "scenario_id", scenario_ids(mode, "published"))
     return select_scenarios(read_slice(spark, table, {"period_date": period}), mode, "published")

@@ -31,11 +31,11 @@ def report_rows(
     rated = wide.select(
         "period_date",
         "scenario_id",
-        F.when(updated, F.col(rate_month)).otherwise(F.col(rate_acc)).cast(MONEY).alias("rate_acc"),
-        F.col(rate_month).cast(MONEY).alias("rate_month"),
+        F.when(updated, F.col(rate_month)).otherwise(F.col(rate_acc)).cast(MONEY).alias("__rate_acc"),
+        F.col(rate_month).cast(MONEY).alias("__rate_month"),
         *[F.col(m).cast(MONEY).alias(m) for m in metrics],
     )
-    keys = ["period_date", "scenario_id", "rate_acc", "rate_month"]
+    keys = ["period_date", "scenario_id", "__rate_acc", "__rate_month"]
     rows = unpivot_tagged(rated, keys, metrics, mapping, on=("scenario_id", "metric"))
     return rows.select(
         "report_id",
@@ -47,8 +47,8 @@ def report_rows(
         "dim2_id",
         restage_scenario("scenario_id", "fact", "published").alias("scenario_id"),
         F.col("amount").cast(PUBLISHED).alias("amount"),
-        "rate_acc",
-        "rate_month",
+        F.col("__rate_acc").alias("rate_acc"),
+        F.col("__rate_month").alias("rate_month"),
         F.lit(LOCAL).alias("currency"),
         F.col("period_date").cast("int").alias("period_date"),
         "metric",

@@ -169,9 +169,7 @@ MAPPING_SQL = (
 
 def base_report_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Report rows of all periods, in the local currency."""
-    wide = wide_metrics(spark, sf_dir).withColumnsRenamed({"rate_month": "fx_month", "rate_acc": "fx_acc"})
-    wide = wide.withColumn("rate_month", F.col("fx_month"))
-    return report_rows(wide, mapping(spark), REPORT_METRICS, "fx_acc", "fx_month")
+    return report_rows(wide_metrics(spark, sf_dir), mapping(spark), REPORT_METRICS, "rate_acc", "rate_month")
 
 
 REPORT_ROWS_SQL = f"""long AS (

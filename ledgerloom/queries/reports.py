@@ -1 +1,412 @@
-"""placeholder"""
+"""Dimensions, facts, formulas, costs, report rows and the publication."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ledgerloom.functions.calendar import year_of_month
+from ledgerloom.functions.predicates import any_of
+from ledgerloom.functions.scenarios import restage_scenario
+from ledgerloom.functions.types import PUBLISHED, SERVICE_MONEY
+from ledgerloom.operators.reshape import pivot_sum
+from ledgerloom.plans.costs import cost_block, cost_columns, scenario_spine, with_fallback
+from ledgerloom.plans.facts import FACT_KEY, build_fact, label_rows, union_masters
+from ledgerloom.plans.formulas import Formula, apply_formulas, difference_to_reported, moved_to_reported, ratio, total
+from ledgerloom.plans.keys import extend_dimension, surrogate_key_delta
+from ledgerloom.plans.periods import month_from_fx_cumulative
+from ledgerloom.plans.publish import PUBLISHED_COLUMNS, publish
+from ledgerloom.plans.reports import attach_dimensions, metric_dimensions
+from ledgerloom.queries.base import (
+    FACT_ID_SQL,
+    LABELS,
+    METRICS,
+    MONEY_SQL,
+    RATES_SQL,
+    REPORT_CTES,
+    RESTAGE_SQL,
+    WIDE_CTES,
+    base_report_rows,
+    kpi_fact,
+    money,
+    rates,
+    scenario_name,
+    sql_reporting_amount,
+    table,
+    wide_metrics,
+)
+from ledgerloom.queries.periods import BLOCK_CTES, PERIOD, base_block
+from ledgerloom.queries.registry import query
+from ledgerloom.session import new_path
+from ledgerloom.sources.sinks import overwrite_partitions
+from ledgerloom.sources.tables import literal_table
+
+# ------------------------------------------------------------------------------- masters and keys
+
+_PROCESSES = {
+    "ECONOMY": "Costes Fijos",
+    "SMALL": "Cuenta de resultados",
+    "PROMO": "Indicadores operativos",
+    "LARGE": "Resultados generados",
+}
+_PROCESS_SQL = "CASE p_type " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in _PROCESSES.items()) + " ELSE p_type END"
+
+
+def _masters(spark, sf_dir):
+    lines, orders, parts = (table(spark, sf_dir, n) for n in ("lineitem", "orders", "part"))
+    joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey).join(parts, lines.l_partkey == parts.p_partkey)
+    process = F.col("p_type")
+    for kind, name in _PROCESSES.items():
+        process = F.when(F.col("p_type") == kind, name).otherwise(process)
+    return joined.select(
+        scenario_name().alias("scenario"),
+        (F.year("o_orderdate") * 100 + F.month("o_orderdate")).cast("string").alias("period"),
+        F.translate("p_brand", "#", ",").alias("business_unit"),
+        F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("company"),
+        F.col("l_linestatus").alias("country"),
+        F.when(F.col("p_size") >= 8, F.col("p_name")).alias("product"),
+        F.col("l_returnflag").alias("origin"),
+        F.col("l_linenumber").cast("string").alias("channel"),
+        process.alias("process"),
+        F.col("p_type").alias("kpi_name"),
+        F.concat(F.lit("K"), F.col("p_size").cast("string")).alias("kpi_code"),
+        money(F.col("l_extendedprice")).alias("value"),
+        F.col("o_orderpriority").alias("measure_unit"),
+        F.lit("mensual").alias("period_type"),
+    )
+
+
+def _split_masters(spark, sf_dir):
+    masters = _masters(spark, sf_dir)
+    scenario = F.col("scenario")
+    return (
+        masters.where(scenario == "RE"),
+        masters.where(scenario.isin("PA", "UPA")),
+        masters.where(scenario == "EST").drop("period_type"),
+    )
+
+
+_MASTERS_SQL = f"""masters AS (SELECT *, business_unit || '_' || kpi_name || coalesce(product, '') AS kpi_label FROM (
+    SELECT CASE WHEN o_orderstatus = 'F' THEN 'RE' WHEN o_orderstatus = 'O' THEN 'PA' WHEN l_linestatus = 'F' THEN 'UPA' ELSE 'EST' END AS scenario,
+      CAST(year(o_orderdate) * 100 + month(o_orderdate) AS INTEGER) AS period, replace(p_brand, '#', '.') AS business_unit,
+      'S' || l_suppkey AS company, l_linestatus AS country, CASE WHEN p_size >= 8 THEN p_name END AS product, l_returnflag AS origin,
+      CAST(l_linenumber AS VARCHAR) AS channel, {_PROCESS_SQL} AS process, p_type AS kpi_name, 'K' || p_size AS kpi_code,
+      {MONEY_SQL.format("l_extendedprice")} AS value, o_orderpriority AS measure_unit,
+      CASE WHEN o_orderstatus = 'P' AND l_linestatus <> 'F' THEN 'undefined' ELSE 'mensual' END AS period_type
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey) AS m)"""
+# The dimension starts with the labels of the first real month.
+_FIRST_MONTH = 199501
+_DIMENSION_SQL = f"""old AS (SELECT kpi_label, row_number() OVER (ORDER BY kpi_label) AS kpi_id FROM
+      (SELECT DISTINCT kpi_label FROM masters WHERE scenario = 'RE' AND period = {_FIRST_MONTH} AND kpi_label IS NOT NULL) AS f),
+    fresh AS (SELECT DISTINCT kpi_label FROM masters WHERE kpi_label IS NOT NULL AND trim(kpi_label) NOT IN (SELECT trim(kpi_label) FROM old)),
+    delta AS (SELECT kpi_label, row_number() OVER (ORDER BY kpi_label) + (SELECT coalesce(max(kpi_id), 0) FROM old) AS kpi_id FROM fresh),
+    dimension AS (SELECT * FROM old UNION ALL SELECT * FROM delta)"""
+
+
+def _dimension_inputs(spark, sf_dir):
+    labels = label_rows(_masters(spark, sf_dir)).select("scenario", "period", "kpi_label")
+    first = labels.where((F.col("scenario") == "RE") & (F.col("period") == str(_FIRST_MONTH)))
+    empty = literal_table(spark, "kpi_id int, kpi_label string", [])
+    old = extend_dimension(first.select("kpi_label"), empty, "kpi_id", "kpi_label")
+    return labels.select("kpi_label"), old
+
+
+@query(
+    "surrogate_delta",
+    f"WITH {_MASTERS_SQL}, {_DIMENSION_SQL} SELECT kpi_label, CAST(kpi_id AS INTEGER) AS kpi_id FROM delta",
+)
+def surrogate_delta(spark, sf_dir):
+    labels, old = _dimension_inputs(spark, sf_dir)
+    return surrogate_key_delta(labels.distinct(), old, "kpi_id", "kpi_label")
+
+
+@query(
+    "kpi_dim_build",
+    f"WITH {_MASTERS_SQL}, {_DIMENSION_SQL} SELECT kpi_label, CAST(kpi_id AS INTEGER) AS kpi_id FROM dimension",
+)
+def kpi_dim_build(spark, sf_dir):
+    labels, old = _dimension_inputs(spark, sf_dir)
+    return extend_dimension(labels, old, "kpi_id", "kpi_label")
+
+
+@query(
+    "kpi_fact_build",
+    f"""WITH {_MASTERS_SQL}, {_DIMENSION_SQL}, typed AS (SELECT 1 AS record_id, period, {FACT_ID_SQL.format("scenario")} AS scenario_id, product, origin,
+      CASE process WHEN 'Costes Fijos' THEN 1 WHEN 'Cuenta de resultados' THEN 3 WHEN 'Indicadores operativos' THEN 4
+        WHEN 'Resultados generados' THEN 5 ELSE 6 END AS process_id, CAST(kpi_id AS INTEGER) AS kpi_id, country, channel, kpi_code, measure_unit,
+      period_type, company, business_unit, CAST(CAST(value AS DECIMAL(16,2)) AS DECIMAL(24,10)) AS value, 0 AS computed
+      FROM masters LEFT JOIN dimension USING (kpi_label)),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY {", ".join(FACT_KEY)} ORDER BY product NULLS FIRST, origin, channel, kpi_code, period_type, company) AS rn FROM typed)
+    SELECT * EXCLUDE (rn) FROM ranked WHERE rn = 1""",
+)
+def kpi_fact_build(spark, sf_dir):
+    masters = union_masters("ALL", *_split_masters(spark, sf_dir))
+    labels, old = _dimension_inputs(spark, sf_dir)
+    return build_fact(masters, extend_dimension(labels, old, "kpi_id", "kpi_label"))
+
+
+# --------------------------------------------------------------------------------------- formulas
+
+FORMULAS: list[Formula] = [
+    total("t_basic", "m_economy", "m_small", "m_standard"),
+    total("t_premium", "m_promo", "m_large", "m_medium", "m_luxury"),
+    total("t_all", "t_basic", "t_premium"),
+    total("t_gap", "t_premium", minus=["t_basic"]),
+    ratio("u_basic", "t_basic", "t_all"),
+    ratio("u_luxury", "t_all", "m_luxury"),
+    total("u_luxury", "u_luxury", redefine=True),
+    total("c_fixed", "m_economy", "m_small"),
+    total("c_var", "m_standard", "m_medium"),
+    total("c_all", "c_fixed", "c_var"),
+    total("c_net", "t_all", minus=["c_all"]),
+    total("alias_net", "c_net"),
+    ratio("u_cost", "c_all", "t_all"),
+    total("r_main", "t_all", minus=["c_fixed", "m_promo"]),
+    total("r_prev", "r_main", "m_luxury"),
+    difference_to_reported("r_adjust", "r_prev", "m_large", 3),
+    moved_to_reported("r_result", "r_prev", "m_large", "r_adjust"),
+    difference_to_reported("b_adjust", "r_prev", "m_luxury", 2),
+    moved_to_reported("b_result", "r_prev", "m_luxury", "b_adjust"),
+    total("r_net_adj", "r_result", "m_medium", minus=["m_small"]),
+    total("r_net", "r_net_adj", "t_gap"),
+    total("t_gap", "t_gap", "c_fixed", redefine=True),
+    total("x_after", "t_gap", "r_net"),
+    ratio("u_after", "x_after", "c_all"),
+    total("m_luxury", "m_luxury", "m_economy", redefine=True),
+    total("x_last", "m_luxury", "x_after", minus=["r_net"]),
+]
+_RATIOS = [f.name for f in FORMULAS if f.kind == "ratio"]
+
+
+def _formula_sql(formula: Formula) -> str:
+    def nz(name):
+        return f"coalesce({name}, 0)"
+
+    if formula.kind == "sum":
+        expression = " + ".join(nz(n) for n in formula.operands) + "".join(f" - {nz(n)}" for n in formula.minus)
+        return f"CAST({expression} AS DECIMAL(24,10))"
+    a, b = formula.operands[:2]
+    if formula.kind == "ratio":
+        return f"CAST({nz(a)} AS DOUBLE) / nullif(CAST({nz(b)} AS DOUBLE), 0)"
+    if formula.kind == "adjustment":
+        return f"CAST(CASE WHEN scenario_id = {formula.scenario_id} THEN {a} - {b} ELSE 0 END AS DECIMAL(24,10))"
+    return f"CAST(CASE WHEN {b} IS NULL THEN {a} ELSE {a} - {formula.operands[2]} END AS DECIMAL(24,10))"
+
+
+def _formula_steps() -> str:
+    """The definitions one after the other, each in a step of its own."""
+    known, steps = set(METRICS), []
+    for number, formula in enumerate(FORMULAS):
+        source = "wide" if number == 0 else f"f{number - 1}"
+        expression = f"{_formula_sql(formula)} AS {formula.name}"
+        body = f"SELECT * REPLACE ({expression}) FROM" if formula.name in known else f"SELECT *, {expression} FROM"
+        known.add(formula.name)
+        steps.append(f"f{number} AS ({body} {source})")
+    return ", ".join(steps)
+
+
+_FORMULA_OUTPUT = [*METRICS, *dict.fromkeys(f.name for f in FORMULAS if f.name not in METRICS)]
+
+
+@query(
+    "formula_tree",
+    f"WITH {WIDE_CTES}, {_formula_steps()} SELECT period_date, scenario_id, "
+    + ", ".join(f"round({n}, 6) AS {n}" if n in _RATIOS and n != "u_luxury" else (f"CAST({n} AS DOUBLE) AS {n}" if n == "u_luxury" else n) for n in _FORMULA_OUTPUT)
+    + f" FROM f{len(FORMULAS) - 1}",
+)
+def formula_tree(spark, sf_dir):
+    rows = apply_formulas(wide_metrics(spark, sf_dir).drop("rate_month", "rate_acc"), FORMULAS)
+    published = [F.round(F.col(n).cast("double"), 6).alias(n) if n in _RATIOS else F.col(n) for n in _FORMULA_OUTPUT]
+    return rows.select("period_date", "scenario_id", *published)
+
+
+# ------------------------------------------------------------------------------------------ costs
+
+_UNITS = [2049, 2050]
+_OPEN_KPIS = ["imp_economy", "imp_small"]
+_CLOSED_KPIS = ["imp_standard", "imp_medium", "imp_promo"]
+_COST_LABELS = [f"{u}_{k}" for u in _UNITS for k in [*_OPEN_KPIS, *_CLOSED_KPIS, "imp_luxury"]]
+_FLIPPED = {2: ["2049_imp_economy", "2049_imp_promo", "s_urgent"]}
+_SERVICES = {"1-URGENT": "s_urgent", "2-HIGH": "s_high"}
+_COST_METRICS = [*_COST_LABELS, *_SERVICES.values()]
+
+
+def _cost_source(spark, sf_dir):
+    lines, orders, parts = (table(spark, sf_dir, n) for n in ("lineitem", "orders", "part"))
+    orders = orders.where(F.col("o_orderstatus").isin("F", "O"))
+    joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey).join(parts, lines.l_partkey == parts.p_partkey)
+    return joined.select(
+        (F.year("o_orderdate") * 100 + F.month("o_orderdate")).cast("int").alias("period"),
+        F.concat(F.lit("imp_"), F.lower("p_type")).alias("kpi"),
+        F.when(F.col("o_orderstatus") == "F", 1).otherwise(2).alias("scenario_id"),
+        F.when(F.col("p_size") <= 25, 2049).otherwise(2050).alias("unit_id"),
+        F.col("l_returnflag").alias("report_unit"),
+        F.when(F.col("l_linestatus") == "F", 1).otherwise(2).alias("data_type"),
+        money(F.col("l_extendedprice")).alias("amount"),
+    )
+
+
+_COST_SOURCE_SQL = f"""costs AS (SELECT CAST(year(o_orderdate) * 100 + month(o_orderdate) AS INTEGER) AS period, 'imp_' || lower(p_type) AS kpi,
+      CASE o_orderstatus WHEN 'F' THEN 1 ELSE 2 END AS scenario_id, CASE WHEN p_size <= 25 THEN 2049 ELSE 2050 END AS unit_id, l_returnflag AS report_unit,
+      CASE l_linestatus WHEN 'F' THEN 1 ELSE 2 END AS data_type, {MONEY_SQL.format("l_extendedprice")} AS amount
+      FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey WHERE o_orderstatus IN ('F', 'O'))"""
+_RESULT_SQL = """fx AS (SELECT DISTINCT period, scenario_id, rate_month AS rate FROM costs JOIN rates ON period // 100 = year),
+    monthly AS (SELECT period, scenario_id, sum(amount) AS amount FROM costs WHERE kpi = 'imp_large' AND unit_id = 2049 AND data_type = 1
+      AND period % 100 <> 5 GROUP BY 1, 2),
+    valued AS (SELECT period, scenario_id, CAST(CAST(sum(amount) OVER (PARTITION BY period // 100, scenario_id ORDER BY period) AS DECIMAL(20,2))
+      * CAST(rate AS DECIMAL(10,4)) AS DECIMAL(24,10)) AS value FROM monthly JOIN fx USING (period, scenario_id)),
+    results AS (SELECT c.period, c.scenario_id, CAST(CASE WHEN c.period % 100 = 1 THEN c.value ELSE c.value - p.value END AS DECIMAL(24,10)) AS result
+      FROM valued AS c LEFT JOIN valued AS p ON p.scenario_id = c.scenario_id AND p.period = c.period - 1
+      WHERE c.period % 100 = 1 OR p.value IS NOT NULL)"""
+_WIDE_COSTS_SQL = (
+    "wide_costs AS (SELECT period, scenario_id, "
+    + ", ".join(
+        f"CAST(sum(amount) FILTER (WHERE unit_id || '_' || kpi = '{label}') AS DECIMAL(24,10)) AS \"{label}\"" for label in _COST_LABELS
+    )
+    + " FROM costs WHERE data_type = 1 AND ((kpi IN ('imp_economy', 'imp_small') AND unit_id IN (2049, 2050)) OR "
+    + "(kpi IN ('imp_standard', 'imp_medium', 'imp_promo') AND unit_id IN (2049, 2050) AND (report_unit IN ('A', 'R') OR (scenario_id = 2 AND report_unit = 'N')))) "
+    + "GROUP BY 1, 2), spine AS (SELECT DISTINCT period, s AS scenario_id FROM costs, (VALUES (1), (2)) AS v(s)), "
+    + "dense AS (SELECT * FROM spine LEFT JOIN wide_costs USING (period, scenario_id))"
+)
+_SERVICES_SQL = (
+    "services AS (SELECT CAST(year(o_orderdate) * 100 + month(o_orderdate) AS INTEGER) AS period, CASE o_orderstatus WHEN 'F' THEN 1 ELSE 2 END AS scenario_id, "
+    + ", ".join(
+        f"sum(CAST(o_totalprice AS DECIMAL(38,2))) FILTER (WHERE o_orderpriority = '{label}') AS {code}" for label, code in _SERVICES.items()
+    )
+    + " FROM orders WHERE o_orderstatus IN ('F', 'O') GROUP BY 1, 2)"
+)
+
+
+def _cost_metric_sql(metric: str) -> str:
+    sign = " * CASE WHEN scenario_id = 2 THEN -1 ELSE 1 END" if metric in _FLIPPED[2] else ""
+    return f'CAST(CAST("{metric}" AS DECIMAL(20,2)) * CAST(round_even(rate, 2) AS DECIMAL(8,2)){sign} AS DECIMAL(24,10)) AS "{metric}"'
+
+
+def _results(spark, sf_dir):
+    costs = _cost_source(spark, sf_dir)
+    known = costs.select("period", "scenario_id").distinct().withColumn("year", year_of_month(F.col("period")))
+    fx = known.join(rates(spark), "year").select("period", "scenario_id", F.col("rate_month").alias("rate"))
+    wanted = any_of([{"kpi": "imp_large", "unit_id": 2049, "data_type": 1}])
+    large = costs.where(wanted & (F.col("period") % 100 != 5))
+    months = month_from_fx_cumulative(large, fx, ["scenario_id"], "period", "amount", "rate")
+    return months.withColumnRenamed("amount", "result"), fx
+
+
+@query(
+    "fallback_rows",
+    f"""WITH {_COST_SOURCE_SQL}, {RATES_SQL}, {_RESULT_SQL}, spine AS (SELECT DISTINCT period, s AS scenario_id FROM costs, (VALUES (1), (2)) AS v(s))
+    SELECT period, scenario_id, result FROM spine LEFT JOIN results USING (period, scenario_id)""",
+)
+def fallback_rows(spark, sf_dir):
+    """Months whose predecessor is missing have no result and get a row with null."""
+    results, _ = _results(spark, sf_dir)
+    periods = _cost_source(spark, sf_dir).select("period").distinct()
+    return with_fallback(scenario_spine(periods, [1, 2]), results, "result")
+
+
+@query(
+    "cost_block",
+    f"""WITH {_COST_SOURCE_SQL}, {RATES_SQL}, {_RESULT_SQL}, {_WIDE_COSTS_SQL}, {_SERVICES_SQL},
+    joined AS (SELECT dense.*, results.result FROM dense FULL OUTER JOIN results ON dense.period = results.period AND dense.scenario_id = results.scenario_id)
+    SELECT period, CASE scenario_id WHEN 1 THEN 3 ELSE 2 END AS scenario_id, result, {", ".join(_cost_metric_sql(m) for m in _COST_METRICS)}
+    FROM joined LEFT JOIN services USING (period, scenario_id) JOIN fx USING (period, scenario_id)""",
+)
+def cost_block_query(spark, sf_dir):
+    results, fx = _results(spark, sf_dir)
+    costs = _cost_source(spark, sf_dir)
+    open_kpis = {"kpi": _OPEN_KPIS, "unit_id": _UNITS}
+    closed = {"kpi": _CLOSED_KPIS, "unit_id": _UNITS, "report_unit": ["A", "R"]}
+    budget_total = {"kpi": _CLOSED_KPIS, "unit_id": _UNITS, "scenario_id": 2, "report_unit": "N"}
+    wanted = costs.where(any_of([open_kpis, closed, budget_total]) & (F.col("data_type") == 1))
+    spine = scenario_spine(costs.select("period").distinct(), [1, 2])
+    orders = table(spark, sf_dir, "orders").where(F.col("o_orderstatus").isin("F", "O"))
+    priced = orders.select(
+        (F.year("o_orderdate") * 100 + F.month("o_orderdate")).cast("int").alias("period"),
+        F.when(F.col("o_orderstatus") == "F", 1).otherwise(2).alias("scenario_id"),
+        "o_orderpriority",
+        F.col("o_totalprice").cast(SERVICE_MONEY).alias("value"),
+    )
+    services = pivot_sum(priced, ["period", "scenario_id"], "o_orderpriority", "value", list(_SERVICES), SERVICE_MONEY)
+    services = services.withColumnsRenamed(_SERVICES)
+    return cost_block(cost_columns(wanted, spine, _COST_LABELS), results, services, fx, _COST_METRICS, _FLIPPED)
+
+
+# ---------------------------------------------------------------------------------------- reports
+
+
+@query(
+    "report_mapping",
+    f"""WITH {REPORT_CTES} SELECT report_id, concept_id, business_id, company_id, data_type_id, dim1_id, dim2_id, scenario_id, amount, rate_acc,
+    rate_month, currency, period_date, metric FROM report_rows""",
+)
+def report_mapping(spark, sf_dir):
+    return base_report_rows(spark, sf_dir)
+
+
+@query(
+    "attach_dims",
+    f"""WITH {REPORT_CTES}, dims AS (SELECT DISTINCT {RESTAGE_SQL.format(FACT_ID_SQL.format("scenario"))} AS scenario_id,
+      CASE name {" ".join(f"WHEN '{k}' THEN '{v}'" for k, v in LABELS.items())} END AS metric, unit FROM kpi_fact)
+    SELECT DISTINCT report_id, concept_id, scenario_id, dim1_id, dim2_id, amount, currency, period_date, unit, 1657 AS company_id, 'MX' AS country
+    FROM report_rows LEFT JOIN dims USING (scenario_id, metric)""",
+)
+def attach_dims(spark, sf_dir):
+    labels = literal_table(spark, "label string, metric string", list(LABELS.items()))
+    facts = kpi_fact(spark, sf_dir).select(
+        F.col("name").alias("label"),
+        restage_scenario(
+            F.when(F.col("scenario") == "RE", 3).when(F.col("scenario") == "PA", 2).when(F.col("scenario") == "UPA", 4).otherwise(1),
+            "fact", "published",
+        ).alias("scenario_id"),
+        "unit",
+    )
+    rows = base_report_rows(spark, sf_dir).select(
+        "report_id", "concept_id", "scenario_id", "dim1_id", "dim2_id", "amount", "currency", "period_date", "metric"
+    )
+    return attach_dimensions(rows, metric_dimensions(labels, facts, ["unit"]), 1657, "MX")
+
+
+# ------------------------------------------------------------------------------------ publication
+
+_KEYS = "report_id, concept_id, business_id, dim1_id, dim2_id"
+_YEAR = PERIOD // 10000
+
+
+def _publish_sql() -> str:
+    series_keys = f"scenario_id, {_KEYS}, currency"
+    return f"""WITH {BLOCK_CTES},
+    hist AS (SELECT {_KEYS}, scenario_id, period_date, data_type_id, currency, CAST(amount AS DECIMAL(24,3)) AS amount FROM block WHERE period_date < {PERIOD}),
+    current_rows AS (SELECT {_KEYS}, scenario_id, period_date, currency, amount, rate_acc, rate_month FROM report_rows WHERE period_date = {PERIOD}),
+    single AS (SELECT {_KEYS}, scenario_id, period_date, currency, amount, CAST(NULL AS DECIMAL(24,10)) AS rate_acc, CAST(NULL AS DECIMAL(24,10)) AS rate_month
+      FROM hist WHERE data_type_id = 2 AND currency = 'Pesos' AND period_date >= {_YEAR * 10000 + 101}),
+    months AS (SELECT * FROM current_rows WHERE scenario_id <> 4 UNION ALL SELECT * FROM single WHERE scenario_id <> 4
+      UNION ALL SELECT * REPLACE (4 AS scenario_id) FROM single WHERE scenario_id = 1
+      UNION ALL SELECT * REPLACE (4 AS scenario_id) FROM current_rows WHERE scenario_id = 1),
+    totals AS (SELECT *, CAST(sum(amount) OVER (PARTITION BY {series_keys} ORDER BY period_date) AS DECIMAL(24,3)) AS total FROM months),
+    now_rows AS (SELECT {_KEYS}, scenario_id, period_date, currency, rate_acc, rate_month, 2 AS data_type_id, amount FROM totals WHERE period_date = {PERIOD}
+      UNION ALL SELECT {_KEYS}, scenario_id, period_date, currency, rate_acc, rate_month, 1, total FROM totals WHERE period_date = {PERIOD}),
+    now_merged AS (SELECT DISTINCT * FROM (SELECT {_KEYS}, scenario_id, period_date, data_type_id, rate_acc, rate_month, 'Pesos' AS currency, CAST(amount AS DECIMAL(24,10)) AS amount FROM now_rows
+      UNION ALL SELECT {_KEYS}, scenario_id, period_date, data_type_id, rate_acc, rate_month, 'Euros', {sql_reporting_amount("amount", "rate_acc")} FROM now_rows WHERE data_type_id = 1) AS u),
+    now_block AS (SELECT {_KEYS}, scenario_id, period_date, data_type_id, currency, amount FROM now_merged WHERE currency = 'Pesos' OR concept_id IS NOT NULL),
+    euros AS (SELECT {series_keys}, period_date, amount FROM hist WHERE data_type_id = 1 AND currency = 'Euros' AND scenario_id <> 4 AND period_date >= {_YEAR * 10000 + 101}
+      UNION ALL SELECT 4, {_KEYS}, currency, period_date, amount FROM hist WHERE data_type_id = 1 AND currency = 'Euros' AND scenario_id = 1 AND period_date >= {_YEAR * 10000 + 101}
+      UNION ALL SELECT {series_keys}, period_date, amount FROM now_block WHERE data_type_id = 1 AND currency = 'Euros'),
+    per_date AS (SELECT {series_keys}, period_date, CAST(sum(amount) AS DECIMAL(24,3)) AS amount FROM euros GROUP BY ALL),
+    lagged AS (SELECT *, amount - lag(amount, 1, 0) OVER (PARTITION BY {series_keys} ORDER BY period_date) AS month_amount FROM per_date),
+    merged_rows AS (SELECT {_KEYS}, scenario_id, period_date, data_type_id, currency, CAST(amount AS DECIMAL(24,3)) AS amount FROM now_block
+      UNION ALL SELECT {_KEYS}, scenario_id, period_date, 2, currency, CAST(month_amount AS DECIMAL(24,3)) FROM lagged WHERE period_date = {PERIOD}),
+    rewritten AS (SELECT * FROM merged_rows WHERE data_type_id = 2 OR concept_id <> 1
+      UNION ALL SELECT * REPLACE (1 AS data_type_id) FROM merged_rows WHERE data_type_id = 2 AND concept_id = 1),
+    passed AS (SELECT * FROM rewritten WHERE currency = 'Pesos' OR concept_id NOT IN (1, 2, 3, 4, 28)
+      UNION ALL SELECT * REPLACE ('Euros' AS currency) FROM rewritten WHERE currency = 'Pesos' AND concept_id IN (1, 2, 3, 4, 28))
+    SELECT {_KEYS}, CAST(NULL AS INTEGER) AS company_id, scenario_id, period_date, data_type_id, currency, amount FROM passed"""
+
+
+@query("monthly_publish", _publish_sql())
+def monthly_publish(spark, sf_dir):
+    """The published table up to the month before, then the publication of the month."""
+    path = new_path(spark, "published")
+    block = base_block(spark, sf_dir).where(F.col("period_date") < PERIOD)
+    stored = block.select(*[F.col(c).cast(PUBLISHED) if c == "amount" else F.col(c) for c in PUBLISHED_COLUMNS])
+    overwrite_partitions(stored, path, ["period_date", "scenario_id"])
+    current = base_report_rows(spark, sf_dir).where(F.col("period_date") == PERIOD).drop("metric")
+    return publish(current, path, PERIOD, "ALL").select(*PUBLISHED_COLUMNS)

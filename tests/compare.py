@@ -79,7 +79,7 @@ def main(sf_dir: str, names: list[str]) -> int:
             else:
                 problem, rows = None, f" rows only: {df.count()}"
         except Exception as error:  # noqa: BLE001
-            problem, rows = f"{type(error).__name__}: {str(error)[:1500]}", ""
+            problem, rows = f"{type(error).__name__}: {str(error).splitlines()[0][:500]}", ""
         bad += problem is not None
         print(f"{'FAIL' if problem else 'ok'} {name} {time.time() - start:.2f}s{rows} {problem or ''}", flush=True)
     print(f"{bad} failures")
