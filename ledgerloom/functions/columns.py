@@ -29,7 +29,8 @@ def ensure_columns(df: DataFrame, names: Iterable[str], default=None, dtype: Dat
 
 def all_nullable(df: DataFrame) -> DataFrame:
     """Same rows with every top-level column nullable, without leaving the plan."""
-    return df.select(*[F.when(F.lit(True), F.col(f"`{c}`")).alias(c) for c in df.columns])
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    return df.select(*[F.when(c.isNotNull(), c).alias(n) for c, n in zip(columns, df.columns, strict=True)])
 
 
 def dictionary_projection(
