@@ -51,8 +51,8 @@ def composite_label(unit: str | Column, name: str | Column, product: str | Colum
 
 
 def clean_unit(column: str | Column) -> Column:
-    """Decimal comma to point inside a business-unit text."""
-    return F.regexp_replace(_col(column), ",", ".")
+    """Decimal comma to point inside a business-unit text; a single character needs no pattern."""
+    return F.translate(_col(column), ",", ".")
 
 
 def strip_pattern(column: str | Column, pattern: str) -> Column:

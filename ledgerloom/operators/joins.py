@@ -62,6 +62,7 @@ def spine_join(spine: DataFrame, df: DataFrame, keys: Mapping[str, str]) -> Data
 
 def join_keys_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi join in which two null keys agree; the left keys are kept."""
-    renamed = right.select(*[F.col(k).alias(f"__r_{k}") if k in keys else F.col(k) for k in right.columns])
-    condition = reduce(and_, [left[k].eqNullSafe(renamed[f"__r_{k}"]) for k in keys])
-    return left.join(renamed, condition, how).drop(*[f"__r_{k}" for k in keys])
+    names = {k: f"__r_{k}" for k in keys}
+    renamed = right.withColumnsRenamed(names)
+    condition = reduce(and_, [left[k].eqNullSafe(renamed[name]) for k, name in names.items()])
+    return left.join(renamed, condition, how).drop(*names.values())

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerloom.operators.bounds import broadcast_if_bounded
 from ledgerloom.operators.joins import join_keys_null_safe
 from ledgerloom.session import cut_lineage
 
@@ -47,7 +48,7 @@ def number_rows(
     if partition_by:
         # Groups are contiguous in the global order, so a group's first rank is its offset.
         first = ranked.groupBy(*partition_by).agg((F.min("__rank") - 1).alias("__first"))
-        ranked = join_keys_null_safe(ranked, first, partition_by)
+        ranked = join_keys_null_safe(ranked, broadcast_if_bounded(first), partition_by)
         ranked = ranked.withColumn("__rank", F.col("__rank") - F.col("__first"))
     base = F.lit(start) if isinstance(start, int) else start
     return ranked.select(*df.columns, (F.col("__rank") + base).cast(dtype).alias(out))

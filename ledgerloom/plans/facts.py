@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.scalars import clean_unit, code_of, composite_label
 from ledgerloom.functions.scenarios import RUN_MODES, fact_scenario_id
 from ledgerloom.functions.types import MONEY, SOURCE_MONEY
+from ledgerloom.operators.bounds import broadcast_if_bounded
 from ledgerloom.operators.dedup import dedup_subset
 from ledgerloom.operators.joins import computed_key_join
 
@@ -41,10 +44,15 @@ def union_masters(mode: str, real: DataFrame, budget: DataFrame, estimate: DataF
     return real.select(*MASTER_COLUMNS).unionByName(budget.select(*MASTER_COLUMNS)).unionByName(estimate)
 
 
-def label_rows(masters: DataFrame) -> DataFrame:
-    """Clean business units and the composite KPI label."""
-    cleaned = masters.withColumn("business_unit", clean_unit("business_unit"))
-    return cleaned.withColumn("kpi_label", composite_label("business_unit", "kpi_name", "product"))
+def label_rows(masters: DataFrame, keep: Sequence[Column] = ()) -> DataFrame:
+    """The composite KPI labels, once per combination of their parts and the columns to keep.
+
+    The parts are made distinct before the text work, so rows are combined where they are read.
+    """
+    parts = masters.select("business_unit", "kpi_name", "product", *keep).distinct()
+    kept = [c for c in parts.columns if c not in ("business_unit", "kpi_name", "product")]
+    label = composite_label(clean_unit("business_unit"), "kpi_name", "product")
+    return parts.select(label.alias("kpi_label"), *kept)
 
 
 def build_fact(masters: DataFrame, dimension: DataFrame, process_codes: dict | None = None) -> DataFrame:
@@ -55,7 +63,8 @@ def build_fact(masters: DataFrame, dimension: DataFrame, process_codes: dict | N
     """
     rows = masters.withColumn("business_unit", clean_unit("business_unit"))
     label = composite_label("business_unit", "kpi_name", "product")
-    keyed = computed_key_join(rows, dimension.select("kpi_id", "kpi_label"), label, "kpi_label")
+    known = broadcast_if_bounded(dimension.select("kpi_id", "kpi_label"))
+    keyed = computed_key_join(rows, known, label, "kpi_label")
     typed = keyed.select(
         F.lit(1).alias("record_id"),
         F.col("period").cast("int").alias("period"),

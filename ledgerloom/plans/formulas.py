@@ -1,14 +1,13 @@
-"""Metric formulas as data, applied level by level over wide rows."""
+"""Metric formulas as data, applied together over wide rows."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from ledgerloom.functions.scalars import adjusted, adjustment, null_to_zero, safe_ratio, signed_sum
+from ledgerloom.functions.types import MONEY
 
 
 @dataclass(frozen=True)
@@ -47,30 +46,40 @@ def moved_to_reported(name: str, computed: str, reported: str, difference: str)
     return Formula(name, "adjusted", (computed, reported, difference))
 
 
-def _expression(formula: Formula, names: Sequence[str], scenario: str) -> Column:
-    count = len(formula.operands)
+_TYPE = MONEY.simpleString()
+
+
+def _or_zero(name: str) -> str:
+    return f"coalesce(`{name}`, cast(0 as {_TYPE}))"
+
+
+def _expression(formula: Formula, names: Sequence[str], scenario: str) -> str:
+    """SQL text of a formula; one text per metric is much cheaper to build than a tree of columns."""
     if formula.kind == "sum":
-        return signed_sum(names[:count], names[count:])
-    if formula.kind == "ratio":
-        return safe_ratio(*names)
-    if formula.kind == "adjustment":
-        return adjustment(scenario, formula.scenario_id, *names)
-    if formula.kind == "adjusted":
-        return adjusted(*names)
-    raise ValueError(f"unknown kind of formula: {formula.kind}")
+        count = len(formula.operands)
+        text = " + ".join(_or_zero(n) for n in names[:count]) or f"cast(0 as {_TYPE})"
+        text += "".join(f" - {_or_zero(n)}" for n in names[count:])
+    elif formula.kind == "ratio":
+        text = f"try_divide({_or_zero(names[0])}, {_or_zero(names[1])})"
+    elif formula.kind == "adjustment":
+        text = f"CASE WHEN `{scenario}` = {formula.scenario_id} THEN `{names[0]}` - `{names[1]}` ELSE 0 END"
+    elif formula.kind == "adjusted":
+        text = f"CASE WHEN `{names[1]}` IS NULL THEN `{names[0]}` ELSE `{names[0]}` - `{names[2]}` END"
+    else:
+        raise ValueError(f"unknown kind of formula: {formula.kind}")
+    return f"cast({text} as {_TYPE})"
 
 
 def apply_formulas(df: DataFrame, formulas: Sequence[Formula], scenario: str = "scenario_id") -> DataFrame:
-    """Add all metrics with one projection per dependency level.
+    """Add all metrics with one selection whose expressions refer to each other by name.
 
     Formulas apply in order: an operand means its latest definition so far. Defining a name twice
     needs ``redefine=True``; an operand that is neither a column nor defined earlier is an error,
-    which also rules out cycles.
+    which also rules out cycles. Spark stacks one projection per dependency level, where a chain of
+    added columns would be analysed once per metric.
     """
     current = {c: c for c in df.columns}
-    level = dict.fromkeys(df.columns, 0)
-    defined: set[str] = set()
-    steps: dict[int, dict[str, Column]] = {}
+    selected = []
     for number, formula in enumerate(formulas):
         if formula.name in current and not formula.redefine:
             raise ValueError(f"metric defined twice: {formula.name}")
@@ -78,18 +87,9 @@ def apply_formulas(df: DataFrame, formulas: Sequence[Formula], scenario: str = "
         if unknown:
             raise ValueError(f"{formula.name} uses metrics not defined before it: {unknown}")
         names = [current[n] for n in formula.inputs]
-        depth = 1 + max(level[n] for n in names)
         stored = f"__v{number}_{formula.name}" if formula.name in current else formula.name
-        steps.setdefault(depth, {})[stored] = _expression(formula, names, scenario)
+        selected.append(f"{_expression(formula, names, scenario)} AS `{stored}`")
         current[formula.name] = stored
-        level[stored] = depth
-        defined.add(formula.name)
-    result = df
-    for depth in sorted(steps):
-        result = result.withColumns(steps[depth])
-    order = [*df.columns, *[n for n in dict.fromkeys(f.name for f in formulas) if n not in df.columns]]
-    return result.select(*[F.col(f"`{current[n]}`").alias(n) for n in order])
-
-
-def fill_missing(df: DataFrame, metrics: Sequence[str]) -> DataFrame:
-    return df.withColumns({m: null_to_zero(m) for m in metrics})
+    result = df.selectExpr("*", *selected)
+    order = dict.fromkeys([*df.columns, *[f.name for f in formulas]])
+    return result.selectExpr(*[f"`{current[n]}` AS `{n}`" for n in order])

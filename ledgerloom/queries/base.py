@@ -17,6 +17,7 @@ from ledgerloom.functions.scenarios import fact_scenario_id
 from ledgerloom.functions.types import MONEY
 from ledgerloom.operators.reshape import pivot_sum
 from ledgerloom.plans.reports import MAPPING_SCHEMA, report_rows
+from ledgerloom.session import cut_lineage
 from ledgerloom.sources.tables import literal_table
 
 
@@ -172,6 +173,15 @@ def base_report_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report_rows(wide_metrics(spark, sf_dir), mapping(spark), REPORT_METRICS, "rate_acc", "rate_month")
 
 
+def stored_report_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows materialised once, for queries with several branches over them.
+
+    They are few whatever the size of the fact, and filters of the branches would otherwise keep
+    Spark from sharing the joins below them.
+    """
+    return cut_lineage(base_report_rows(spark, sf_dir))
+
+
 REPORT_ROWS_SQL = f"""long AS (
   SELECT period_date, scenario_id, rate_month AS fx_month, rate_acc AS fx_acc, metric, amount
   FROM ({" UNION ALL ".join(f"SELECT *, '{m}' AS metric, {m} AS amount FROM wide" for m in REPORT_METRICS)}) AS u

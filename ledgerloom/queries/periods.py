@@ -27,10 +27,10 @@ from ledgerloom.queries.base import (
     LABELS,
     RATES_SQL,
     REPORT_CTES,
-    base_report_rows,
     kpi_fact,
     rates,
     sql_reporting_amount,
+    stored_report_rows,
 )
 from ledgerloom.queries.registry import query
 
@@ -107,7 +107,7 @@ def ytd_cumulative(spark, sf_dir):
       1, CAST(ytd AS DECIMAL(24,3)) FROM y""",
 )
 def period_and_ytd_query(spark, sf_dir):
-    return period_and_ytd(base_report_rows(spark, sf_dir))
+    return period_and_ytd(stored_report_rows(spark, sf_dir))
 
 
 @query(
@@ -120,7 +120,7 @@ def period_and_ytd_query(spark, sf_dir):
 )
 def period_and_ytd_current(spark, sf_dir):
     """One period only: its totals come from an aggregation instead of a window."""
-    rows = period_and_ytd(base_report_rows(spark, sf_dir), SERIES, period=PERIOD)
+    rows = period_and_ytd(stored_report_rows(spark, sf_dir), SERIES, period=PERIOD)
     return rows.select(
         "report_id", "concept_id", "dim1_id", "dim2_id", "scenario_id", "period_date", "data_type_id", "amount"
     )
@@ -179,7 +179,7 @@ _ESTIMATE_COLUMNS = "report_id, concept_id, business_id, dim1_id, dim2_id, 4 AS
 
 
 def _estimate_inputs(spark, sf_dir):
-    rows = base_report_rows(spark, sf_dir)
+    rows = stored_report_rows(spark, sf_dir)
     real_missing = (F.col("scenario_id") == 1) & (F.col("period_date") > _LAST_REAL)
     history = rows.where((F.col("period_date") < PERIOD) & ~real_missing)
     return history, rows.where(F.col("period_date") == PERIOD)
@@ -235,9 +235,9 @@ _BLOCK_SQL = f"""merged AS (SELECT DISTINCT * FROM (SELECT {_BLOCK_COLUMNS}, rat
 BLOCK_CTES = f"{REPORT_CTES}, {_YTD_SQL}, {_BLOCK_SQL}"
 
 
-def base_block(spark, sf_dir):
+def base_block(report_rows):
     """Local and reporting rows of all periods."""
-    return currency_block(period_and_ytd(base_report_rows(spark, sf_dir)).drop("metric"))
+    return currency_block(period_and_ytd(report_rows).drop("metric"))
 
 
 def _block_output(rows):
@@ -246,7 +246,7 @@ def _block_output(rows):
 
 @query("currency_block", f"WITH {BLOCK_CTES} SELECT {_BLOCK_COLUMNS}, currency, amount FROM block")
 def currency_block_query(spark, sf_dir):
-    return _block_output(base_block(spark, sf_dir))
+    return _block_output(base_block(stored_report_rows(spark, sf_dir)))
 
 
 @query(
@@ -256,7 +256,7 @@ def currency_block_query(spark, sf_dir):
     UNION ALL SELECT * REPLACE (1 AS data_type_id) FROM r WHERE data_type_id = 2 AND concept_id = 1""",
 )
 def rate_rewrite(spark, sf_dir):
-    return _block_output(rewrite_rate_concept(base_block(spark, sf_dir)))
+    return _block_output(rewrite_rate_concept(base_block(stored_report_rows(spark, sf_dir))))
 
 
 @query(
@@ -266,7 +266,7 @@ def rate_rewrite(spark, sf_dir):
     UNION ALL SELECT * REPLACE ('Euros' AS currency) FROM r WHERE currency = 'Pesos' AND concept_id IN (1, 2, 3, 4, 28)""",
 )
 def passthrough(spark, sf_dir):
-    return _block_output(pass_through(base_block(spark, sf_dir)))
+    return _block_output(pass_through(base_block(stored_report_rows(spark, sf_dir))))
 
 
 _DIFFERENCE_KEYS = "scenario_id, report_id, concept_id, business_id, dim1_id, dim2_id, currency"
@@ -285,7 +285,7 @@ _DIFFERENCE_KEYS = "scenario_id, report_id, concept_id, business_id, dim1_id, di
     SELECT {_DIFFERENCE_KEYS}, period_date, 2 AS data_type_id, amount FROM d WHERE period_date = {PERIOD}""",
 )
 def month_by_difference(spark, sf_dir):
-    block = base_block(spark, sf_dir).withColumn("amount", F.col("amount").cast(PUBLISHED))
+    block = base_block(stored_report_rows(spark, sf_dir)).withColumn("amount", F.col("amount").cast(PUBLISHED))
     history, current = block.where(F.col("period_date") < PERIOD), block.where(F.col("period_date") == PERIOD)
     return period_by_difference(history, current, PERIOD).drop("company_id")
 
@@ -298,7 +298,7 @@ def month_by_difference(spark, sf_dir):
 )
 def period_difference_all(spark, sf_dir):
     """The differences of every period of every year at once."""
-    euros = base_block(spark, sf_dir).where((F.col("data_type_id") == 1) & (F.col("currency") != LOCAL))
+    euros = base_block(stored_report_rows(spark, sf_dir)).where((F.col("data_type_id") == 1) & (F.col("currency") != LOCAL))
     keyed = euros.withColumn("year", F.floor(F.col("period_date") / 10000).cast("int"))
     keys = [k.strip() for k in _DIFFERENCE_KEYS.split(",")]
     rows = difference_from_previous(keyed, ["year", *keys], "period_date", "amount", "month_amount")

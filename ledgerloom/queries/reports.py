@@ -31,13 +31,14 @@ from ledgerloom.queries.base import (
     rates,
     scenario_name,
     sql_reporting_amount,
+    stored_report_rows,
     table,
     wide_metrics,
 )
 from ledgerloom.queries.periods import BLOCK_CTES, PERIOD, base_block
 from ledgerloom.queries.registry import query
-from ledgerloom.session import new_path
-from ledgerloom.sources.sinks import overwrite_partitions
+from ledgerloom.session import cut_lineage, new_path
+from ledgerloom.sources.sinks import overwrite_partitions, overwrite_table
 from ledgerloom.sources.tables import literal_table
 
 # ------------------------------------------------------------------------------- masters and keys
@@ -75,8 +76,14 @@ def _masters(spark, sf_dir):
     )
 
 
-def _split_masters(spark, sf_dir):
-    masters = _masters(spark, sf_dir)
+def _stored_masters(spark, sf_dir):
+    """The masters as a stored table, which is how they arrive."""
+    path = new_path(spark, "masters")
+    overwrite_table(_masters(spark, sf_dir), path)
+    return spark.read.parquet(path)
+
+
+def _split_masters(masters):
     scenario = F.col("scenario")
     return (
         masters.where(scenario == "RE"),
@@ -102,11 +109,16 @@ _DIMENSION_SQL = f"""old AS (SELECT kpi_label, row_number() OVER (ORDER BY kpi_l
     dimension AS (SELECT * FROM old UNION ALL SELECT * FROM delta)"""
 
 
-def _dimension_inputs(spark, sf_dir):
-    labels = label_rows(_masters(spark, sf_dir)).select("scenario", "period", "kpi_label")
-    first = labels.where((F.col("scenario") == "RE") & (F.col("period") == str(_FIRST_MONTH)))
-    empty = literal_table(spark, "kpi_id int, kpi_label string", [])
-    old = extend_dimension(first.select("kpi_label"), empty, "kpi_id", "kpi_label")
+def _dimension_inputs(masters):
+    """All labels, and the dimension as it stood after the first month.
+
+    One aggregation finds both sets of labels; it is materialised, being no larger than they are.
+    """
+    early = (F.col("scenario") == "RE") & (F.col("period") == str(_FIRST_MONTH))
+    rows = label_rows(masters, [early.alias("early")])
+    labels = cut_lineage(rows.groupBy("kpi_label").agg(F.max("early").alias("early")))
+    empty = literal_table(masters.sparkSession, "kpi_id int, kpi_label string", [])
+    old = extend_dimension(labels.where("early").select("kpi_label"), empty, "kpi_id", "kpi_label")
     return labels.select("kpi_label"), old
 
 
@@ -115,8 +127,8 @@ def _dimension_inputs(spark, sf_dir):
     f"WITH {_MASTERS_SQL}, {_DIMENSION_SQL} SELECT kpi_label, CAST(kpi_id AS INTEGER) AS kpi_id FROM delta",
 )
 def surrogate_delta(spark, sf_dir):
-    labels, old = _dimension_inputs(spark, sf_dir)
-    return surrogate_key_delta(labels.distinct(), old, "kpi_id", "kpi_label")
+    labels, old = _dimension_inputs(_masters(spark, sf_dir))
+    return surrogate_key_delta(labels.where("kpi_label is not null"), old, "kpi_id", "kpi_label")
 
 
 @query(
@@ -124,7 +136,7 @@ def surrogate_delta(spark, sf_dir):
     f"WITH {_MASTERS_SQL}, {_DIMENSION_SQL} SELECT kpi_label, CAST(kpi_id AS INTEGER) AS kpi_id FROM dimension",
 )
 def kpi_dim_build(spark, sf_dir):
-    labels, old = _dimension_inputs(spark, sf_dir)
+    labels, old = _dimension_inputs(_masters(spark, sf_dir))
     return extend_dimension(labels, old, "kpi_id", "kpi_label")
 
 
@@ -139,8 +151,9 @@ def kpi_dim_build(spark, sf_dir):
     SELECT * EXCLUDE (rn) FROM ranked WHERE rn = 1""",
 )
 def kpi_fact_build(spark, sf_dir):
-    masters = union_masters("ALL", *_split_masters(spark, sf_dir))
-    labels, old = _dimension_inputs(spark, sf_dir)
+    stored = _stored_masters(spark, sf_dir)
+    masters = union_masters("ALL", *_split_masters(stored))
+    labels, old = _dimension_inputs(stored)
     return build_fact(masters, extend_dimension(labels, old, "kpi_id", "kpi_label"))
 
 
@@ -234,7 +247,7 @@ def _cost_source(spark, sf_dir):
     lines, orders, parts = (table(spark, sf_dir, n) for n in ("lineitem", "orders", "part"))
     orders = orders.where(F.col("o_orderstatus").isin("F", "O"))
     joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey).join(parts, lines.l_partkey == parts.p_partkey)
-    return joined.select(
+    rows = joined.select(
         (F.year("o_orderdate") * 100 + F.month("o_orderdate")).cast("int").alias("period"),
         F.concat(F.lit("imp_"), F.lower("p_type")).alias("kpi"),
         F.when(F.col("o_orderstatus") == "F", 1).otherwise(2).alias("scenario_id"),
@@ -243,6 +256,8 @@ def _cost_source(spark, sf_dir):
         F.when(F.col("l_linestatus") == "F", 1).otherwise(2).alias("data_type"),
         money(F.col("l_extendedprice")).alias("amount"),
     )
+    # Four branches read the costs, each only sums: they are summed once, by all their codes.
+    return cut_lineage(rows.groupBy([c for c in rows.columns if c != "amount"]).agg(F.sum("amount").alias("amount")))
 
 
 _COST_SOURCE_SQL = f"""costs AS (SELECT CAST(year(o_orderdate) * 100 + month(o_orderdate) AS INTEGER) AS period, 'imp_' || lower(p_type) AS kpi,
@@ -281,8 +296,8 @@ def _cost_metric_sql(metric: str) -> str:
     return f'CAST(CAST("{metric}" AS DECIMAL(20,2)) * CAST(round_even(rate, 2) AS DECIMAL(8,2)){sign} AS DECIMAL(24,10)) AS "{metric}"'
 
 
-def _results(spark, sf_dir):
-    costs = _cost_source(spark, sf_dir)
+def _results(costs):
+    spark = costs.sparkSession
     known = costs.select("period", "scenario_id").distinct().withColumn("year", year_of_month(F.col("period")))
     fx = known.join(rates(spark), "year").select("period", "scenario_id", F.col("rate_month").alias("rate"))
     wanted = any_of([{"kpi": "imp_large", "unit_id": 2049, "data_type": 1}])
@@ -298,8 +313,9 @@ def _results(spark, sf_dir):
 )
 def fallback_rows(spark, sf_dir):
     """Months whose predecessor is missing have no result and get a row with null."""
-    results, _ = _results(spark, sf_dir)
-    periods = _cost_source(spark, sf_dir).select("period").distinct()
+    costs = _cost_source(spark, sf_dir)
+    results, _ = _results(costs)
+    periods = costs.select("period").distinct()
     return with_fallback(scenario_spine(periods, [1, 2]), results, "result")
 
 
@@ -311,8 +327,8 @@ def fallback_rows(spark, sf_dir):
     FROM joined LEFT JOIN services USING (period, scenario_id) JOIN fx USING (period, scenario_id)""",
 )
 def cost_block_query(spark, sf_dir):
-    results, fx = _results(spark, sf_dir)
     costs = _cost_source(spark, sf_dir)
+    results, fx = _results(costs)
     open_kpis = {"kpi": _OPEN_KPIS, "unit_id": _UNITS}
     closed = {"kpi": _CLOSED_KPIS, "unit_id": _UNITS, "report_unit": ["A", "R"]}
     budget_total = {"kpi": _CLOSED_KPIS, "unit_id": _UNITS, "scenario_id": 2, "report_unit": "N"}
@@ -405,8 +421,9 @@ def _publish_sql() -> str:
 def monthly_publish(spark, sf_dir):
     """The published table up to the month before, then the publication of the month."""
     path = new_path(spark, "published")
-    block = base_block(spark, sf_dir).where(F.col("period_date") < PERIOD)
+    rows = stored_report_rows(spark, sf_dir)
+    block = base_block(rows).where(F.col("period_date") < PERIOD)
     stored = block.select(*[F.col(c).cast(PUBLISHED) if c == "amount" else F.col(c) for c in PUBLISHED_COLUMNS])
     overwrite_partitions(stored, path, ["period_date", "scenario_id"])
-    current = base_report_rows(spark, sf_dir).where(F.col("period_date") == PERIOD).drop("metric")
+    current = rows.where(F.col("period_date") == PERIOD).drop("metric")
     return publish(current, path, PERIOD, "ALL").select(*PUBLISHED_COLUMNS)
