@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,14 +19,36 @@ from ledgerloom.operators.setops import union_by_name
 
 LOCAL = "Pesos"
 REPORTING = "Euros"
-SERIES = [
+SERIES = (
     "scenario_id", "report_id", "concept_id", "business_id", "dim1_id", "dim2_id", "currency", "company_id",
-]
-# The second report variant keeps currency and company out of the series and adds the cost type.
-SERIES_BY_COST_TYPE = [
-    "scenario_id", "report_id", "business_id", "concept_id", "dim1_id", "dim2_id", "cost_type_id",
-]
-DIFFERENCE_SERIES = ["scenario_id", "report_id", "concept_id", "business_id", "dim1_id", "dim2_id", "currency"]
+)
+
+
+@dataclass(frozen=True)
+class Variant:
+    """How a report's published table is keyed and how its estimates are continued.
+
+    ``series`` keys the year-to-date totals, ``differences`` the months by difference; ``carried``
+    columns travel with the rows without being keys. ``real_closes_estimate`` lets the current real
+    month stand for the estimate; ``history_of_mode`` restricts the history of the differences to
+    the scenarios of the run mode.
+    """
+
+    series: tuple[str, ...] = SERIES
+    differences: tuple[str, ...] = SERIES[:-1]
+    carried: tuple[str, ...] = ("company_id",)
+    real_closes_estimate: bool = True
+    history_of_mode: bool = False
+
+
+STANDARD = Variant()
+BY_COST_TYPE = Variant(
+    series=(*SERIES[:-2], "cost_type_id"),
+    differences=(*SERIES[:-1], "cost_type_id"),
+    carried=("company_id", "metric"),
+    real_closes_estimate=False,
+    history_of_mode=True,
+)
 
 
 def cumulative_by_date(
@@ -52,7 +75,7 @@ def attach_cumulative(
 
 def period_and_ytd(
     df: DataFrame,
-    keys: Sequence[str] = tuple(SERIES),
+    keys: Sequence[str] = SERIES,
     date: str = "period_date",
     amount: str = "amount",
     period: int | None = None,
@@ -87,7 +110,9 @@ def difference_from_previous(
     return per_date.withColumn(out, F.col(amount).cast(PUBLISHED) - previous.cast(PUBLISHED))
 
 
-def period_by_difference(history: DataFrame, current: DataFrame, period: int) -> DataFrame:
+def period_by_difference(
+    history: DataFrame, current: DataFrame, period: int, variant: Variant = STANDARD
+) -> DataFrame:
     """Single-period amounts in the reporting currency, from year-to-date amounts.
 
     The history gives the year-to-date rows of the year before the period. Estimates continue the
@@ -96,22 +121,17 @@ def period_by_difference(history: DataFrame, current: DataFrame, period: int) ->
     ids = STAGE_IDS["published"]
     wanted = (F.col("data_type_id") == YEAR_TO_DATE) & (F.col("currency") == REPORTING)
     before = F.col("period_date").between(year_start(period), period - 1)
-    columns = [*DIFFERENCE_SERIES, "company_id", "period_date", "amount"]
+    columns = [*variant.differences, *variant.carried, "period_date", "amount"]
     past = history.where(wanted & before & (F.col("scenario_id") != ids["EST"]))
     # A real month stands for itself and for the estimate series.
     is_real = F.col("scenario_id") == ids["RE"]
-    past = past.withColumn(
-        "scenario_id",
-        F.explode(
-            F.when(is_real, F.array(F.lit(ids["RE"]), F.lit(ids["EST"]))).otherwise(F.array("scenario_id"))
-        ),
-    ).select(*columns)
-    now = current.where(wanted).select(*columns)
-    series = past.unionByName(now)
-    per_date = series.groupBy(*DIFFERENCE_SERIES, "period_date").agg(
-        F.sum("amount").alias("amount"), F.max("company_id").alias("company_id")
+    served = F.when(is_real, F.array(F.lit(ids["RE"]), F.lit(ids["EST"]))).otherwise(F.array("scenario_id"))
+    past = past.withColumn("scenario_id", F.explode(served)).select(*columns)
+    series = past.unionByName(current.where(wanted).select(*columns))
+    per_date = series.groupBy(*variant.differences, "period_date").agg(
+        F.sum("amount").alias("amount"), *[F.max(c).alias(c) for c in variant.carried]
     )
-    window = Window.partitionBy(*DIFFERENCE_SERIES).orderBy("period_date")
+    window = Window.partitionBy(*variant.differences).orderBy("period_date")
     previous = F.lag("amount", 1, 0).over(window)
     return (
         per_date.withColumn("amount", (F.col("amount").cast(PUBLISHED) - previous.cast(PUBLISHED)).cast(PUBLISHED))

@@ -11,7 +11,14 @@ from ledgerloom.functions.scenarios import SINGLE_PERIOD, STAGE_IDS, scenario_id
 from ledgerloom.functions.types import PUBLISHED
 from ledgerloom.operators.setops import union_by_name
 from ledgerloom.plans.currency import currency_block, pass_through, rewrite_rate_concept
-from ledgerloom.plans.periods import LOCAL, estimate_series, period_and_ytd, period_by_difference
+from ledgerloom.plans.periods import (
+    LOCAL,
+    STANDARD,
+    Variant,
+    estimate_series,
+    period_and_ytd,
+    period_by_difference,
+)
 from ledgerloom.session import new_path
 from ledgerloom.sources.sinks import replace_slice, stage_boundary
 from ledgerloom.sources.tables import read_slice
@@ -23,7 +30,14 @@ PUBLISHED_COLUMNS = [
 _RATES = ["rate_acc", "rate_month"]
 
 
-def year_to_date_rows(current: DataFrame, history: DataFrame, period: int) -> DataFrame:
+def _columns(variant: Variant) -> list[str]:
+    extra = [c for c in (*variant.series, *variant.carried) if c not in PUBLISHED_COLUMNS]
+    return [*PUBLISHED_COLUMNS, *extra]
+
+
+def year_to_date_rows(
+    current: DataFrame, history: DataFrame, period: int, variant: Variant = STANDARD
+) -> DataFrame:
     """Single-period and year-to-date rows of the period in the local currency.
 
     Estimates are continued by the real months of the year; the other scenarios by their own.
@@ -35,41 +49,49 @@ def year_to_date_rows(current: DataFrame, history: DataFrame, period: int) -> Da
         & (F.col("data_type_id") == SINGLE_PERIOD)
         & (F.col("currency") == LOCAL)
     )
-    series = union_by_name(
-        current.where(F.col("scenario_id") != estimate), earlier, estimate_series(history, current, period)
-    ).select(*PUBLISHED_COLUMNS, *_RATES)
+    closing = variant.real_closes_estimate
+    now = current.where(F.col("scenario_id") != estimate) if closing else current
+    continued = estimate_series(history, current, period, include_current=closing)
+    series = union_by_name(now, earlier, continued).select(*_columns(variant), *_RATES)
     cleaned = series.withColumns(
         {c: null_text(F.col(c).cast("string")).cast("int") for c in ("dim1_id", "dim2_id")}
     )
-    return period_and_ytd(cleaned, period=period).withColumn("company_id", F.lit(None).cast("int"))
+    rows = period_and_ytd(cleaned, variant.series, period=period)
+    return rows.withColumn("company_id", F.lit(None).cast("int"))
 
 
-def finish(ytd_rows: DataFrame, history: DataFrame, period: int, mode: str) -> DataFrame:
+def finish(
+    ytd_rows: DataFrame, history: DataFrame, period: int, mode: str, variant: Variant = STANDARD
+) -> DataFrame:
     """Currencies, differences and special concepts; the rows to publish for a run mode."""
-    rows = select_scenarios(ytd_rows, mode, "published")
-    converted = currency_block(rows)
-    # Both branches below start from the same aggregation, which Spark shuffles once and reuses.
-    differences = period_by_difference(history, converted, period)
+    columns = _columns(variant)
+    converted = currency_block(select_scenarios(ytd_rows, mode, "published"))
+    past = select_scenarios(history, mode, "published") if variant.history_of_mode else history
+    differences = period_by_difference(past, converted, period, variant)
     merged = union_by_name(
-        converted.where(F.col("period_date") == period).select(*PUBLISHED_COLUMNS),
-        differences.select(*PUBLISHED_COLUMNS),
+        converted.where(F.col("period_date") == period).select(*columns), differences.select(*columns)
     )
     final = pass_through(rewrite_rate_concept(merged))
     return select_scenarios(final, mode, "published").select(
-        *[F.col(c).cast(PUBLISHED) if c == "amount" else F.col(c) for c in PUBLISHED_COLUMNS]
+        *[F.col(c).cast(PUBLISHED) if c == "amount" else F.col(c) for c in columns]
     )
 
 
-def published_rows(current: DataFrame, history: DataFrame, period: int, mode: str = "ALL") -> DataFrame:
+def published_rows(
+    current: DataFrame, history: DataFrame, period: int, mode: str = "ALL", variant: Variant = STANDARD
+) -> DataFrame:
     """Rows the publication of ``period`` adds to the published table."""
-    return finish(year_to_date_rows(current, history, period), history, period, mode)
+    return finish(year_to_date_rows(current, history, period, variant), history, period, mode, variant)
 
 
-def publish(current: DataFrame, table: str, period: int, mode: str = "ALL") -> DataFrame:
+def publish(
+    current: DataFrame, table: str, period: int, mode: str = "ALL", variant: Variant = STANDARD, describe=None
+) -> DataFrame:
     """Publish into the table at ``table`` and return the stored slice.
 
     Each stage is stored and read back: several later branches start from it, and replacing the
-    slice must not read the part of the table that is being replaced.
+    slice must not read the part of the table that is being replaced. ``describe`` may turn the
+    final rows into those of the table, for example by attaching dimensions.
     """
     spark = current.sparkSession
 
@@ -77,8 +99,12 @@ def publish(current: DataFrame, table: str, period: int, mode: str = "ALL") -> D
         return stage_boundary(df, new_path(spark, stage), ["period_date"], {"period_date": period})
 
     history = spark.read.parquet(table).where(F.col("period_date") < period)
+    for column in variant.carried:
+        if column not in history.columns:
+            history = history.withColumn(column, F.lit(None).cast(current.schema[column].dataType))
     reported = stored(current, "reported")
-    cumulated = stored(year_to_date_rows(reported, history, period), "cumulated")
-    final = stored(finish(cumulated, history, period, mode), "final")
+    cumulated = stored(year_to_date_rows(reported, history, period, variant), "cumulated")
+    final = finish(cumulated, history, period, mode, variant)
+    final = stored(final if describe is None else describe(final), "final")
     replace_slice(final, table, "period_date", period, "scenario_id", scenario_ids(mode, "published"))
     return select_scenarios(read_slice(spark, table, {"period_date": period}), mode, "published")

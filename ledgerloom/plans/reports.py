@@ -17,6 +17,8 @@ MAPPING_SCHEMA = (
     "scenario_id int, metric string, report_id int, concept_id int, business_id string, dim1_id int, dim2_id int"
 )
 
+_MAPPING_COLUMNS = [part.split()[0] for part in MAPPING_SCHEMA.split(", ")]
+
 
 def report_rows(
     wide: DataFrame, mapping: DataFrame, metrics: Sequence[str], rate_acc: str, rate_month: str
@@ -24,8 +26,8 @@ def report_rows(
     """Report rows in the local currency for every scenario at once.
 
     ``wide`` has ``period_date``, the fact stage's ``scenario_id`` and the metrics. The mapping says
-    per scenario and metric which rows to write. The updated budget uses the monthly rate for both
-    rates.
+    per scenario and metric which rows to write; columns it has beyond ``MAPPING_SCHEMA``, such as
+    a cost type, are passed on. The updated budget uses the monthly rate for both rates.
     """
     updated = F.col("scenario_id") == STAGE_IDS["fact"]["UPA"]
     rated = wide.select(
@@ -52,6 +54,7 @@ def report_rows(
         F.lit(LOCAL).alias("currency"),
         F.col("period_date").cast("int").alias("period_date"),
         "metric",
+        *[c for c in mapping.columns if c not in _MAPPING_COLUMNS],
     )
 
 

@@ -6,16 +6,16 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.calendar import year_of_month
 from ledgerloom.functions.predicates import any_of
-from ledgerloom.functions.scenarios import restage_scenario
+from ledgerloom.functions.scenarios import fact_scenario_id, restage_scenario
 from ledgerloom.functions.types import PUBLISHED, SERVICE_MONEY
 from ledgerloom.operators.reshape import pivot_sum
 from ledgerloom.plans.costs import cost_block, cost_columns, scenario_spine, with_fallback
 from ledgerloom.plans.facts import FACT_KEY, build_fact, label_rows, union_masters
 from ledgerloom.plans.formulas import Formula, apply_formulas, difference_to_reported, moved_to_reported, ratio, total
 from ledgerloom.plans.keys import extend_dimension, surrogate_key_delta
-from ledgerloom.plans.periods import month_from_fx_cumulative
+from ledgerloom.plans.periods import BY_COST_TYPE, month_from_fx_cumulative
 from ledgerloom.plans.publish import PUBLISHED_COLUMNS, publish
-from ledgerloom.plans.reports import attach_dimensions, metric_dimensions
+from ledgerloom.plans.reports import MAPPING_SCHEMA, attach_dimensions, metric_dimensions, report_rows
 from ledgerloom.queries.base import (
     FACT_ID_SQL,
     LABELS,
@@ -23,10 +23,14 @@ from ledgerloom.queries.base import (
     MONEY_SQL,
     RATES_SQL,
     REPORT_CTES,
+    REPORT_METRICS,
+    REPORT_ROWS_SQL,
     RESTAGE_SQL,
     WIDE_CTES,
+    _sql_value,
     base_report_rows,
     kpi_fact,
+    mapping_rows,
     money,
     rates,
     scenario_name,
@@ -358,6 +362,15 @@ def report_mapping(spark, sf_dir):
     return base_report_rows(spark, sf_dir)
 
 
+def _label_table(spark):
+    return literal_table(spark, "label string, metric string", list(LABELS.items()))
+
+
+def _label_facts(spark, sf_dir):
+    scenario = restage_scenario(fact_scenario_id("scenario"), "fact", "published")
+    return kpi_fact(spark, sf_dir).select(F.col("name").alias("label"), scenario.alias("scenario_id"), "unit")
+
+
 @query(
     "attach_dims",
     f"""WITH {REPORT_CTES}, dims AS (SELECT DISTINCT {RESTAGE_SQL.format(FACT_ID_SQL.format("scenario"))} AS scenario_id,
@@ -366,15 +379,7 @@ def report_mapping(spark, sf_dir):
     FROM report_rows LEFT JOIN dims USING (scenario_id, metric)""",
 )
 def attach_dims(spark, sf_dir):
-    labels = literal_table(spark, "label string, metric string", list(LABELS.items()))
-    facts = kpi_fact(spark, sf_dir).select(
-        F.col("name").alias("label"),
-        restage_scenario(
-            F.when(F.col("scenario") == "RE", 3).when(F.col("scenario") == "PA", 2).when(F.col("scenario") == "UPA", 4).otherwise(1),
-            "fact", "published",
-        ).alias("scenario_id"),
-        "unit",
-    )
+    labels, facts = _label_table(spark), _label_facts(spark, sf_dir)
     rows = base_report_rows(spark, sf_dir).select(
         "report_id", "concept_id", "scenario_id", "dim1_id", "dim2_id", "amount", "currency", "period_date", "metric"
     )
@@ -427,3 +432,74 @@ def monthly_publish(spark, sf_dir):
     overwrite_partitions(stored, path, ["period_date", "scenario_id"])
     current = rows.where(F.col("period_date") == PERIOD).drop("metric")
     return publish(current, path, PERIOD, "ALL").select(*PUBLISHED_COLUMNS)
+
+
+# The second report variant: rows keyed by cost type and described by the dimensions of their metric.
+
+
+def _cost_type(position: int) -> int | None:
+    return 1 + position % 2 if position % 3 else None
+
+
+def _cost_mapping_rows():
+    return [(*row, _cost_type(i)) for i, row in enumerate(mapping_rows())]
+
+
+_COST_MAPPING_SQL = (
+    "mapping AS (SELECT CAST(s AS INTEGER) AS scenario_id, m AS metric, CAST(r AS INTEGER) AS report_id, CAST(c AS INTEGER) AS concept_id, b AS business_id, "
+    "CAST(d1 AS INTEGER) AS dim1_id, CAST(d2 AS INTEGER) AS dim2_id, CAST(ct AS INTEGER) AS cost_type_id FROM (VALUES "
+    + ", ".join("(" + ", ".join(_sql_value(v) for v in row) + ")" for row in _cost_mapping_rows())
+    + ") AS v(s, m, r, c, b, d1, d2, ct))"
+)
+_COST_ROWS_SQL = REPORT_ROWS_SQL.replace("period_date, metric\n", "period_date, metric, cost_type_id\n")
+
+
+def _cost_type_sql() -> str:
+    keys = "report_id, concept_id, business_id, dim1_id, dim2_id, cost_type_id"
+    return f"""WITH {WIDE_CTES}, {_COST_MAPPING_SQL}, {_COST_ROWS_SQL},
+    past AS (SELECT * FROM report_rows WHERE period_date < {PERIOD} AND period_date >= {_YEAR * 10000 + 101}),
+    months AS (SELECT {keys}, scenario_id, period_date, amount, metric, rate_acc, rate_month FROM report_rows WHERE period_date = {PERIOD}
+      UNION ALL SELECT {keys}, scenario_id, period_date, amount, NULL, NULL, NULL FROM past WHERE scenario_id <> 4
+      UNION ALL SELECT {keys}, 4, period_date, amount, NULL, NULL, NULL FROM past WHERE scenario_id = 1),
+    totals AS (SELECT *, CAST(sum(amount) OVER (PARTITION BY scenario_id, {keys} ORDER BY period_date) AS DECIMAL(24,3)) AS total FROM months),
+    now_rows AS (SELECT {keys}, scenario_id, period_date, metric, rate_acc, rate_month, 2 AS data_type_id, amount FROM totals WHERE period_date = {PERIOD}
+      UNION ALL SELECT {keys}, scenario_id, period_date, metric, rate_acc, rate_month, 1, total FROM totals WHERE period_date = {PERIOD}),
+    now_merged AS (SELECT DISTINCT * FROM (SELECT {keys}, scenario_id, period_date, metric, data_type_id, rate_acc, rate_month, 'Pesos' AS currency, CAST(amount AS DECIMAL(24,10)) AS amount FROM now_rows
+      UNION ALL SELECT {keys}, scenario_id, period_date, metric, data_type_id, rate_acc, rate_month, 'Euros', {sql_reporting_amount("amount", "rate_acc")} FROM now_rows WHERE data_type_id = 1) AS u),
+    now_block AS (SELECT {keys}, scenario_id, period_date, metric, data_type_id, currency, amount FROM now_merged WHERE currency = 'Pesos' OR concept_id IS NOT NULL),
+    euros AS (SELECT scenario_id, {keys}, period_date, amount, NULL AS metric FROM past WHERE scenario_id <> 4
+      UNION ALL SELECT 4, {keys}, period_date, amount, NULL FROM past WHERE scenario_id = 1
+      UNION ALL SELECT scenario_id, {keys}, period_date, amount, metric FROM now_block WHERE data_type_id = 1 AND currency = 'Euros'),
+    per_date AS (SELECT scenario_id, {keys}, period_date, CAST(sum(amount) AS DECIMAL(24,3)) AS amount, max(metric) AS metric FROM euros GROUP BY ALL),
+    lagged AS (SELECT *, amount - lag(amount, 1, 0) OVER (PARTITION BY scenario_id, {keys} ORDER BY period_date) AS month_amount FROM per_date),
+    merged_rows AS (SELECT {keys}, scenario_id, period_date, metric, data_type_id, currency, CAST(amount AS DECIMAL(24,3)) AS amount FROM now_block
+      UNION ALL SELECT {keys}, scenario_id, period_date, metric, 2, 'Euros', CAST(month_amount AS DECIMAL(24,3)) FROM lagged WHERE period_date = {PERIOD}),
+    rewritten AS (SELECT * FROM merged_rows WHERE data_type_id = 2 OR concept_id <> 1
+      UNION ALL SELECT * REPLACE (1 AS data_type_id) FROM merged_rows WHERE data_type_id = 2 AND concept_id = 1),
+    passed AS (SELECT * FROM rewritten WHERE currency = 'Pesos' OR concept_id NOT IN (1, 2, 3, 4, 28)
+      UNION ALL SELECT * REPLACE ('Euros' AS currency) FROM rewritten WHERE currency = 'Pesos' AND concept_id IN (1, 2, 3, 4, 28)),
+    dims AS (SELECT DISTINCT {RESTAGE_SQL.format(FACT_ID_SQL.format("scenario"))} AS scenario_id,
+      CASE name {" ".join(f"WHEN '{k}' THEN '{v}'" for k, v in LABELS.items())} END AS metric, unit FROM kpi_fact)
+    SELECT DISTINCT {keys}, 1657 AS company_id, scenario_id, period_date, data_type_id, currency, amount, unit, 'MX' AS country
+    FROM passed LEFT JOIN dims USING (scenario_id, metric)"""
+
+
+@query("publish_by_cost_type", _cost_type_sql())
+def publish_by_cost_type(spark, sf_dir):
+    """History: the months before, as single-period local and year-to-date reporting rows."""
+    mapping = literal_table(spark, f"{MAPPING_SCHEMA}, cost_type_id int", _cost_mapping_rows())
+    rows = cut_lineage(report_rows(wide_metrics(spark, sf_dir), mapping, REPORT_METRICS, "rate_acc", "rate_month"))
+    past = rows.where(F.col("period_date") < PERIOD).drop("rate_acc", "rate_month", "metric")
+    versions = F.array(
+        F.struct(F.lit(2).alias("data_type_id"), F.lit("Pesos").alias("currency")),
+        F.struct(F.lit(1).alias("data_type_id"), F.lit("Euros").alias("currency")),
+    )
+    stored = past.drop("data_type_id", "currency").select("*", F.inline(versions).alias("data_type_id", "currency"))
+    described = stored.withColumns({"unit": F.lit(None).cast("string"), "country": F.lit("MX")})
+    path = new_path(spark, "published")
+    overwrite_partitions(described, path, ["period_date", "scenario_id"])
+    dimensions = cut_lineage(metric_dimensions(_label_table(spark), _label_facts(spark, sf_dir), ["unit"]))
+    current = rows.where(F.col("period_date") == PERIOD)
+    return publish(
+        current, path, PERIOD, "ALL", BY_COST_TYPE, lambda df: attach_dimensions(df, dimensions, 1657, "MX")
+    )
