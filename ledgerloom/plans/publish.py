@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.calendar import year_start
@@ -21,13 +22,19 @@ from ledgerloom.plans.periods import (
 )
 from ledgerloom.session import new_path
 from ledgerloom.sources.sinks import replace_slice, stage_boundary
-from ledgerloom.sources.tables import read_slice
+from ledgerloom.sources.tables import literal_table, read_slice
 
 PUBLISHED_COLUMNS = [
     "report_id", "concept_id", "business_id", "company_id", "data_type_id", "dim1_id", "dim2_id",
     "scenario_id", "amount", "currency", "period_date",
 ]
 _RATES = ["rate_acc", "rate_month"]
+# Types of the stored columns; the cost type is stored by the variant that keys its rows by it.
+_STORED = {
+    "report_id": "int", "concept_id": "int", "business_id": "string", "company_id": "int", "data_type_id": "int",
+    "dim1_id": "int", "dim2_id": "int", "scenario_id": "int", "amount": PUBLISHED.simpleString(),
+    "currency": "string", "period_date": "int", "cost_type_id": "int",
+}
 
 
 def _columns(variant: Variant) -> list[str]:
@@ -84,6 +91,23 @@ def published_rows(
     return finish(year_to_date_rows(current, history, period, variant), history, period, mode, variant)
 
 
+def read_published(spark: SparkSession, table: str, variant: Variant = STANDARD) -> DataFrame:
+    """The published table; a table that does not exist yet has no rows.
+
+    The columns are known, so Spark need not open files to learn them. Carried columns that are not
+    stored are null.
+    """
+    columns = _columns(variant)
+    schema = ", ".join(f"{c} {_STORED[c]}" for c in columns if c in _STORED)
+    try:
+        stored = spark.read.schema(schema).parquet(table)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        stored = literal_table(spark, schema, [])
+    return stored.withColumns({c: F.lit(None).cast("string") for c in columns if c not in _STORED})
+
+
 def publish(
     current: DataFrame, table: str, period: int, mode: str = "ALL", variant: Variant = STANDARD, describe=None
 ) -> DataFrame:
@@ -98,10 +122,7 @@ def publish(
     def stored(df: DataFrame, stage: str) -> DataFrame:
         return stage_boundary(df, new_path(spark, stage), ["period_date"], {"period_date": period})
 
-    history = spark.read.parquet(table).where(F.col("period_date") < period)
-    for column in variant.carried:
-        if column not in history.columns:
-            history = history.withColumn(column, F.lit(None).cast(current.schema[column].dataType))
+    history = read_published(spark, table, variant).where(F.col("period_date") < period)
     reported = stored(current, "reported")
     cumulated = stored(year_to_date_rows(reported, history, period, variant), "cumulated")
     final = finish(cumulated, history, period, mode, variant)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.calendar import year_of_month
 from ledgerloom.functions.predicates import any_of
 from ledgerloom.functions.scenarios import fact_scenario_id, restage_scenario
-from ledgerloom.functions.types import PUBLISHED, SERVICE_MONEY
+from ledgerloom.functions.types import MONEY, PUBLISHED, SERVICE_MONEY
 from ledgerloom.operators.reshape import pivot_sum
 from ledgerloom.plans.costs import cost_block, cost_columns, scenario_spine, with_fallback
 from ledgerloom.plans.facts import FACT_KEY, build_fact, label_rows, union_masters
@@ -16,6 +16,7 @@ from ledgerloom.plans.keys import extend_dimension, surrogate_key_delta
 from ledgerloom.plans.periods import BY_COST_TYPE, month_from_fx_cumulative
 from ledgerloom.plans.publish import PUBLISHED_COLUMNS, publish
 from ledgerloom.plans.reports import MAPPING_SCHEMA, attach_dimensions, metric_dimensions, report_rows
+from ledgerloom.plans.wide import build_wide
 from ledgerloom.queries.base import (
     FACT_ID_SQL,
     LABELS,
@@ -144,21 +145,51 @@ def kpi_dim_build(spark, sf_dir):
     return extend_dimension(labels, old, "kpi_id", "kpi_label")
 
 
-@query(
-    "kpi_fact_build",
-    f"""WITH {_MASTERS_SQL}, {_DIMENSION_SQL}, typed AS (SELECT 1 AS record_id, period, {FACT_ID_SQL.format("scenario")} AS scenario_id, product, origin,
+_FACT_SQL = f"""typed AS (SELECT 1 AS record_id, period, {FACT_ID_SQL.format("scenario")} AS scenario_id, product, origin,
       CASE process WHEN 'Costes Fijos' THEN 1 WHEN 'Cuenta de resultados' THEN 3 WHEN 'Indicadores operativos' THEN 4
         WHEN 'Resultados generados' THEN 5 ELSE 6 END AS process_id, CAST(kpi_id AS INTEGER) AS kpi_id, country, channel, kpi_code, measure_unit,
       period_type, company, business_unit, CAST(CAST(value AS DECIMAL(16,2)) AS DECIMAL(24,10)) AS value, 0 AS computed
       FROM masters LEFT JOIN dimension USING (kpi_label)),
-    ranked AS (SELECT *, row_number() OVER (PARTITION BY {", ".join(FACT_KEY)} ORDER BY product NULLS FIRST, origin, channel, kpi_code, period_type, company) AS rn FROM typed)
-    SELECT * EXCLUDE (rn) FROM ranked WHERE rn = 1""",
-)
-def kpi_fact_build(spark, sf_dir):
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY {", ".join(FACT_KEY)} ORDER BY product NULLS FIRST, origin, channel, kpi_code, period_type, company) AS rn FROM typed),
+    fact AS (SELECT * EXCLUDE (rn) FROM ranked WHERE rn = 1)"""
+
+
+def _fact_inputs(spark, sf_dir):
+    """Masters of all scenarios and the dimension that holds their labels."""
     stored = _stored_masters(spark, sf_dir)
     masters = union_masters("ALL", *_split_masters(stored))
     labels, old = _dimension_inputs(stored)
-    return build_fact(masters, extend_dimension(labels, old, "kpi_id", "kpi_label"))
+    return masters, extend_dimension(labels, old, "kpi_id", "kpi_label")
+
+
+@query("kpi_fact_build", f"WITH {_MASTERS_SQL}, {_DIMENSION_SQL}, {_FACT_SQL} SELECT * FROM fact")
+def kpi_fact_build(spark, sf_dir):
+    return build_fact(*_fact_inputs(spark, sf_dir))
+
+
+# Labels of the parts without a product name, after the noise in front of them is removed.
+_WIDE_LABELS = {f"{unit}_{kind}": f"imp_{unit}_{kind.lower()}" for unit in range(1, 6) for kind in LABELS}
+
+
+@query(
+    "wide_metrics_build",
+    f"""WITH {_MASTERS_SQL}, {_DIMENSION_SQL}, {_FACT_SQL},
+    labelled AS (SELECT fact.period, fact.scenario_id, regexp_replace(kpi_label, 'Brand.', '', 'g') AS label, value FROM fact JOIN dimension USING (kpi_id)),
+    costs AS (SELECT CAST(year(o_orderdate) * 100 + month(o_orderdate) AS INTEGER) AS period, CASE o_orderstatus WHEN 'F' THEN 3 ELSE 2 END AS scenario_id,
+      CAST(sum({MONEY_SQL.format("o_totalprice")}) AS DECIMAL(24,10)) AS imp_cost FROM orders WHERE o_orderstatus IN ('F', 'O') GROUP BY 1, 2),
+    pivoted AS (SELECT period, scenario_id, {", ".join(f"CAST(sum(value) FILTER (WHERE label = '{k}') AS DECIMAL(24,10)) AS {v}" for k, v in _WIDE_LABELS.items())}
+      FROM labelled GROUP BY 1, 2)
+    SELECT pivoted.*, imp_cost FROM pivoted LEFT JOIN costs USING (period, scenario_id)""",
+)
+def wide_metrics_build(spark, sf_dir):
+    """From masters to one wide row per period and scenario, with a cost column beside."""
+    masters, dimension = _fact_inputs(spark, sf_dir)
+    orders = table(spark, sf_dir, "orders").where(F.col("o_orderstatus").isin("F", "O"))
+    costs = orders.groupBy(
+        (F.year("o_orderdate") * 100 + F.month("o_orderdate")).cast("int").alias("period"),
+        F.when(F.col("o_orderstatus") == "F", 3).otherwise(2).alias("scenario_id"),
+    ).agg(F.sum(money(F.col("o_totalprice"))).cast(MONEY).alias("imp_cost"))
+    return build_wide(build_fact(masters, dimension), dimension, _WIDE_LABELS, costs, "Brand.")
 
 
 # --------------------------------------------------------------------------------------- formulas

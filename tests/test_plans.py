@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 from ledgerloom.plans.currency import currency_block, pass_through, rewrite_rate_concept
 from ledgerloom.plans.facts import MASTER_COLUMNS, build_fact, union_masters
 from ledgerloom.plans.formulas import apply_formulas, ratio, total
+from ledgerloom.plans.month import Month, run_month
 from ledgerloom.plans.periods import (
+    BY_COST_TYPE,
     attach_cumulative,
     difference_from_previous,
     estimate_series,
@@ -15,6 +17,7 @@ from ledgerloom.plans.periods import (
     period_by_difference,
 )
 from ledgerloom.plans.publish import PUBLISHED_COLUMNS, publish, published_rows
+from ledgerloom.plans.reports import MAPPING_SCHEMA
 from ledgerloom.plans.units import conversion_factors, convert_units
 from ledgerloom.session import new_path
 from ledgerloom.sources.sinks import overwrite_partitions
@@ -272,3 +275,42 @@ def test_published_months_add_up_to_year_to_date(spark):
     assert monthly == real.where("data_type_id = 1 and period_date = 20230301").first().amount
     local = history.where("currency = 'Pesos' and data_type_id = 1 and period_date = 20230301")
     assert {r.scenario_id: r.amount for r in local.collect()} == {1: sum(months), 4: sum(months)}
+
+
+def test_a_month_from_masters_to_the_table(spark):
+    """Two runs: the second numbers only new labels and continues the first month's totals."""
+    path = new_path(spark, "test-month")
+    mapping = literal_table(spark, MAPPING_SCHEMA, [(3, "m_sum", 13, 30, "B1", 1, None), (3, "rate", 13, 1, "B1", None, None)])
+    labels = {"u.1_np": "m_p", "u.1_nq": "m_q", "u.1_nfx": "rate"}
+    formulas = [total("m_sum", "m_p", "m_q")]
+
+    def rows(period, **values):
+        found = []
+        for product, value in values.items():
+            row = list(kpi("RE", product=product, value=value))
+            row[1] = str(period)
+            found.append(tuple(row))
+        return master(spark, *found)
+
+    empty = master(spark)
+    dimension = literal_table(spark, "kpi_id int, kpi_label string", [])
+    first = Month(202301, "REAL", labels, formulas, "rate", "rate")
+    dimension, _ = run_month(first, (rows(202301, p="1000", fx="10"), empty, empty), dimension, mapping, path)
+    second = Month(202302, "REAL", labels, formulas, "rate", "rate")
+    dimension, slice_rows = run_month(second, (rows(202302, p="2000", q="500", fx="20"), empty, empty), dimension, mapping, path)
+    assert {r.kpi_label: r.kpi_id for r in dimension.collect()} == {"u.1_nfx": 1, "u.1_np": 2, "u.1_nq": 3}
+    assert amounts(slice_rows, "concept_id", "currency", "data_type_id") == [
+        (1, "Euros", 1, 20.0), (1, "Euros", 2, 20.0), (1, "Pesos", 1, 20.0), (1, "Pesos", 2, 20.0),
+        (30, "Euros", 1, 0.175), (30, "Euros", 2, 0.075), (30, "Pesos", 1, 3500.0), (30, "Pesos", 2, 2500.0),
+    ]
+
+
+def test_cost_type_variant_keeps_the_estimate_of_the_month(spark):
+    """The current estimate closes its own series there, and cost types are separate series."""
+    schema = ROW + ", metric string, cost_type_id int"
+    now = literal_table(spark, schema, [(*line(4, 20230201, 40), "m", 1), (*line(1, 20230201, 5), "m", 1), (*line(1, 20230201, 7), "n", 2)])
+    history = literal_table(spark, schema, [(*line(1, 20230101, 10), None, 1), (*line(1, 20230101, 20), None, 2)])
+    got = published_rows(now, history, 20230201, "ALL", BY_COST_TYPE).where("currency = 'Pesos'")
+    assert amounts(got, "scenario_id", "cost_type_id", "metric", "data_type_id") == [
+        (1, 1, "m", 1, 15.0), (1, 1, "m", 2, 5.0), (1, 2, "n", 1, 27.0), (1, 2, "n", 2, 7.0), (4, 1, "m", 1, 50.0), (4, 1, "m", 2, 40.0),
+    ]
