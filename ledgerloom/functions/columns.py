@@ -12,8 +12,11 @@ from ledgerloom.functions.types import MONEY
 
 
 def typed_projection(df: DataFrame, spec: Sequence[tuple[str, str, DataType | str]]) -> DataFrame:
-    """``(source column, name, type)`` triples as one projection."""
-    return df.select(*[F.col(source).cast(dtype).alias(name) for source, name, dtype in spec])
+    """``(source column, name, type)`` triples as one projection.
+
+    A value that does not fit its type becomes null, it does not end the run.
+    """
+    return df.select(*[F.col(source).try_cast(dtype).alias(name) for source, name, dtype in spec])
 
 
 def ensure_columns(df: DataFrame, names: Iterable[str], default=None, dtype: DataType | str = MONEY) -> DataFrame:

@@ -67,7 +67,7 @@ def build_fact(masters: DataFrame, dimension: DataFrame, process_codes: dict | N
     keyed = computed_key_join(rows, known, label, "kpi_label")
     typed = keyed.select(
         F.lit(1).alias("record_id"),
-        F.col("period").cast("int").alias("period"),
+        F.col("period").try_cast("int").alias("period"),
         fact_scenario_id("scenario").alias("scenario_id"),
         "product",
         "origin",
@@ -80,7 +80,7 @@ def build_fact(masters: DataFrame, dimension: DataFrame, process_codes: dict | N
         "period_type",
         "company",
         "business_unit",
-        F.col("value").cast(SOURCE_MONEY).cast(MONEY).alias("value"),
+        F.col("value").try_cast(SOURCE_MONEY).cast(MONEY).alias("value"),
         F.lit(0).alias("computed"),
     )
     return dedup_subset(typed, FACT_KEY)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.calendar import month_code
+from ledgerloom.functions.scenarios import fact_scenario_id
 from ledgerloom.functions.types import MONEY
 from ledgerloom.operators.aggregates import group_sum, has_data, only_if, reconcile_counts
 from ledgerloom.operators.dedup import dedup_rows, dedup_subset
@@ -204,11 +205,11 @@ def union_distinct_query(spark, sf_dir):
 
 @query(
     "limit_empty",
-    "SELECT n_nationkey, n_name FROM nation",
+    "SELECT p_partkey, p_name FROM part",
 )
 def limit_empty(spark, sf_dir):
-    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    return union_by_name(typed_empty(nation), nation)
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    return union_by_name(typed_empty(parts), parts)
 
 
 @query(
@@ -217,8 +218,6 @@ def limit_empty(spark, sf_dir):
     max(period) AS last_period FROM kpi_fact GROUP BY 1""",
 )
 def fact_totals(spark, sf_dir):
-    from ledgerloom.functions.scenarios import fact_scenario_id
-
     fact = kpi_fact(spark, sf_dir).withColumn("scenario_id", fact_scenario_id("scenario"))
     return fact.groupBy("scenario_id").agg(
         F.count("*").alias("n"), F.sum("value").cast(MONEY).alias("total"), F.max("period").alias("last_period")

@@ -161,9 +161,10 @@ def label_projection(spark, sf_dir):
     return dictionary_projection(wide, ["o_orderstatus"], _PRIORITIES)
 
 
-@query("all_nullable", "SELECT n_nationkey, n_name, n_regionkey, 1 AS record_id FROM nation")
+@query("all_nullable", "SELECT o_orderkey, o_custkey, o_orderstatus, 1 AS record_id FROM orders")
 def all_nullable_query(spark, sf_dir):
-    return all_nullable(table(spark, sf_dir, "nation").withColumn("record_id", F.lit(1)))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    return all_nullable(orders.withColumn("record_id", F.lit(1)))
 
 
 @query(

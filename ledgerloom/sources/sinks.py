@@ -7,9 +7,12 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.sources.tables import read_slice
+
 # Writer settings for the warehouse tables.
 JDBC_BATCH_SIZE = 1_000_000
 JDBC_ISOLATION = "READ_UNCOMMITTED"
+JDBC_CONNECTIONS = 16
 
 
 def _placed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -55,8 +58,6 @@ def replace_slice(
 
 def stage_boundary(df: DataFrame, path: str, keys: Sequence[str], wanted: Mapping[str, object]) -> DataFrame:
     """Write by partition, then read the wanted slice back: later steps start from stored rows."""
-    from ledgerloom.sources.tables import read_slice
-
     overwrite_partitions(df, path, keys)
     return read_slice(df.sparkSession, path, wanted)
 
@@ -74,7 +75,7 @@ def jdbc_options(url: str, table: str, truncate: bool, partitions: int, **extra:
     }
 
 
-def write_jdbc(df: DataFrame, url: str, table: str, mode: str, partitions: int = 1, **extra: str) -> None:
+def write_jdbc(df: DataFrame, url: str, table: str, mode: str, partitions: int = JDBC_CONNECTIONS, **extra: str) -> None:
     """Overwrite (truncating) or append a warehouse table over at most ``partitions`` connections."""
     options = jdbc_options(url, table, mode == "overwrite", partitions, **extra)
     df.write.format("jdbc").options(**options).mode(mode).save()
