@@ -15,8 +15,6 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf: str) ->
         .appName("ledgerloom")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
-        # Small local data: keep several tasks where whole partitions are smaller than a megabyte.
-        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "32k")
         .config("spark.ui.enabled", "false")
     )
     for key, value in conf.items():
