@@ -104,6 +104,8 @@ def repeated_keys(
         .where(F.col("keeper") != F.col("__last"))
         .drop("__last")
     )
+    # Stored, so that both sides of the join are shuffled for it and Spark can split a hot key.
+    held = stored(held, "line-held")
     return suspects.join(held, ["high", "low"]).where(F.col("doc_id") != F.col("keeper"))
 
 
