@@ -14,9 +14,8 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     Every round gives each node the smallest label among itself and its neighbours and then the
     label of that label, so distances halve; rounds are stored and end when no label changes.
     """
-    edges = links.select(F.col(a).alias("node"), F.col(b).alias("other"))
-    edges = edges.unionByName(edges.select(F.col("other").alias("node"), F.col("node").alias("other"))).distinct()
-    edges = stored(edges, "edges")
+    ways = [F.struct(F.col(x).alias("node"), F.col(y).alias("other")) for x, y in ((a, b), (b, a))]
+    edges = stored(links.select(F.inline(F.array(*ways))).distinct(), "edges")
     labels = stored(edges.groupBy("node").agg(F.least(F.col("node"), F.min("other")).alias("label")), "labels")
     while True:
         other = labels.select(F.col("node").alias("other"), F.col("label").alias("near"))

@@ -33,6 +33,7 @@ ORDERS = 3
 SKETCH_LOG2 = 21  # counters of the sketch; one byte each where it is broadcast
 _SEGMENTS = 64
 _CANDIDATE_LOG2 = 24
+PAIRS_PER_HUB = 5_000
 
 
 def _sets(batches, text: int = 1) -> Iterator[tuple[pa.RecordBatch, int, np.ndarray]]:
@@ -153,9 +154,15 @@ def _buckets(docs: DataFrame, levels, percent: int) -> DataFrame:
     placed = posted.select(
         "*",
         F.count(F.lit(1)).over(token).alias("size"),
-        F.first(F.struct("class", "n")).over(token.orderBy("place", "class", "n")).alias("hub"),
+        F.min("n").over(token).alias("least"),
+        F.max(F.col("n") - F.col("place")).over(token).alias("most"),
+        F.first(F.struct("class", "n", "place")).over(token.orderBy("place", "class", "n")).alias("hub"),
     )
-    return placed.where("size > 1").drop("size")
+    # A member that no partner of this shingle could complete is not needed here: at the first common
+    # shingle of a similar pair both members stay.
+    partner = F.least(F.col("n") - F.col("place"), "most")
+    useful = F.lit(100 + percent) * partner >= F.lit(percent) * (F.col("n") + F.col("least"))
+    return placed.where((F.col("size") > 1) & useful).drop("size", "least", "most")
 
 
 def _reachable(a: str, b: str, percent: int) -> F.Column:
@@ -164,6 +171,17 @@ def _reachable(a: str, b: str, percent: int) -> F.Column:
     return F.lit(100) * small >= F.lit(percent) * large
 
 
+def _completable(percent: int) -> F.Column:
+    """Whether the sets of a and b can share enough, seen from the places of a common shingle.
+
+    Shingles before the first common one are not shared, so n - place bounds what is. At a later
+    common shingle the bound is only lower; a similar pair passes at its first.
+    """
+    at_most = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
+    enough = F.lit(100 + percent) * at_most >= F.lit(percent) * (F.col("n_a") + F.col("n_b"))
+    return _reachable("n_a", "n_b", percent) & enough
+
+
 def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, levels, percent: int) -> DataFrame:
     """The pairs (class_a, n_a, class_b, n_b) that share prefixes under every order and are similar.
 
@@ -172,42 +190,42 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, levels, per
     """
     spark = docs.sparkSession
     ends = pairs.select(F.col("class_a").alias("class"), F.col("n_a").alias("n")).union(pairs.select("class_b", "n_b"))
-    wanted = stored(ends.distinct().join(classes, ["class", "n"]).select("class", "n", "first_id"), "join-classes")
-    bits = spark.sparkContext.broadcast(seen_filters(wanted.select("first_id"), _CANDIDATE_LOG2)[0])
-    kind = "class bigint, first_id bigint, shingles array<bigint>, " + ", ".join(
-        f"head{k} array<bigint>" for k in range(1, ORDERS)
-    )
+    wanted = ends.distinct().join(classes, ["class", "n"]).select("first_id")
+    bits = spark.sparkContext.broadcast(seen_filters(wanted, _CANDIDATE_LOG2)[0])
+    heads = [f"head{k}" for k in range(1, ORDERS)]
+    kind = "class bigint, n int, shingles array<bigint>, " + ", ".join(f"{h} array<int>" for h in heads)
 
     def task(batches):
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
             batch = batch.filter(pa.array(contains(bits.value, _CANDIDATE_LOG2, ids.view(np.uint64))))
-            out = [[], [], [], *([] for _ in range(1, ORDERS))]
-            for part, k, s in _sets([batch]):
+            out = [[], [], [], *([] for _ in heads)]
+            for _, _, s in _sets([batch]):
                 if len(s):
                     out[0].append(_class_id(s))
-                    out[1].append(part.column(0)[k].as_py())
+                    out[1].append(len(s))
                     out[2].append(s.view(np.int64))
-                    for order in range(1, ORDERS):
-                        out[2 + order].append(prefix(s, levels.value, order, percent).view(np.int64))
-            types = [pa.int64(), pa.int64(), *[pa.list_(pa.int64())] * ORDERS]
-            names = ["class", "first_id", "shingles", *(f"head{k}" for k in range(1, ORDERS))]
+                    for order in range(1, ORDERS):  # half of each hash is enough for a filter
+                        out[2 + order].append(prefix(s, levels.value, order, percent).astype(np.uint32).view(np.int32))
+            types = [pa.int64(), pa.int32(), pa.list_(pa.int64()), *[pa.list_(pa.int32())] * len(heads)]
+            names = ["class", "n", "shingles", *heads]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=names)
 
     known = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("bigint"), utf8("text"))
-    sets = known.mapInArrow(task, kind).withColumn("n", F.size("shingles"))
-    sets = sets.join(wanted, ["class", "n", "first_id"], "left_semi").drop("first_id")
-    # Repeated rows of one id would repeat a class.
-    sets = stored(sets.dropDuplicates(["class", "n"]), "join-sets")
-    side = {}
-    for end in "ab":
-        names = [F.col(c).alias(f"{c}_{end}") for c in sets.columns]
-        side[end] = sets.select(*names)
-    met = pairs.join(side["a"], ["class_a", "n_a"]).join(side["b"], ["class_b", "n_b"])
-    for order in range(1, ORDERS):
-        met = met.where(F.arrays_overlap(f"head{order}_a", f"head{order}_b"))
-    shared = F.size(F.array_intersect("shingles_a", "shingles_b"))
-    met = met.withColumn("shared", shared)
+    # One shuffle of the sets, used for both ends of the pairs. Repeated rows would repeat a class.
+    sets = known.mapInArrow(task, kind).repartition("class", "n").dropDuplicates(["class", "n"])
+    # A hub of very many pairs is copied, and its pairs are dealt over the copies.
+    hubs = pairs.groupBy("class_a", "n_a").agg((F.count(F.lit(1)) / PAIRS_PER_HUB + 1).cast("int").alias("copies"))
+    dealt = pairs.join(hubs, ["class_a", "n_a"])
+    dealt = dealt.withColumn("copy", F.pmod(F.xxhash64("class_b", "n_b"), F.col("copies"))).drop("copies")
+    renamed = {end: sets.select(*[F.col(c).alias(f"{c}_{end}") for c in sets.columns]) for end in "ab"}
+    hub_sets = renamed["a"].join(hubs, ["class_a", "n_a"])
+    numbers = F.sequence(F.lit(0).cast("bigint"), F.col("copies").cast("bigint") - 1)
+    hub_sets = hub_sets.withColumn("copy", F.explode(numbers)).drop("copies")
+    met = dealt.join(renamed["b"], ["class_b", "n_b"]).join(hub_sets, ["class_a", "n_a", "copy"])
+    for head in heads:
+        met = met.where(F.arrays_overlap(f"{head}_a", f"{head}_b"))
+    met = met.withColumn("shared", F.size(F.array_intersect("shingles_a", "shingles_b")))
     similar = F.lit(100) * F.col("shared") >= F.lit(percent) * (F.col("n_a") + F.col("n_b") - F.col("shared"))
     return met.where(similar).select("class_a", "n_a", "class_b", "n_b")
 
@@ -237,10 +255,11 @@ def similar_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     classes = stored(classes, "join-class-ids")
     buckets = stored(_buckets(docs.where(F.col("doc_id").isNotNull()), levels, percent), "join-buckets")
 
+    pair = ["class_a", "n_a", "class_b", "n_b"]
     stars = buckets.select(
-        F.col("hub.class").alias("class_a"), F.col("hub.n").alias("n_a"), F.col("class").alias("class_b"), F.col("n").alias("n_b")
+        *[F.col(f"hub.{c}").alias(f"{c}_a") for c in ("class", "n", "place")], *[F.col(c).alias(f"{c}_b") for c in ("class", "n", "place")]
     ).where("class_a != class_b or n_a != n_b")
-    stars = stored(stars.where(_reachable("n_a", "n_b", percent)).distinct(), "join-stars")
+    stars = stored(stars.where(_completable(percent)).select(*pair).distinct(), "join-stars")
     links = stored(_verified(docs, classes, stars, levels, percent), "join-links")
     labels = components(links.select(_node("a"), _node("b")), "node_a", "node_b")
 
@@ -254,20 +273,15 @@ def similar_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     open_ = marked.join(main, "token")
     rest = open_.where("label != main").select(*[F.col(c).alias(f"{c}_a") for c in ("class", "n", "place", "label")], "token")
     all_ = open_.select(*[F.col(c).alias(f"{c}_b") for c in ("class", "n", "place", "label", "main")], "token")
-    # Shingles before the first common one are not shared, so these many can be at most. The place of
-    # a later common shingle only lowers the bound; a similar pair passes at its first.
-    at_most = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
     rest_pairs = rest.join(all_, "token").where(
         (F.col("label_a") != F.col("label_b"))
         & ((F.col("label_b") == F.col("main_b")) | (F.col("label_a") < F.col("label_b")))
-        & _reachable("n_a", "n_b", percent)
-        & (F.lit(100 + percent) * at_most >= F.lit(percent) * (F.col("n_a") + F.col("n_b")))
+        & _completable(percent)
     )
-    pair = ["class_a", "n_a", "class_b", "n_b"]
     rest_pairs = rest_pairs.select(*pair).distinct()
     tested = stars.union(stars.select("class_b", "n_b", "class_a", "n_a"))
     rest_pairs = stored(rest_pairs.join(tested, pair, "left_anti"), "join-rest")
-    more = links.unionByName(_verified(docs, classes, rest_pairs, levels, percent))
+    more = links.unionByName(stored(_verified(docs, classes, rest_pairs, levels, percent), "join-more-links"))
     labels = components(more.select(_node("a"), _node("b")), "node_a", "node_b")
 
     placed = classes.withColumn("node", F.struct("class", "n")).join(labels, "node", "left")
