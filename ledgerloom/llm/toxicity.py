@@ -21,7 +21,7 @@ from ledgerloom.llm.quality import sample_of
 from ledgerloom.llm.words import Words, scan
 
 SAMPLE_ROWS = 10_000  # labelled documents the field is fitted on, at most
-SAMPLE_BYTES = 16 << 20  # and their bytes of text in all
+SAMPLE_BYTES = 6 << 20  # and their bytes of text in all
 BUCKET_BITS = 20
 PREFIXES, SUFFIXES = (4, 5, 6), (5,)
 STEPS, RATE, RIDGE = 15, 0.4, 1e-6
@@ -34,8 +34,16 @@ def traits(texts: list[bytes]) -> tuple[Words, np.ndarray]:
     rows = []
     for k, h in enumerate([words.core, *words.parts, *words.tails]):
         bucket = (h ^ np.uint64(0x9E3779B97F4A7C15 * k & (1 << 64) - 1)) >> np.uint64(64 - BUCKET_BITS)
-        rows.append(np.where(h == 0, 0, bucket.astype(np.int32) | 1))
-    return words, np.stack(rows) if len(words.hash) else np.zeros((len(rows), 0), dtype=np.int64)
+        rows.append(np.where(h == 0, 0, bucket.astype(np.int32) | 1).astype(np.int32))
+    return words, np.stack(rows)
+
+
+def _emission(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Sum of the weights of each word's traits."""
+    total = np.zeros(rows.shape[1])
+    for row in rows:
+        total += weights[row]
+    return total
 
 
 def _layout(first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -133,7 +141,7 @@ class Field:
 
     def words(self, texts: list[bytes]) -> tuple[Words, np.ndarray]:
         words, rows = traits(texts)
-        return words, marginals(self.weights[rows].sum(axis=0), self.transition, words.first)
+        return words, marginals(_emission(self.weights, rows), self.transition, words.first)
 
     def score(self, words: Words, p: np.ndarray) -> np.ndarray:
         z = np.clip(_summary(words.first, p) @ self.curve, -30, 30)
@@ -194,7 +202,7 @@ def fit_field(texts: list[bytes], toxic: np.ndarray) -> Field:
     first = words.first
     y = label_words(rows, first, toxic)
     used = np.unique(rows)
-    rows = np.searchsorted(used, rows)
+    rows = np.searchsorted(used, rows).astype(np.int32)
     w = np.full(len(used), -1.0)
     starts = np.zeros(len(y), dtype=bool)
     starts[first[:-1][np.diff(first) > 0]] = True
@@ -202,7 +210,7 @@ def fit_field(texts: list[bytes], toxic: np.ndarray) -> Field:
     observed = np.array([[np.sum((before == i) & (y == j)) for j in (0, 1)] for i in (0, 1)], dtype=float)
     state = [np.zeros_like(w), np.zeros_like(w), np.zeros((2, 2)), np.zeros((2, 2))]
     for step in range(1, STEPS + 1):
-        emission = w[rows].sum(axis=0)
+        emission = _emission(w, rows)
         f, b = passes(emission, transition, first)
         p = f * b / (1 + f * b)
         slope = np.zeros(len(w))
@@ -222,7 +230,7 @@ def fit_field(texts: list[bytes], toxic: np.ndarray) -> Field:
             value += RATE * m / (np.sqrt(v) + 1e-8)
     weights[used] = w
     field = Field(weights.astype(np.float32), transition, curve)
-    features = _summary(first, marginals(weights[used][rows].sum(axis=0), transition, first))
+    features = _summary(first, marginals(_emission(w, rows), transition, first))
     for _ in range(25):  # Newton steps of a ridged logistic regression
         q = 1 / (1 + np.exp(-np.clip(features @ curve, -30, 30)))
         ridge = np.array([0.0, 1.0, 1.0])
