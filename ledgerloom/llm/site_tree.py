@@ -262,6 +262,8 @@ def extract(pages: DataFrame, low: float = LOW_IMPORTANCE, min_pages: int = MIN_
     bounded_batches(spark)
     pages = pages.select("page_id", "url", "html")
     cut = low_importance(pages, low, min_pages).groupBy("host").agg(F.collect_set("path").alias("cut"))
+    # Stored, so that Spark sees its size and, beyond a broadcast, can split a hot host.
+    cut = stored(cut, "tree-cuts")
     joined = pages.withColumn("host", _host()).join(cut, "host", "left").select("page_id", "url", "html", "cut")
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
 
