@@ -30,7 +30,8 @@ from ledgerloom.llm.words import mixed, scan, shingle_sets
 
 PERCENT = 75
 ORDERS = 3
-SKETCH_LOG2 = 21  # counters of the sketch; one byte each where it is broadcast
+TEXT_PER_COUNTER = 128  # bytes of text for each counter of the sketch, so that its load stays the same
+SKETCH_LOG2 = (16, 26)  # least and most; a counter is one byte where the sketch is broadcast
 _SEGMENTS = 64
 _CANDIDATE_LOG2 = 24
 PAIRS_PER_HUB = 5_000
@@ -47,15 +48,20 @@ def _class_id(s: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63)
 
 
-def _counted(docs: DataFrame) -> DataFrame:
+def _sketch_log2(docs: DataFrame) -> int:
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return int(np.clip(np.ceil(np.log2(max(total / TEXT_PER_COUNTER, 1))), *SKETCH_LOG2))
+
+
+def _counted(docs: DataFrame, log2: int) -> DataFrame:
     """Per document its class and set size, and per task the counts of its shingles by sketch bucket."""
     schema = pa.schema(
         [("doc_id", pa.int64()), ("class", pa.int64()), ("n", pa.int64()), ("segment", pa.int32()), ("counts", pa.binary())]
     )
 
     def task(batches):
-        counts = np.zeros(1 << SKETCH_LOG2, dtype=np.uint32)
-        shift = np.uint64(64 - SKETCH_LOG2)
+        counts = np.zeros(1 << log2, dtype=np.uint32)
+        shift = np.uint64(64 - log2)
         for batch in batches:
             ids, classes, sizes, all_sets = batch.column(0), [], [], []
             for _, _, s in _sets([batch]):
@@ -63,8 +69,8 @@ def _counted(docs: DataFrame) -> DataFrame:
                 sizes.append(len(s))
                 all_sets.append(s)
             if all_sets:
-                at = (np.concatenate(all_sets) >> shift).astype(np.int64)
-                counts += np.bincount(at, minlength=len(counts)).astype(np.uint32)
+                at, times = np.unique((np.concatenate(all_sets) >> shift).astype(np.int64), return_counts=True)
+                counts[at] += times.astype(np.uint32)
             none = pa.nulls(len(sizes))
             yield pa.RecordBatch.from_arrays(
                 [ids, pa.array(classes, pa.int64()), pa.array(sizes, pa.int64()), none.cast(pa.int32()), none.cast(pa.binary())],
@@ -80,7 +86,7 @@ def _counted(docs: DataFrame) -> DataFrame:
     return texts.mapInArrow(task, "doc_id bigint, class bigint, n bigint, segment int, counts binary")
 
 
-def _levels(counted: DataFrame) -> np.ndarray:
+def _levels(counted: DataFrame, log2: int) -> np.ndarray:
     """Frequency level of each sketch bucket: twice the binary logarithm of its count."""
     schema = pa.schema([("segment", pa.int32()), ("levels", pa.binary())])
 
@@ -111,7 +117,7 @@ def _levels(counted: DataFrame) -> np.ndarray:
         .mapInArrow(task, "segment int, levels binary")
         .collect()
     )
-    levels = np.zeros(1 << SKETCH_LOG2, dtype=np.uint8)
+    levels = np.zeros(1 << log2, dtype=np.uint8)
     step = len(levels) // _SEGMENTS
     for row in rows:
         levels[row["segment"] * step : (row["segment"] + 1) * step] = np.frombuffer(row["levels"], dtype=np.uint8)
@@ -122,7 +128,7 @@ def prefix(s: np.ndarray, levels: np.ndarray, order: int, percent: int) -> np.nd
     """The first n - ceil(t n) + 1 shingles of a set: rare ones first, ties by a hash of the order."""
     size = len(s) - (-(-percent * len(s) // 100)) + 1
     tie = mixed(s ^ np.uint64(0x5851F42D4C957F2D * (order + 1) & (1 << 64) - 1))
-    level = levels[(s >> np.uint64(64 - SKETCH_LOG2)).astype(np.int64)]
+    level = levels[(s >> np.uint64(64 - (len(levels).bit_length() - 1))).astype(np.int64)]
     return s[np.lexsort((tie, level))[:size]]
 
 
@@ -247,8 +253,9 @@ def similar_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     spark = docs.sparkSession
     bounded_batches(spark)
     docs = docs.select("doc_id", "text")
-    counted = stored(_counted(docs), "join-counted")
-    levels = spark.sparkContext.broadcast(_levels(counted))
+    log2 = _sketch_log2(docs)
+    counted = stored(_counted(docs, log2), "join-counted")
+    levels = spark.sparkContext.broadcast(_levels(counted, log2))
     members = counted.where(F.col("segment").isNull()).select("doc_id", "class", F.col("n").cast("int").alias("n"))
     # A class of rows without ids only cannot link anything with an id that matters to the result.
     classes = members.where(F.col("class").isNotNull()).groupBy("class", "n").agg(F.min("doc_id").alias("first_id"))
