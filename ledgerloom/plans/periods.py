@@ -128,7 +128,11 @@ def period_by_difference(
     served = F.when(is_real, F.array(F.lit(ids["RE"]), F.lit(ids["EST"]))).otherwise(F.array("scenario_id"))
     past = past.withColumn("scenario_id", F.explode(served)).select(*columns)
     series = past.unionByName(current.where(wanted).select(*columns))
-    per_date = series.groupBy(*variant.differences, "period_date").agg(
+    # Every row of a series carries the total of the whole series, once for each metric that feeds it.
+    whole = [*dict.fromkeys([*variant.series, *variant.differences]), "period_date"]
+    others = [c for c in variant.carried if c not in whole]
+    once = series.groupBy(*whole).agg(F.max("amount").alias("amount"), *[F.max(c).alias(c) for c in others])
+    per_date = once.groupBy(*variant.differences, "period_date").agg(
         F.sum("amount").alias("amount"), *[F.max(c).alias(c) for c in variant.carried]
     )
     window = Window.partitionBy(*variant.differences).orderBy("period_date")

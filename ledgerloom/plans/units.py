@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.scalars import affine, code_of, unit_factor
-from ledgerloom.operators.bounds import broadcast_if_bounded
 from ledgerloom.operators.joins import map_join
 
 # Business units and the codes used by the unit setup; anything else is 4.
@@ -62,22 +61,33 @@ def convert_units(
 
     Instead of turning the fact into rows and back, which would shuffle it several times over, the
     factors are turned into one row per business unit and joined to the fact, which keeps its
-    place. A pair without a factor is null.
+    place. A pair without a factor is null. Factor and offset of a pair are one value: several of them for
+    a business unit, or a configured pair that is not wanted, are an error when the query runs.
     """
-    def pick(value: str, attribute: str, unit: str) -> Column:
-        chosen = (F.col("attribute_name") == attribute) & (F.col("to_unit") == unit)
-        return F.max(F.when(chosen, F.col(value)))
-
-    aggregates = []
+    named = F.concat_ws(" in ", "attribute_name", "to_unit")
+    asked = F.lit(False)
+    for attribute, unit in wanted:
+        asked = asked | ((F.col("attribute_name") == attribute) & (F.col("to_unit") == unit))
+    aggregates = [F.max(F.when(~asked, named)).alias("__unwanted")]
     for attribute, unit in wanted:
-        aggregates.append(pick("factor", attribute, unit).alias(f"__f_{attribute}_{unit}"))
-        aggregates.append(pick("offset", attribute, unit).alias(f"__o_{attribute}_{unit}"))
-    per_unit = broadcast_if_bounded(factors.groupBy("id_bu").agg(*aggregates))
+        chosen = (F.col("attribute_name") == attribute) & (F.col("to_unit") == unit) & F.col("factor").isNotNull()
+        both = F.when(chosen, F.struct("factor", "offset"))
+        aggregates += [F.min(both).alias(f"__a_{attribute}_{unit}"), F.max(both).alias(f"__b_{attribute}_{unit}")]
+    found = factors.groupBy("id_bu").agg(*aggregates)
+
+    def single(attribute: str, unit: str) -> Column:
+        low, high = F.col(f"__a_{attribute}_{unit}"), F.col(f"__b_{attribute}_{unit}")
+        several = F.concat(F.lit(f"several factors for {attribute} in {unit} at "), F.coalesce("id_bu", F.lit("no unit")))
+        missing = F.concat(F.lit("configured but not wanted: "), F.col("__unwanted"))
+        checked = F.when(F.col("__unwanted").isNotNull(), F.raise_error(missing))
+        return checked.when(~low.eqNullSafe(high), F.raise_error(several)).otherwise(low)
+
+    per_unit = found.select("id_bu", *[single(a, u).alias(f"__p_{a}_{u}") for a, u in wanted])
     joined = fact.join(per_unit, "id_bu", "left")
     return joined.select(
         *fixed,
         *[
-            affine(attribute, f"__f_{attribute}_{unit}", f"__o_{attribute}_{unit}").alias(f"{attribute}_{unit}")
+            affine(attribute, F.col(f"__p_{attribute}_{unit}.factor"), F.col(f"__p_{attribute}_{unit}.offset")).alias(f"{attribute}_{unit}")
             for attribute, unit in wanted
         ],
     )

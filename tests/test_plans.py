@@ -139,6 +139,13 @@ def test_difference_of_the_estimate_uses_real_history(spark):
     assert amounts(period_by_difference(history, current, 20230201), "scenario_id") == [(2, 3.0), (4, 3.0)]
 
 
+def test_metrics_of_one_series_carry_its_total_once(spark):
+    """Both rows hold the year-to-date total of the whole series."""
+    history = table_of(spark, line(1, 20230101, 1000, 1, "Euros"))
+    current = table_of(spark, line(1, 20230201, 2200, 1, "Euros"), line(1, 20230201, 2200, 1, "Euros"))
+    assert amounts(period_by_difference(history, current, 20230201), "scenario_id") == [(1, 1200.0)]
+
+
 # ------------------------------------------------------------------------------------ currency
 
 
@@ -240,6 +247,24 @@ def test_conversion_agrees_with_rows_and_pivot(spark):
     assert got == {1: (2.0, 2001.0), 2: (None, 3.0), 3: (None, None), 4: (None, None)}
 
 
+@pytest.mark.parametrize(
+    "setup_rows, conversion_rows, wanted, message",
+    [
+        ([("V", "m3", "Y", "N", "PER"), ("V", "bbl", "Y", "N", "CHL")], [("m3", "l", 1.8, 32.0), ("bbl", "l", 2.25, 1.0)], ["m3", "bbl", "l"], "several factors"),
+        ([("V", "m3", "Y", "N", "PER")], [("m3", "l", 1.8, 32.0)], ["l"], "configured but not wanted"),
+    ],
+)
+def test_conversion_refuses_to_choose(spark, setup_rows, conversion_rows, wanted, message):
+    """Two "other" business units with different database units, and a pair nobody asked for."""
+    presentation = literal_table(spark, "class_name string, attribute_name string, uom string, id_bu string", [("S", "q", "V", "PER")])
+    setup = literal_table(spark, "measurement_type string, unit string, db_unit string, view_unit string, id_bu string", [*setup_rows, ("V", "l", "N", "Y", "PER")])
+    conversion = literal_table(spark, "from_unit string, to_unit string, mult_fact double, add_numb double", conversion_rows)
+    factors = conversion_factors(presentation, setup, conversion, "S")
+    fact = spark.createDataFrame([(1, "PER", 10.0)], "k int, id_bu string, q double")
+    with pytest.raises(Exception, match=message):
+        convert_units(fact, factors, ["k"], [("q", u) for u in wanted]).collect()
+
+
 # --------------------------------------------------------------------------------- publication
 
 
