@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.session import new_path
 from ledgerloom.sources.tables import read_slice
 
 # Writer settings for the warehouse tables.
@@ -40,20 +41,32 @@ def replace_slice(
 ) -> None:
     """Make the slice (period, scenarios) of the table at ``path`` equal to the rows of ``df``.
 
-    The table is laid out by period and scenario. ``scenarios=None`` replaces the whole period.
-    Slices for which ``df`` has no rows end up empty, as after a delete. Each leaf folder is
-    overwritten on its own, so a failed run can simply be repeated.
+    The table is laid out by period and scenario. ``scenarios=None`` replaces the whole period. A row
+    outside the slice is an error, found before anything is replaced. ``df`` is evaluated once, into
+    a stage; slices for which it has no rows end up empty, as after a delete. Leaf folders are
+    replaced one by one, so a failed run is repeated.
     """
-    rows = df.where(F.col(period_column) == period).drop(period_column)
+    spark = df.sparkSession
+    inside = F.col(period_column) == period
+    if scenarios is not None:
+        inside = inside & F.col(scenario_column).isin(list(scenarios))
+    checked = F.when(F.coalesce(inside, F.lit(False)), F.col(scenario_column)).otherwise(
+        F.raise_error(F.lit(f"a row lies outside the slice {period_column}={period}, {scenarios}"))
+    )
+    columns = [c for c in df.columns if c not in (period_column, scenario_column)]
+    rows = df.select(*columns, checked.alias(scenario_column))
+    stage = new_path(spark, "slice")
+    _placed(rows, [scenario_column]).write.partitionBy(scenario_column).parquet(stage)
+    staged = spark.read.schema(rows.schema).parquet(stage)
+    folder = f"{path}/{period_column}={period}"
+    writer = staged.write.partitionBy(scenario_column).mode("overwrite")
     if scenarios is None:
-        folder = f"{path}/{period_column}={period}"
-        writer = _placed(rows, [scenario_column]).write.partitionBy(scenario_column)
-        writer.mode("overwrite").option("partitionOverwriteMode", "static").parquet(folder)
+        writer.option("partitionOverwriteMode", "static").parquet(folder)
         return
-    for scenario in scenarios:
-        leaf = f"{path}/{period_column}={period}/{scenario_column}={scenario}"
-        part = rows.where(F.col(scenario_column) == scenario).drop(scenario_column)
-        part.write.mode("overwrite").parquet(leaf)
+    writer.option("partitionOverwriteMode", "dynamic").parquet(folder)
+    present = {r[0] for r in staged.select(scenario_column).distinct().collect()}  # at most the listed ones
+    for scenario in set(scenarios) - present:
+        staged.drop(scenario_column).limit(0).write.mode("overwrite").parquet(f"{folder}/{scenario_column}={scenario}")
 
 
 def stage_boundary(df: DataFrame, path: str, keys: Sequence[str], wanted: Mapping[str, object]) -> DataFrame:

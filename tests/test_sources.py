@@ -59,7 +59,12 @@ def test_replace_slice_of_unlisted_scenarios(spark):
     overwrite_partitions(df, path, ["p", "s"])
     replace_slice(df.limit(0), path, "p", 1, "s", [2])
     assert sorted(r.v for r in spark.read.parquet(path).collect()) == ["a", "c"]
-    replace_slice(spark.createDataFrame([(1, 3, "d"), (9, 9, "ignored")], "p int, s int, v string"), path, "p", 1, "s", None)
+    outside = spark.createDataFrame([(1, 3, "d"), (9, 9, "outside")], "p int, s int, v string")
+    for scenarios in (None, [3, 9], [2]):
+        with pytest.raises(Exception, match="outside the slice"):
+            replace_slice(outside, path, "p", 1, "s", scenarios)
+    assert sorted(r.v for r in spark.read.parquet(path).collect()) == ["a", "c"]
+    replace_slice(outside.where("p = 1"), path, "p", 1, "s", None)
     assert sorted(r.v for r in spark.read.parquet(path).collect()) == ["c", "d"]
 
 
