@@ -28,15 +28,19 @@ def null_to_zero(column: str | Column, dtype: DataType = MONEY) -> Column:
     return F.coalesce(_col(column), F.lit(0).cast(dtype))
 
 
+# Each decimal addition widens the type by a digit; beyond 38 digits decimals would be cut off, so a
+# running sum returns to its type after this many operands.
+OPERANDS_AT_ONCE = 10
+
+
 def signed_sum(plus: Sequence[str], minus: Sequence[str] = (), dtype: DataType = MONEY) -> Column:
     """Null-safe ``a + b - c``; a missing operand counts as zero."""
-    total = None
-    for name in plus:
-        total = null_to_zero(name, dtype) if total is None else total + null_to_zero(name, dtype)
-    for name in minus:
-        total = -null_to_zero(name, dtype) if total is None else total - null_to_zero(name, dtype)
-    if total is None:
+    operands = [null_to_zero(name, dtype) for name in plus] + [-null_to_zero(name, dtype) for name in minus]
+    if not operands:
         raise ValueError("a signed sum needs at least one operand")
+    total = operands[0]
+    for number, operand in enumerate(operands[1:], start=1):
+        total = (total.cast(dtype) if number % OPERANDS_AT_ONCE == 0 else total) + operand
     return total.cast(dtype)
 
 

@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
+from ledgerloom.functions.scalars import OPERANDS_AT_ONCE
 from ledgerloom.functions.types import MONEY
 
 
@@ -57,8 +58,11 @@ def _expression(formula: Formula, names: Sequence[str], scenario: str) -> str:
     """SQL text of a formula; one text per metric is much cheaper to build than a tree of columns."""
     if formula.kind == "sum":
         count = len(formula.operands)
-        text = " + ".join(_or_zero(n) for n in names[:count]) or f"cast(0 as {_TYPE})"
-        text += "".join(f" - {_or_zero(n)}" for n in names[count:])
+        text = _or_zero(names[0]) if count else f"cast(0 as {_TYPE})"
+        for number, name in enumerate(names[1 if count else 0 :], start=1):
+            if number % OPERANDS_AT_ONCE == 0:
+                text = f"cast({text} as {_TYPE})"
+            text += f" {'+' if number < count else '-'} {_or_zero(name)}"
     elif formula.kind == "ratio":
         text = f"try_divide({_or_zero(names[0])}, {_or_zero(names[1])})"
     elif formula.kind == "adjustment":

@@ -6,8 +6,7 @@ from collections.abc import Mapping, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.pandas.types import to_arrow_type
-from pyspark.sql.types import StructType, _parse_datatype_string
+from pyspark.sql.types import DataType, DecimalType, StructType
 
 from ledgerloom.functions.predicates import all_equal
 
@@ -25,11 +24,29 @@ def read_table(spark: SparkSession, name: str, options: Mapping[str, str] | None
     return spark.read.format("jdbc").options(**options).option("dbtable", name).load()
 
 
+_ARROW_TYPES = {
+    "string": pa.string(),
+    "int": pa.int32(),
+    "bigint": pa.int64(),
+    "double": pa.float64(),
+    "boolean": pa.bool_(),
+    "date": pa.date32(),
+    "timestamp": pa.timestamp("us", "UTC"),
+    "timestamp_ntz": pa.timestamp("us"),
+}
+
+
+def _arrow_type(kind: DataType) -> pa.DataType:
+    if isinstance(kind, DecimalType):
+        return pa.decimal128(kind.precision, kind.scale)
+    return _ARROW_TYPES[kind.simpleString()]
+
+
 def literal_table(spark: SparkSession, schema: str | StructType, rows: Sequence[Sequence]) -> DataFrame:
     """Rows written in the program as a local relation, so that Spark knows its exact size."""
-    struct = _parse_datatype_string(schema) if isinstance(schema, str) else schema
+    struct = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     columns = list(zip(*rows, strict=True)) if rows else [()] * len(struct.fields)
-    arrays = [pa.array(list(c), type=to_arrow_type(f.dataType)) for c, f in zip(columns, struct.fields, strict=True)]
+    arrays = [pa.array(list(c), type=_arrow_type(f.dataType)) for c, f in zip(columns, struct.fields, strict=True)]
     table = pa.Table.from_arrays(arrays, names=[f.name for f in struct.fields])
     return spark.createDataFrame(table, schema=struct)
 

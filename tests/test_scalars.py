@@ -102,3 +102,18 @@ def test_scenario_modes(spark):
     assert fact == {"ALL": [1, 2, 3, 4], "PA-UPA": [2, 4], "EST": [1], "REAL": [3], "PA": [2], "UPA": [4]}
     assert scenario_ids("PA-UPA", "published") == [2, 3]
     assert [r[0] for r in df.select(restage_scenario("scenario_id", "fact", "published")).collect()] == [4, 2, 1, 3]
+
+
+def test_sums_of_many_operands_are_exact(spark):
+    from decimal import Decimal
+
+    from pyspark.sql import functions as F
+
+    from ledgerloom.functions.scalars import signed_sum
+    from ledgerloom.plans.formulas import apply_formulas, total
+
+    names = [f"c{k}" for k in range(25)]
+    row = spark.range(1).select(F.lit(1).alias("scenario_id"), *[F.lit(Decimal("0.0000000001")).cast("decimal(24,10)").alias(n) for n in names])
+    assert row.select(signed_sum(names)).first()[0] == Decimal("0.0000000025")
+    assert row.select(signed_sum(names[:3], names[3:])).first()[0] == Decimal("-0.0000000019")
+    assert apply_formulas(row, [total("all", *names)]).first()["all"] == Decimal("0.0000000025")
