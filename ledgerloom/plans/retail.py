@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Business rules.
@@ -52,14 +52,19 @@ def inventory_report(stock: DataFrame) -> DataFrame:
 
 
 def validate_items(items: DataFrame, stock: DataFrame) -> DataFrame:
-    """Each order line with its verdict: unknown product, too little stock, or ok."""
+    """Each order line with its verdict: unknown product, too little stock, or ok.
+
+    Lines of one order draw on the same stock: their quantities are added up per product.
+    """
+    together = F.sum("quantity").over(Window.partitionBy("order_id", "product_id"))
     known = stock.select("product_id", "stock", F.lit(True).alias("__known"))
     verdict = (
         F.when(F.col("__known").isNull(), UNKNOWN)
-        .when(F.coalesce(F.col("stock") < F.col("quantity"), F.lit(True)), SHORT)
+        .when(F.col("quantity").isNull() | F.coalesce(F.col("stock") < F.col("__together"), F.lit(True)), SHORT)
         .otherwise(ACCEPTED)
     )
-    return items.join(known, "product_id", "left").withColumn("verdict", verdict).drop("__known")
+    demand = items.withColumn("__together", together)
+    return demand.join(known, "product_id", "left").withColumn("verdict", verdict).drop("__known", "__together")
 
 
 def accepted_orders(items: DataFrame, stock: DataFrame) -> DataFrame:

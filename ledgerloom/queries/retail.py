@@ -114,7 +114,7 @@ _STOCK_SQL = "SELECT p_partkey, p_size FROM part WHERE p_type <> 'PROMO'"
 @query(
     "order_validate",
     f"""SELECT l_orderkey AS order_id, l_partkey AS product_id, l_linenumber AS line, CAST(l_quantity AS INTEGER) AS quantity,
-    CASE WHEN p_partkey IS NULL THEN 'unknown product' WHEN p_size < l_quantity THEN 'insufficient stock' ELSE 'ok' END AS verdict
+    CASE WHEN p_partkey IS NULL THEN 'unknown product' WHEN p_size < sum(l_quantity) OVER (PARTITION BY l_orderkey, l_partkey) THEN 'insufficient stock' ELSE 'ok' END AS verdict
     FROM lineitem LEFT JOIN ({_STOCK_SQL}) AS s ON l_partkey = p_partkey""",
 )
 def order_validate(spark, sf_dir):
@@ -125,8 +125,9 @@ def order_validate(spark, sf_dir):
 
 @query(
     "order_accept",
-    f"""SELECT l_orderkey AS order_id, bool_and(p_partkey IS NOT NULL AND p_size >= l_quantity) AS accepted
-    FROM lineitem LEFT JOIN ({_STOCK_SQL}) AS s ON l_partkey = p_partkey GROUP BY 1""",
+    f"""SELECT l_orderkey AS order_id, bool_and(p_partkey IS NOT NULL AND p_size >= wanted) AS accepted
+    FROM (SELECT l_orderkey, l_partkey, sum(l_quantity) AS wanted FROM lineitem GROUP BY ALL) AS i
+    LEFT JOIN ({_STOCK_SQL}) AS s ON l_partkey = p_partkey GROUP BY 1""",
 )
 def order_accept(spark, sf_dir):
     stock = _products(spark, sf_dir).where(F.col("category") != "PROMO")

@@ -48,3 +48,9 @@ def test_report_and_upsert(spark):
     new = spark.createDataFrame([(2, "x"), (4, "d")], "product_id int, name string")
     assert sorted(tuple(r) for r in R.add_products(known, new).collect()) == [(1, "a"), (2, "b"), (3, "c"), (4, "d")]
     assert sorted(r.product_id for r in R.remove_products(known, new).collect()) == [1, 3]
+
+
+def test_lines_of_one_order_share_the_stock(spark):
+    items = spark.createDataFrame([(1, 2, 12), (1, 2, 12), (2, 2, 12), (2, 1, 5), (3, 2, None)], "order_id int, product_id int, quantity int")
+    got = {r.order_id: r.accepted for r in R.accepted_orders(items, stock(spark)).collect()}
+    assert got == {1: False, 2: True, 3: False}
