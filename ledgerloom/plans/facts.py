@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.scalars import clean_unit, code_of, composite_label
 from ledgerloom.functions.scenarios import RUN_MODES, fact_scenario_id
 from ledgerloom.functions.types import MONEY, SOURCE_MONEY
-from ledgerloom.operators.bounds import broadcast_if_bounded
 from ledgerloom.operators.dedup import dedup_subset
 from ledgerloom.operators.joins import computed_key_join
 
@@ -63,7 +62,7 @@ def build_fact(masters: DataFrame, dimension: DataFrame, process_codes: dict | N
     """
     rows = masters.withColumn("business_unit", clean_unit("business_unit"))
     label = composite_label("business_unit", "kpi_name", "product")
-    known = broadcast_if_bounded(dimension.select("kpi_id", "kpi_label"))
+    known = dimension.select("kpi_id", "kpi_label")
     keyed = computed_key_join(rows, known, label, "kpi_label")
     typed = keyed.select(
         F.lit(1).alias("record_id"),

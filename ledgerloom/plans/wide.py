@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import dictionary_projection
 from ledgerloom.functions.scalars import strip_pattern
-from ledgerloom.operators.bounds import broadcast_if_bounded
 from ledgerloom.operators.reshape import pivot_sum
 
 
@@ -30,7 +29,7 @@ def build_wide(
     rows = fact.dropDuplicates([c for c in fact.columns if c != "record_id"])
     summed = rows.groupBy("period", "scenario_id", "kpi_id").agg(F.sum("value").alias("value"))
     label = F.col("kpi_label") if noise is None else strip_pattern("kpi_label", noise)
-    known = broadcast_if_bounded(dimension.select("kpi_id", label.alias("label")))
+    known = dimension.select("kpi_id", label.alias("label"))
     labelled = summed.join(known, "kpi_id")
     keys = ["period", "scenario_id"]
     wide = dictionary_projection(pivot_sum(labelled, keys, "label", "value", list(labels)), keys, labels)
