@@ -1,0 +1,26 @@
+"""The registered queries against their SQL, and the pipeline's stages."""
+
+import pytest
+from compare import connect, differences
+
+import corpus_pipeline
+from ledgerloom.llm.queries import ORACLES, QUERIES
+
+
+@pytest.mark.parametrize("name", list(ORACLES))
+def test_query_matches_sql(spark, sf_dir, name):
+    assert differences(QUERIES[name](spark, sf_dir), connect(sf_dir), ORACLES[name]) is None
+
+
+def test_pipeline_keeps_columns_and_packs_what_is_left(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    columns = docs.columns
+    before = docs.count()
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = spark.createDataFrame(stage(spark, docs, sf_dir).toArrow())
+        assert docs.columns == columns
+        assert 0 < docs.count() <= before, name
+        before = docs.count()
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir)
+    assert packed.select("doc_id").distinct().count() == before
+    assert corpus_pipeline.run(spark, sf_dir).count() == packed.count()
