@@ -31,7 +31,10 @@ _BASE_SQL = f"""{KPI_FACT_SQL}, base AS (SELECT period, {_PUBLISHED_ID_SQL} AS s
 def _base(spark, sf_dir):
     fact = kpi_fact(spark, sf_dir).withColumn("scenario_id", published_scenario_id("scenario"))
     summed = fact.groupBy("period", "scenario_id", "unit").agg(F.sum("value").cast(MONEY).alias("value"))
-    return summed.select(*_COLUMNS)
+    # Stored once: the queries write it and then write parts of it again.
+    path = new_path(spark, "base")
+    summed.select(*_COLUMNS).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def _doubled(df):
