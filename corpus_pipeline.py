@@ -36,13 +36,14 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def similar_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of similar ones: the smallest id. Documents alone stay, rows without id too."""
     groups = similar_groups(docs)
-    away = groups.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
+    # Stored, so that Spark sees how few ids there are before it would shuffle the texts.
+    away = stored(groups.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct(), "pipeline-similar")
     return docs.join(away, "doc_id", "left_anti").select(docs.columns)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain no benchmark item."""
-    leaks = contaminated(docs, _table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
+    leaks = stored(contaminated(docs, _table(spark, sf_dir, "benchmark")).select("doc_id").distinct(), "pipeline-leaks")
     return docs.join(leaks, "doc_id", "left_anti").select(docs.columns)
 
 
