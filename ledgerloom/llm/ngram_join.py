@@ -288,11 +288,15 @@ def similar_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     rest_pairs = rest_pairs.select(*pair).distinct()
     tested = stars.union(stars.select("class_b", "n_b", "class_a", "n_a"))
     rest_pairs = stored(rest_pairs.join(tested, pair, "left_anti"), "join-rest")
-    more = links.unionByName(stored(_verified(docs, classes, rest_pairs, levels, percent), "join-more-links"))
-    labels = components(more.select(_node("a"), _node("b")), "node_a", "node_b")
+    more = stored(_verified(docs, classes, rest_pairs, levels, percent), "join-more-links")
 
+    # The later links join components found before, so only those are labelled anew.
     placed = classes.withColumn("node", F.struct("class", "n")).join(labels, "node", "left")
-    placed = placed.withColumn("label", F.coalesce("label", "node"))
+    placed = stored(placed.withColumn("label", F.coalesce("label", "node")).drop("node"), "join-placed")
+    ends = {end: placed.select(*[F.col(c).alias(f"{c}_{end}") for c in ("class", "n", "label")]) for end in "ab"}
+    between = more.join(ends["a"], ["class_a", "n_a"]).join(ends["b"], ["class_b", "n_b"]).select("label_a", "label_b")
+    outer = components(between, "label_a", "label_b").select(F.col("node").alias("label"), F.col("label").alias("top"))
+    placed = placed.join(outer, "label", "left").withColumn("label", F.coalesce("top", "label")).drop("top")
     smallest = placed.groupBy("label").agg(F.min("first_id").alias("component"))
     placed = placed.join(smallest, "label").select("class", "n", "component")
     return members.join(placed, ["class", "n"], "left").select(
