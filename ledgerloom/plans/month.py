@@ -34,6 +34,7 @@ class Month:
     process_codes: Mapping[str, int] | None = None
     noise: str | None = None
     variant: Variant = field(default=STANDARD)
+    first_month: bool = False
 
 
 def build_metrics(
@@ -65,4 +66,4 @@ def run_month(
     rows = report_rows(dated, mapping, metrics, month.rate_acc, month.rate_month)
     if "metric" not in month.variant.carried:
         rows = rows.drop("metric")
-    return known, publish(rows, table, month.period * 100 + 1, month.mode, month.variant)
+    return known, publish(rows, table, month.period * 100 + 1, month.mode, month.variant, first_month=month.first_month)

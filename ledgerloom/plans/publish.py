@@ -91,8 +91,10 @@ def published_rows(
     return finish(year_to_date_rows(current, history, period, variant), history, period, mode, variant)
 
 
-def read_published(spark: SparkSession, table: str, variant: Variant = STANDARD) -> DataFrame:
-    """The published table; a table that does not exist yet has no rows.
+def read_published(
+    spark: SparkSession, table: str, variant: Variant = STANDARD, first_month: bool = False
+) -> DataFrame:
+    """The published table. Only a first month may find none; it then has no rows.
 
     The columns are known, so Spark need not open files to learn them. Carried columns that are not
     stored are null.
@@ -102,30 +104,44 @@ def read_published(spark: SparkSession, table: str, variant: Variant = STANDARD)
     try:
         stored = spark.read.schema(schema).parquet(table)
     except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
+        if not first_month or error.getCondition() != "PATH_NOT_FOUND":
             raise
         stored = literal_table(spark, schema, [])
     return stored.withColumns({c: F.lit(None).cast("string") for c in columns if c not in _STORED})
 
 
 def publish(
-    current: DataFrame, table: str, period: int, mode: str = "ALL", variant: Variant = STANDARD, describe=None
+    current: DataFrame,
+    table: str,
+    period: int,
+    mode: str = "ALL",
+    variant: Variant = STANDARD,
+    describe=None,
+    series: str | None = None,
+    first_month: bool = False,
 ) -> DataFrame:
     """Publish into the table at ``table`` and return the stored slice.
 
     Each stage is stored and read back: several later branches start from it, and replacing the
     slice must not read the part of the table that is being replaced. ``describe`` may turn the
-    final rows into those of the table, for example by attaching dimensions.
+    final rows into those of the table, for example by attaching dimensions. An amount then stands
+    once per dimension value, so the rows before it are kept in the table ``series`` as well, and
+    later months continue that one. A missing table is an error unless this is the ``first_month``.
     """
     spark = current.sparkSession
+    if (describe is None) != (series is None):
+        raise ValueError("described rows need a table for the series, others none")
 
     def stored(df: DataFrame, stage: str) -> DataFrame:
         return stage_boundary(df, new_path(spark, stage), ["period_date"], {"period_date": period})
 
-    history = read_published(spark, table, variant).where(F.col("period_date") < period)
+    history = read_published(spark, series or table, variant, first_month).where(F.col("period_date") < period)
     reported = stored(current, "reported")
     cumulated = stored(year_to_date_rows(reported, history, period, variant), "cumulated")
     final = finish(cumulated, history, period, mode, variant)
-    final = stored(final if describe is None else describe(final), "final")
-    replace_slice(final, table, "period_date", period, "scenario_id", scenario_ids(mode, "published"))
+    final = stored(final, "final")
+    slice_of = ("period_date", period, "scenario_id", scenario_ids(mode, "published"))
+    if series is not None:
+        replace_slice(final, series, *slice_of)
+    replace_slice(final if describe is None else describe(final), table, *slice_of)
     return select_scenarios(read_slice(spark, table, {"period_date": period}), mode, "published")

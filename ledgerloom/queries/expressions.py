@@ -207,13 +207,13 @@ def fx_scale(spark, sf_dir):
 
 @query(
     "greeting",
-    "SELECT c_custkey, 'Hello, ' || c_name || '!' AS greeting, 1657 AS company_id, 'MX' AS country FROM customer",
+    "SELECT c_custkey, 'Hello, ' || c_name || '!' AS greeting, 7 AS company_id, 'MX' AS country FROM customer",
 )
 def greeting(spark, sf_dir):
     return table(spark, sf_dir, "customer").select(
         "c_custkey",
         F.format_string("Hello, %s!", "c_name").alias("greeting"),
-        F.lit(1657).alias("company_id"),
+        F.lit(7).alias("company_id"),
         F.lit("MX").alias("country"),
     )
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.calendar import year_of_month
@@ -269,11 +271,11 @@ def formula_tree(spark, sf_dir):
 
 # ------------------------------------------------------------------------------------------ costs
 
-_UNITS = [2049, 2050]
+_UNITS = [51, 52]
 _OPEN_KPIS = ["imp_economy", "imp_small"]
 _CLOSED_KPIS = ["imp_standard", "imp_medium", "imp_promo"]
 _COST_LABELS = [f"{u}_{k}" for u in _UNITS for k in [*_OPEN_KPIS, *_CLOSED_KPIS, "imp_luxury"]]
-_FLIPPED = {2: ["2049_imp_economy", "2049_imp_promo", "s_urgent"]}
+_FLIPPED = {2: ["51_imp_economy", "51_imp_promo", "s_urgent"]}
 _SERVICES = {"1-URGENT": "s_urgent", "2-HIGH": "s_high"}
 _COST_METRICS = [*_COST_LABELS, *_SERVICES.values()]
 
@@ -286,7 +288,7 @@ def _cost_source(spark, sf_dir):
         (F.year("o_orderdate") * 100 + F.month("o_orderdate")).cast("int").alias("period"),
         F.concat(F.lit("imp_"), F.lower("p_type")).alias("kpi"),
         F.when(F.col("o_orderstatus") == "F", 1).otherwise(2).alias("scenario_id"),
-        F.when(F.col("p_size") <= 25, 2049).otherwise(2050).alias("unit_id"),
+        F.when(F.col("p_size") <= 25, 51).otherwise(52).alias("unit_id"),
         F.col("l_returnflag").alias("report_unit"),
         F.when(F.col("l_linestatus") == "F", 1).otherwise(2).alias("data_type"),
         money(F.col("l_extendedprice")).alias("amount"),
@@ -296,11 +298,11 @@ def _cost_source(spark, sf_dir):
 
 
 _COST_SOURCE_SQL = f"""costs AS (SELECT CAST(year(o_orderdate) * 100 + month(o_orderdate) AS INTEGER) AS period, 'imp_' || lower(p_type) AS kpi,
-      CASE o_orderstatus WHEN 'F' THEN 1 ELSE 2 END AS scenario_id, CASE WHEN p_size <= 25 THEN 2049 ELSE 2050 END AS unit_id, l_returnflag AS report_unit,
+      CASE o_orderstatus WHEN 'F' THEN 1 ELSE 2 END AS scenario_id, CASE WHEN p_size <= 25 THEN 51 ELSE 52 END AS unit_id, l_returnflag AS report_unit,
       CASE l_linestatus WHEN 'F' THEN 1 ELSE 2 END AS data_type, {MONEY_SQL.format("l_extendedprice")} AS amount
       FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey WHERE o_orderstatus IN ('F', 'O'))"""
 _RESULT_SQL = """fx AS (SELECT DISTINCT period, scenario_id, rate_month AS rate FROM costs JOIN rates ON period // 100 = year),
-    monthly AS (SELECT period, scenario_id, sum(amount) AS amount FROM costs WHERE kpi = 'imp_large' AND unit_id = 2049 AND data_type = 1
+    monthly AS (SELECT period, scenario_id, sum(amount) AS amount FROM costs WHERE kpi = 'imp_large' AND unit_id = 51 AND data_type = 1
       AND period % 100 <> 5 GROUP BY 1, 2),
     valued AS (SELECT period, scenario_id, CAST(CAST(sum(amount) OVER (PARTITION BY period // 100, scenario_id ORDER BY period) AS DECIMAL(20,2))
       * CAST(rate AS DECIMAL(10,4)) AS DECIMAL(24,10)) AS value FROM monthly JOIN fx USING (period, scenario_id)),
@@ -312,8 +314,8 @@ _WIDE_COSTS_SQL = (
     + ", ".join(
         f"CAST(sum(amount) FILTER (WHERE unit_id || '_' || kpi = '{label}') AS DECIMAL(24,10)) AS \"{label}\"" for label in _COST_LABELS
     )
-    + " FROM costs WHERE data_type = 1 AND ((kpi IN ('imp_economy', 'imp_small') AND unit_id IN (2049, 2050)) OR "
-    + "(kpi IN ('imp_standard', 'imp_medium', 'imp_promo') AND unit_id IN (2049, 2050) AND (report_unit IN ('A', 'R') OR (scenario_id = 2 AND report_unit = 'N')))) "
+    + " FROM costs WHERE data_type = 1 AND ((kpi IN ('imp_economy', 'imp_small') AND unit_id IN (51, 52)) OR "
+    + "(kpi IN ('imp_standard', 'imp_medium', 'imp_promo') AND unit_id IN (51, 52) AND (report_unit IN ('A', 'R') OR (scenario_id = 2 AND report_unit = 'N')))) "
     + "GROUP BY 1, 2), spine AS (SELECT DISTINCT period, s AS scenario_id FROM costs, (VALUES (1), (2)) AS v(s)), "
     + "dense AS (SELECT * FROM spine LEFT JOIN wide_costs USING (period, scenario_id))"
 )
@@ -335,7 +337,7 @@ def _results(costs):
     spark = costs.sparkSession
     known = costs.select("period", "scenario_id").distinct().withColumn("year", year_of_month(F.col("period")))
     fx = known.join(rates(spark), "year").select("period", "scenario_id", F.col("rate_month").alias("rate"))
-    wanted = any_of([{"kpi": "imp_large", "unit_id": 2049, "data_type": 1}])
+    wanted = any_of([{"kpi": "imp_large", "unit_id": 51, "data_type": 1}])
     large = costs.where(wanted & (F.col("period") % 100 != 5))
     months = month_from_fx_cumulative(large, fx, ["scenario_id"], "period", "amount", "rate")
     return months.withColumnRenamed("amount", "result"), fx
@@ -406,7 +408,7 @@ def _label_facts(spark, sf_dir):
     "attach_dims",
     f"""WITH {REPORT_CTES}, dims AS (SELECT DISTINCT {RESTAGE_SQL.format(FACT_ID_SQL.format("scenario"))} AS scenario_id,
       CASE name {" ".join(f"WHEN '{k}' THEN '{v}'" for k, v in LABELS.items())} END AS metric, unit FROM kpi_fact)
-    SELECT DISTINCT report_id, concept_id, scenario_id, dim1_id, dim2_id, amount, currency, period_date, unit, 1657 AS company_id, 'MX' AS country
+    SELECT DISTINCT report_id, concept_id, scenario_id, dim1_id, dim2_id, amount, currency, period_date, unit, 7 AS company_id, 'XX' AS country
     FROM report_rows LEFT JOIN dims USING (scenario_id, metric)""",
 )
 def attach_dims(spark, sf_dir):
@@ -414,7 +416,7 @@ def attach_dims(spark, sf_dir):
     rows = base_report_rows(spark, sf_dir).select(
         "report_id", "concept_id", "scenario_id", "dim1_id", "dim2_id", "amount", "currency", "period_date", "metric"
     )
-    return attach_dimensions(rows, metric_dimensions(labels, facts, ["unit"]), 1657, "MX")
+    return attach_dimensions(rows, metric_dimensions(labels, facts, ["unit"]), 7, "XX")
 
 
 # ------------------------------------------------------------------------------------ publication
@@ -511,7 +513,7 @@ def _cost_type_sql() -> str:
       UNION ALL SELECT * REPLACE ('Euros' AS currency) FROM rewritten WHERE currency = 'Pesos' AND concept_id IN (1, 2, 3, 4, 28)),
     dims AS (SELECT DISTINCT {RESTAGE_SQL.format(FACT_ID_SQL.format("scenario"))} AS scenario_id,
       CASE name {" ".join(f"WHEN '{k}' THEN '{v}'" for k, v in LABELS.items())} END AS metric, unit FROM kpi_fact)
-    SELECT DISTINCT {keys}, 1657 AS company_id, scenario_id, period_date, data_type_id, currency, amount, unit, 'MX' AS country
+    SELECT DISTINCT {keys}, 7 AS company_id, scenario_id, period_date, data_type_id, currency, amount, unit, 'XX' AS country
     FROM passed LEFT JOIN dims USING (scenario_id, metric)"""
 
 
@@ -526,11 +528,82 @@ def publish_by_cost_type(spark, sf_dir):
         F.struct(F.lit(1).alias("data_type_id"), F.lit("Euros").alias("currency")),
     )
     stored = past.drop("data_type_id", "currency").select("*", F.inline(versions).alias("data_type_id", "currency"))
-    described = stored.withColumns({"unit": F.lit(None).cast("string"), "country": F.lit("MX")})
-    path = new_path(spark, "published")
-    overwrite_partitions(described, path, ["period_date", "scenario_id"])
+    path, series = new_path(spark, "published"), new_path(spark, "series")
+    overwrite_partitions(stored, series, ["period_date", "scenario_id"])
     dimensions = cut_lineage(metric_dimensions(_label_table(spark), _label_facts(spark, sf_dir), ["unit"]))
     current = rows.where(F.col("period_date") == PERIOD)
     return publish(
-        current, path, PERIOD, "ALL", BY_COST_TYPE, lambda df: attach_dimensions(df, dimensions, 1657, "MX")
+        current, path, PERIOD, "ALL", BY_COST_TYPE, lambda df: attach_dimensions(df, dimensions, 7, "XX"), series
     )
+
+
+# Two successive months of that variant, the second from what the first has published. Two metrics feed one series.
+
+_FIRST = PERIOD - 100
+_KEYS_CT = f"{_KEYS}, cost_type_id"
+
+
+def _shared_series_rows():
+    """The mapping, and a second metric for every report row of the report 12 that has one."""
+    rows = _cost_mapping_rows()
+    return rows + [(s, "m_small", r, c, *rest) for s, m, r, c, *rest in rows if r == 12 and c is not None and c >= 40]
+
+
+def _month_sql(period: int, out: str, single: str, cumulative: str) -> str:
+    """The rows of a month by definition: a series has one total per date, a month is what the total gains.
+
+    ``single`` and ``cumulative`` name earlier local months and earlier totals in the reporting currency.
+    """
+    series = f"scenario_id, {_KEYS_CT}"
+    return f"""{out}_now AS (SELECT * FROM report_rows WHERE period_date = {period}),
+    {out}_before AS (SELECT {series}, amount FROM {single} WHERE scenario_id <> 4
+      UNION ALL SELECT 4, {_KEYS_CT}, amount FROM {single} WHERE scenario_id = 1),
+    {out}_totals AS (SELECT {series}, CAST(sum(amount) AS DECIMAL(24,3)) AS total FROM
+      (SELECT {series}, amount FROM {out}_before UNION ALL SELECT {series}, amount FROM {out}_now) GROUP BY ALL),
+    {out}_rows AS (SELECT n.*, t.total FROM {out}_now AS n JOIN {out}_totals AS t
+      ON {" AND ".join(f"n.{k} IS NOT DISTINCT FROM t.{k}" for k in series.split(", "))} WHERE n.amount IS NOT NULL),
+    {out}_block AS (SELECT DISTINCT {series}, metric, 2 AS data_type_id, 'Pesos' AS currency, CAST(amount AS DECIMAL(24,10)) AS amount, rate_acc FROM {out}_rows
+      UNION SELECT {series}, metric, 1, 'Pesos', CAST(total AS DECIMAL(24,10)), rate_acc FROM {out}_rows
+      UNION SELECT {series}, metric, 1, 'Euros', {sql_reporting_amount("total", "rate_acc")}, rate_acc FROM {out}_rows WHERE concept_id IS NOT NULL),
+    {out}_gains AS (SELECT {series}, max(amount) FILTER (WHERE now) AS total, max(amount) FILTER (WHERE NOT now) AS earlier, max(metric) AS metric FROM
+      (SELECT {series}, CAST(amount AS DECIMAL(24,3)) AS amount, metric, true AS now FROM {out}_block WHERE data_type_id = 1 AND currency = 'Euros'
+       UNION ALL SELECT {series}, amount, NULL, false FROM {cumulative} WHERE scenario_id <> 4
+       UNION ALL SELECT 4, {_KEYS_CT}, amount, NULL, false FROM {cumulative} WHERE scenario_id = 1) GROUP BY ALL),
+    {out}_merged AS (SELECT {series}, metric, data_type_id, currency, CAST(amount AS DECIMAL(24,3)) AS amount FROM {out}_block
+      UNION ALL SELECT {series}, metric, 2, 'Euros', CAST(total - coalesce(earlier, 0) AS DECIMAL(24,3)) FROM {out}_gains WHERE total IS NOT NULL),
+    {out}_rewritten AS (SELECT * FROM {out}_merged WHERE data_type_id = 2 OR concept_id <> 1
+      UNION ALL SELECT * REPLACE (1 AS data_type_id) FROM {out}_merged WHERE data_type_id = 2 AND concept_id = 1),
+    {out} AS (SELECT *, {period} AS period_date FROM {out}_rewritten WHERE currency = 'Pesos' OR concept_id NOT IN (1, 2, 3, 4, 28)
+      UNION ALL SELECT * REPLACE ('Euros' AS currency), {period} FROM {out}_rewritten WHERE currency = 'Pesos' AND concept_id IN (1, 2, 3, 4, 28))"""
+
+
+def _two_months_sql() -> str:
+    values = ", ".join("(" + ", ".join(_sql_value(v) for v in row) + ")" for row in _shared_series_rows())
+    mapping = re.sub(r"\(VALUES .*\) AS v\(", lambda _: f"(VALUES {values}) AS v(", _COST_MAPPING_SQL, flags=re.DOTALL)
+    none = f"SELECT scenario_id, {_KEYS_CT}, amount FROM report_rows WHERE false"
+    return f"""WITH {WIDE_CTES}, {mapping}, {_COST_ROWS_SQL}, nothing AS ({none}),
+    {_month_sql(_FIRST, "first_month", "nothing", "nothing")},
+    months AS (SELECT * FROM first_month WHERE data_type_id = 2 AND currency = 'Pesos'),
+    reached AS (SELECT * FROM first_month WHERE data_type_id = 1 AND currency = 'Euros'),
+    {_month_sql(PERIOD, "second_month", "months", "reached")},
+    dims AS (SELECT DISTINCT {RESTAGE_SQL.format(FACT_ID_SQL.format("scenario"))} AS scenario_id,
+      CASE name {" ".join(f"WHEN '{k}' THEN '{v}'" for k, v in LABELS.items())} END AS metric, unit FROM kpi_fact)
+    SELECT DISTINCT {_KEYS_CT}, 7 AS company_id, scenario_id, period_date, data_type_id, currency, amount, unit, 'XX' AS country
+    FROM (SELECT * FROM first_month UNION ALL SELECT * FROM second_month) LEFT JOIN dims USING (scenario_id, metric)"""
+
+
+@query("publish_two_months_by_cost_type", _two_months_sql())
+def publish_two_months_by_cost_type(spark, sf_dir):
+    """Both published months; the second continues the first one's series, not its described rows."""
+    mapping = literal_table(spark, f"{MAPPING_SCHEMA}, cost_type_id int", _shared_series_rows())
+    rows = cut_lineage(report_rows(wide_metrics(spark, sf_dir), mapping, REPORT_METRICS, "rate_acc", "rate_month"))
+    dimensions = cut_lineage(metric_dimensions(_label_table(spark), _label_facts(spark, sf_dir), ["unit"]))
+    path, series = new_path(spark, "published"), new_path(spark, "series")
+    months = [
+        publish(
+            rows.where(F.col("period_date") == period), path, period, "ALL", BY_COST_TYPE,
+            lambda df: attach_dimensions(df, dimensions, 7, "XX"), series, period == _FIRST,
+        )
+        for period in (_FIRST, PERIOD)
+    ]
+    return months[0].unionByName(months[1])

@@ -1,6 +1,7 @@
 from decimal import Decimal
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from ledgerloom.plans.currency import currency_block, pass_through, rewrite_rate_concept
@@ -17,7 +18,7 @@ from ledgerloom.plans.periods import (
     period_by_difference,
 )
 from ledgerloom.plans.publish import PUBLISHED_COLUMNS, publish, published_rows
-from ledgerloom.plans.reports import MAPPING_SCHEMA
+from ledgerloom.plans.reports import MAPPING_SCHEMA, attach_dimensions
 from ledgerloom.plans.units import conversion_factors, convert_units
 from ledgerloom.session import new_path
 from ledgerloom.sources.sinks import overwrite_partitions
@@ -319,7 +320,7 @@ def test_a_month_from_masters_to_the_table(spark):
 
     empty = master(spark)
     dimension = literal_table(spark, "kpi_id int, kpi_label string", [])
-    first = Month(202301, "REAL", labels, formulas, "rate", "rate")
+    first = Month(202301, "REAL", labels, formulas, "rate", "rate", first_month=True)
     dimension, _ = run_month(first, (rows(202301, p="1000", fx="10"), empty, empty), dimension, mapping, path)
     second = Month(202302, "REAL", labels, formulas, "rate", "rate")
     dimension, slice_rows = run_month(second, (rows(202302, p="2000", q="500", fx="20"), empty, empty), dimension, mapping, path)
@@ -339,3 +340,33 @@ def test_cost_type_variant_keeps_the_estimate_of_the_month(spark):
     assert amounts(got, "scenario_id", "cost_type_id", "metric", "data_type_id") == [
         (1, 1, "m", 1, 15.0), (1, 1, "m", 2, 5.0), (1, 2, "n", 1, 27.0), (1, 2, "n", 2, 7.0), (4, 1, "m", 1, 50.0), (4, 1, "m", 2, 40.0),
     ]
+
+
+def test_described_months_add_up(spark):
+    """Two metrics in one series and two dimension values: neither multiplies the next month's totals."""
+    path, series = new_path(spark, "test-described"), new_path(spark, "test-series")
+    dimensions = literal_table(spark, "scenario_id int, metric string, unit string", [(1, "m", "u"), (1, "m", "v"), (1, "n", "u")])
+    schema = ROW + ", metric string, cost_type_id int"
+
+    def month(date, m, n, first=False):
+        now = literal_table(spark, schema, [(*line(1, date, m), "m", 1), (*line(1, date, n), "n", 1)])
+        return publish(
+            now, path, date, "REAL", BY_COST_TYPE, lambda df: attach_dimensions(df, dimensions, 1, "X"), series, first
+        ).collect()
+
+    month(20230101, 6000, 4000, True)
+    rows = month(20230201, 2000, 3000)
+    assert {r.amount for r in rows if r.currency == "Pesos" and r.data_type_id == 1} == {Decimal(15000)}
+    assert {r.amount for r in rows if r.currency == "Euros" and r.data_type_id == 1} == {Decimal("1.5")}
+    assert {r.amount for r in rows if r.currency == "Euros" and r.data_type_id == 2} == {Decimal("0.5")}
+    assert len([r for r in rows if r.currency == "Pesos" and r.data_type_id == 2]) == 3
+    again = month(20230201, 2000, 3000)
+    assert sorted(map(str, again)) == sorted(map(str, rows))
+
+
+def test_a_missing_table_is_no_history(spark):
+    now = table_of(spark, line(1, 20230101, 1))
+    with pytest.raises(AnalysisException):
+        publish(now, new_path(spark, "test-missing"), 20230101, "REAL")
+    with pytest.raises(ValueError):
+        publish(now, new_path(spark, "test-missing"), 20230101, "REAL", describe=lambda df: df)
