@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.joins import join_keys_null_safe
-from ledgerloom.session import cut_lineage
+from ledgerloom.session import stage_rows
 
 _LOCAL_BITS = 33  # layout of monotonically_increasing_id: partition id above, row below
 
@@ -24,30 +24,21 @@ def number_rows(
     """``row_number() over (partition by .. order by ..) + start``.
 
     Rows are range-partitioned and sorted, numbered inside their partition and shifted by the number
-    of rows in the partitions before. The placed rows are materialised first, because partition
-    boundaries come from sampling and must be the same for the counts and for the numbers. Include
-    enough columns in the order to tell rows apart: then the numbers are reproducible and a hot
-    value spreads over many partitions.
+    of their group's rows in the partitions before. The placed rows are stored first, because
+    partition boundaries come from sampling and must be the same for the counts and for the numbers;
+    the counts then read two or three columns of the stage. Include enough columns in the order to
+    tell rows apart: then the numbers are reproducible and a hot value spreads over many partitions.
     """
     order = [*partition_by, *order_by]
-    placed = cut_lineage(
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .withColumn("__position", F.monotonically_increasing_id())
-    )
-    chunk = F.shiftright("__position", _LOCAL_BITS)
-    placed = placed.withColumn("__chunk", chunk)
-    # One row per shuffle partition, whatever the size of the data: small enough for one task and
-    # for a broadcast.
-    sizes = placed.groupBy("__chunk").agg(F.count("*").alias("__size"))
-    before = Window.orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = sizes.select("__chunk", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__shift"))
-    local = F.col("__position") - F.shiftleft("__chunk", _LOCAL_BITS)
-    ranked = placed.join(F.broadcast(shifts), "__chunk").withColumn("__rank", F.col("__shift") + local + 1)
-    if partition_by:
-        # Groups are contiguous in the global order, so a group's first rank is its offset.
-        first = ranked.groupBy(*partition_by).agg((F.min("__rank") - 1).alias("__first"))
-        ranked = join_keys_null_safe(ranked, first, partition_by)
-        ranked = ranked.withColumn("__rank", F.col("__rank") - F.col("__first"))
+    placed = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = placed.withColumn("__position", F.monotonically_increasing_id())
+    placed = stage_rows(placed.withColumn("__chunk", F.shiftright("__position", _LOCAL_BITS)), "numbered")
+    keys = ["__chunk", *partition_by]
+    counts = placed.groupBy(*keys).agg(F.count("*").alias("__size"), F.min("__position").alias("__first"))
+    # A group has one row per shuffle partition here, whatever the size of the data.
+    before = Window.partitionBy(*partition_by).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
+    shift = F.coalesce(F.sum("__size").over(before), F.lit(0)) - F.col("__first") + 1
+    shifts = counts.select(*keys, shift.alias("__shift"))
     base = F.lit(start) if isinstance(start, int) else start
-    return ranked.select(*df.columns, (F.col("__rank") + base).cast(dtype).alias(out))
+    number = (F.col("__position") + F.col("__shift") + base).cast(dtype)
+    return join_keys_null_safe(placed, shifts, keys).select(*df.columns, number.alias(out))

@@ -84,10 +84,15 @@ def status_valid(column: str | Column, statuses: Sequence[str] = STATUSES) -> Co
     return F.coalesce(source.isin(list(statuses)), F.lit(False))
 
 
+def coupon_applied(code: str, valid: str = COUPON) -> Column:
+    """Whether the code is the valid coupon; no code is none."""
+    return F.coalesce(F.col(code) == valid, F.lit(False))
+
+
 def coupon_total(total: str, code: str, percent: str | Column, valid: str = COUPON) -> Column:
     percent = F.col(percent) if isinstance(percent, str) else percent
     amount = F.col(total)
-    return F.when(F.col(code) == valid, amount - amount * (percent / 100)).otherwise(amount)
+    return F.when(coupon_applied(code, valid), amount - amount * (percent / 100)).otherwise(amount)
 
 
 def orders_of(orders: DataFrame, customer_id: int) -> DataFrame:

@@ -212,6 +212,16 @@ def limit_empty(spark, sf_dir):
     return union_by_name(typed_empty(parts), parts)
 
 
+@query(
+    "limit_rows",
+    "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 25",
+)
+def limit_rows(spark, sf_dir):
+    """The largest orders: the limit is the feature, and its order makes the rows definite."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    return orders.orderBy(F.desc("o_totalprice"), "o_orderkey").limit(25)
+
+
 @query(
     "fact_totals",
     f"""WITH {KPI_FACT_SQL} SELECT {FACT_ID_SQL.format("scenario")} AS scenario_id, count(*) AS n, CAST(sum(value) AS DECIMAL(24,10)) AS total,

@@ -57,7 +57,9 @@ _FLAGSHIP_FORMULAS = [
     long AS (SELECT period, scenario_id, 'm_basic' AS metric, m_basic AS amount FROM f
       UNION ALL SELECT period, scenario_id, 'm_premium', m_premium FROM f
       UNION ALL SELECT period, scenario_id, 'm_total', m_basic + m_premium FROM f
-      UNION ALL SELECT period, scenario_id, 'm_gap', m_premium - m_basic FROM f)
+      UNION ALL SELECT period, scenario_id, 'm_gap', m_premium - m_basic FROM f
+      UNION ALL SELECT period, scenario_id, 'm_share', CAST(CAST(m_basic AS DOUBLE) / CAST(m_basic + m_premium AS DOUBLE) AS DECIMAL(24,10))
+        FROM f WHERE m_basic + m_premium <> 0)
     SELECT period, scenario_id, metric, CAST(amount AS DECIMAL(24,3)) AS amount,
       CAST(sum(amount) OVER (PARTITION BY period // 100, scenario_id, metric ORDER BY period) AS DECIMAL(24,3)) AS ytd FROM long""",
 )
@@ -67,8 +69,8 @@ def monthly_kpis(spark, sf_dir):
     labels = [name for name in LABELS if name != "LUXURY"]
     wide = pivot_sum(fact, ["period", "scenario_id"], "name", "value", labels)
     wide = wide.withColumnsRenamed({label: LABELS[label] for label in labels})
-    metrics = [m for m in _FLAGSHIP_METRICS if m != "m_share"]
-    long = unpivot_metrics(apply_formulas(wide, _FLAGSHIP_FORMULAS), ["period", "scenario_id"], metrics)
+    derived = apply_formulas(wide, _FLAGSHIP_FORMULAS).withColumn("m_share", F.col("m_share").cast(MONEY))
+    long = unpivot_metrics(derived, ["period", "scenario_id"], _FLAGSHIP_METRICS)
     result = cumulative_by_date(long, ["scenario_id", "metric"], "period", "amount", year=year_of_month)
     return result.select(
         "period",

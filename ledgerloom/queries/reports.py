@@ -46,6 +46,7 @@ from ledgerloom.queries.periods import BLOCK_CTES, PERIOD, base_block
 from ledgerloom.queries.registry import query
 from ledgerloom.session import cut_lineage, new_path
 from ledgerloom.sources.sinks import overwrite_partitions, overwrite_table
+from ledgerloom.sources.snapshots import latest_load
 from ledgerloom.sources.tables import literal_table
 
 # ------------------------------------------------------------------------------- masters and keys
@@ -169,14 +170,15 @@ def kpi_fact_build(spark, sf_dir):
     return build_fact(*_fact_inputs(spark, sf_dir))
 
 
-# Labels of the parts without a product name, after the noise in front of them is removed.
-_WIDE_LABELS = {f"{unit}_{kind}": f"imp_{unit}_{kind.lower()}" for unit in range(1, 6) for kind in LABELS}
+# Brand and product name are noise of a label; what is left names all amounts of a unit and kind.
+_WIDE_NOISE = "Brand.|[a-z]+ [a-z]+$"
+_WIDE_LABELS = {f"{unit}_{kind}": f"imp_{unit}_{kind.lower()}" for unit in range(1, 26) for kind in LABELS}
 
 
 @query(
     "wide_metrics_build",
     f"""WITH {_MASTERS_SQL}, {_DIMENSION_SQL}, {_FACT_SQL},
-    labelled AS (SELECT fact.period, fact.scenario_id, regexp_replace(kpi_label, 'Brand.', '', 'g') AS label, value FROM fact JOIN dimension USING (kpi_id)),
+    labelled AS (SELECT fact.period, fact.scenario_id, regexp_replace(kpi_label, '{_WIDE_NOISE}', '', 'g') AS label, value FROM fact JOIN dimension USING (kpi_id)),
     costs AS (SELECT CAST(year(o_orderdate) * 100 + month(o_orderdate) AS INTEGER) AS period, CASE o_orderstatus WHEN 'F' THEN 3 ELSE 2 END AS scenario_id,
       CAST(sum({MONEY_SQL.format("o_totalprice")}) AS DECIMAL(24,10)) AS imp_cost FROM orders WHERE o_orderstatus IN ('F', 'O') GROUP BY 1, 2),
     pivoted AS (SELECT period, scenario_id, {", ".join(f"CAST(sum(value) FILTER (WHERE label = '{k}') AS DECIMAL(24,10)) AS {v}" for k, v in _WIDE_LABELS.items())}
@@ -191,7 +193,7 @@ def wide_metrics_build(spark, sf_dir):
         (F.year("o_orderdate") * 100 + F.month("o_orderdate")).cast("int").alias("period"),
         F.when(F.col("o_orderstatus") == "F", 3).otherwise(2).alias("scenario_id"),
     ).agg(F.sum(money(F.col("o_totalprice"))).cast(MONEY).alias("imp_cost"))
-    return build_wide(build_fact(masters, dimension), dimension, _WIDE_LABELS, costs, "Brand.")
+    return build_wide(build_fact(masters, dimension), dimension, _WIDE_LABELS, costs, _WIDE_NOISE)
 
 
 # --------------------------------------------------------------------------------------- formulas
@@ -301,7 +303,7 @@ _COST_SOURCE_SQL = f"""costs AS (SELECT CAST(year(o_orderdate) * 100 + month(o_o
       CASE o_orderstatus WHEN 'F' THEN 1 ELSE 2 END AS scenario_id, CASE WHEN p_size <= 25 THEN 51 ELSE 52 END AS unit_id, l_returnflag AS report_unit,
       CASE l_linestatus WHEN 'F' THEN 1 ELSE 2 END AS data_type, {MONEY_SQL.format("l_extendedprice")} AS amount
       FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey WHERE o_orderstatus IN ('F', 'O'))"""
-_RESULT_SQL = """fx AS (SELECT DISTINCT period, scenario_id, rate_month AS rate FROM costs JOIN rates ON period // 100 = year),
+_RESULT_SQL = """fx AS (SELECT DISTINCT period, scenario_id, CAST(round_even(rate_month, 2) AS DECIMAL(24,10)) AS rate FROM costs JOIN rates ON period // 100 = year),
     monthly AS (SELECT period, scenario_id, sum(amount) AS amount FROM costs WHERE kpi = 'imp_large' AND unit_id = 51 AND data_type = 1
       AND period % 100 <> 5 GROUP BY 1, 2),
     valued AS (SELECT period, scenario_id, CAST(CAST(sum(amount) OVER (PARTITION BY period // 100, scenario_id ORDER BY period) AS DECIMAL(20,2))
@@ -333,10 +335,19 @@ def _cost_metric_sql(metric: str) -> str:
     return f'CAST(CAST("{metric}" AS DECIMAL(20,2)) * CAST(round_even(rate, 2) AS DECIMAL(8,2)){sign} AS DECIMAL(24,10)) AS "{metric}"'
 
 
+def _load_rates(spark):
+    """Rates of the latest load, at least 0.1, rounded half-even before they value anything."""
+    rate = F.col("rate_month")
+    loads = [(1, rate * 2), (2, rate), (2, rate / 1000)]  # an older load, and an amount too small to be a rate
+    entries = [F.struct(F.lit(load).alias("load"), value.cast(MONEY).alias("rate")) for load, value in loads]
+    loaded = rates(spark).select("year", F.inline(F.array(*entries)))
+    return latest_load(loaded, "load", "rate", 0.1).select("year", F.bround("rate", 2).cast(MONEY).alias("rate"))
+
+
 def _results(costs):
     spark = costs.sparkSession
     known = costs.select("period", "scenario_id").distinct().withColumn("year", year_of_month(F.col("period")))
-    fx = known.join(rates(spark), "year").select("period", "scenario_id", F.col("rate_month").alias("rate"))
+    fx = known.join(_load_rates(spark), "year").select("period", "scenario_id", "rate")
     wanted = any_of([{"kpi": "imp_large", "unit_id": 51, "data_type": 1}])
     large = costs.where(wanted & (F.col("period") % 100 != 5))
     months = month_from_fx_cumulative(large, fx, ["scenario_id"], "period", "amount", "rate")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ledgerloom.plans.retail import (
     accepted_orders,
     add_products,
+    coupon_applied,
     coupon_total,
     discounted_price,
     inventory_report,
@@ -158,13 +159,13 @@ def status_check(spark, sf_dir):
 
 @query(
     "coupon",
-    """SELECT o_orderkey AS order_id, round(CASE WHEN o_orderpriority = '1-URGENT' THEN o_totalprice - o_totalprice * (12.5 / 100) ELSE o_totalprice END, 6) AS total FROM orders""",
+    """SELECT o_orderkey AS order_id, round(CASE WHEN o_orderpriority = '1-URGENT' THEN o_totalprice - o_totalprice * (12.5 / 100) ELSE o_totalprice END, 6) AS total, o_orderpriority = '1-URGENT' AS applied FROM orders""",
 )
 def coupon(spark, sf_dir):
     code = F.when(F.col("priority") == "1-URGENT", "WELCOME10").otherwise("NONE")
     rows = _orders(spark, sf_dir).withColumns({"code": code, "total": F.col("total").cast("double")})
     reduced = coupon_total("total", "code", F.lit(12.5))
-    return rows.select("order_id", F.round(reduced, 6).alias("total"))
+    return rows.select("order_id", F.round(reduced, 6).alias("total"), coupon_applied("code").alias("applied"))
 
 
 @query(

@@ -48,6 +48,13 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/ledgerloom/{name}-{uuid.uuid4().hex}"
 
 
+def stage_rows(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet below the shared folder and read it back; later readers prune its columns."""
+    path = new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` reliably, so that a lost executor cannot change what is read later."""
     shared_dir(df.sparkSession)

@@ -36,8 +36,8 @@ def test_points_are_counted_per_order(spark):
 def test_status_and_coupon(spark):
     rows = spark.createDataFrame([("pending", "WELCOME10"), ("lost", "other"), (None, None)], "s string, code string")
     rows = rows.withColumn("total", F.lit(200.0))
-    got = rows.select(R.status_valid("s"), R.coupon_total("total", "code", F.lit(10.0))).collect()
-    assert [tuple(r) for r in got] == [(True, 180.0), (False, 200.0), (False, 200.0)]
+    got = rows.select(R.status_valid("s"), R.coupon_total("total", "code", F.lit(10.0)), R.coupon_applied("code")).collect()
+    assert [tuple(r) for r in got] == [(True, 180.0, True), (False, 200.0, False), (False, 200.0, False)]
 
 
 def test_report_and_upsert(spark):
