@@ -15,6 +15,7 @@ from ledgerloom.plans.costs import cost_block, cost_columns, scenario_spine, wit
 from ledgerloom.plans.facts import FACT_KEY, build_fact, label_rows, union_masters
 from ledgerloom.plans.formulas import Formula, apply_formulas, difference_to_reported, moved_to_reported, ratio, total
 from ledgerloom.plans.keys import extend_dimension, surrogate_key_delta
+from ledgerloom.plans.month import Month, run_month
 from ledgerloom.plans.periods import BY_COST_TYPE, month_from_fx_cumulative
 from ledgerloom.plans.publish import PUBLISHED_COLUMNS, publish
 from ledgerloom.plans.reports import MAPPING_SCHEMA, attach_dimensions, metric_dimensions, report_rows
@@ -22,6 +23,7 @@ from ledgerloom.plans.wide import build_wide
 from ledgerloom.queries.base import (
     FACT_ID_SQL,
     LABELS,
+    MAPPING_SQL,
     METRICS,
     MONEY_SQL,
     RATES_SQL,
@@ -33,6 +35,7 @@ from ledgerloom.queries.base import (
     _sql_value,
     base_report_rows,
     kpi_fact,
+    mapping,
     mapping_rows,
     money,
     rates,
@@ -43,7 +46,7 @@ from ledgerloom.queries.base import (
     wide_metrics,
 )
 from ledgerloom.queries.periods import BLOCK_CTES, PERIOD, base_block
-from ledgerloom.queries.registry import query
+from ledgerloom.queries.registry import ORACLES, query
 from ledgerloom.session import cut_lineage, new_path
 from ledgerloom.sources.sinks import overwrite_partitions, overwrite_table
 from ledgerloom.sources.snapshots import latest_load
@@ -436,29 +439,29 @@ _KEYS = "report_id, concept_id, business_id, dim1_id, dim2_id"
 _YEAR = PERIOD // 10000
 
 
-def _publish_sql() -> str:
+def _publish_sql(ctes: str = BLOCK_CTES, history: str = "block", period: int = PERIOD) -> str:
     series_keys = f"scenario_id, {_KEYS}, currency"
-    return f"""WITH {BLOCK_CTES},
-    hist AS (SELECT {_KEYS}, scenario_id, period_date, data_type_id, currency, CAST(amount AS DECIMAL(24,3)) AS amount FROM block WHERE period_date < {PERIOD}),
-    current_rows AS (SELECT {_KEYS}, scenario_id, period_date, currency, amount, rate_acc, rate_month FROM report_rows WHERE period_date = {PERIOD}),
+    return f"""WITH {ctes},
+    hist AS (SELECT {_KEYS}, scenario_id, period_date, data_type_id, currency, CAST(amount AS DECIMAL(24,3)) AS amount FROM {history} WHERE period_date < {period}),
+    current_rows AS (SELECT {_KEYS}, scenario_id, period_date, currency, amount, rate_acc, rate_month FROM report_rows WHERE period_date = {period}),
     single AS (SELECT {_KEYS}, scenario_id, period_date, currency, amount, CAST(NULL AS DECIMAL(24,10)) AS rate_acc, CAST(NULL AS DECIMAL(24,10)) AS rate_month
-      FROM hist WHERE data_type_id = 2 AND currency = 'Pesos' AND period_date >= {_YEAR * 10000 + 101}),
+      FROM hist WHERE data_type_id = 2 AND currency = 'Pesos' AND period_date >= {period // 10000 * 10000 + 101}),
     months AS (SELECT * FROM current_rows WHERE scenario_id <> 4 UNION ALL SELECT * FROM single WHERE scenario_id <> 4
       UNION ALL SELECT * REPLACE (4 AS scenario_id) FROM single WHERE scenario_id = 1
       UNION ALL SELECT * REPLACE (4 AS scenario_id) FROM current_rows WHERE scenario_id = 1),
     totals AS (SELECT *, CAST(sum(amount) OVER (PARTITION BY {series_keys} ORDER BY period_date) AS DECIMAL(24,3)) AS total FROM months),
-    now_rows AS (SELECT {_KEYS}, scenario_id, period_date, currency, rate_acc, rate_month, 2 AS data_type_id, amount FROM totals WHERE period_date = {PERIOD}
-      UNION ALL SELECT {_KEYS}, scenario_id, period_date, currency, rate_acc, rate_month, 1, total FROM totals WHERE period_date = {PERIOD}),
+    now_rows AS (SELECT {_KEYS}, scenario_id, period_date, currency, rate_acc, rate_month, 2 AS data_type_id, amount FROM totals WHERE period_date = {period}
+      UNION ALL SELECT {_KEYS}, scenario_id, period_date, currency, rate_acc, rate_month, 1, total FROM totals WHERE period_date = {period}),
     now_merged AS (SELECT DISTINCT * FROM (SELECT {_KEYS}, scenario_id, period_date, data_type_id, rate_acc, rate_month, 'Pesos' AS currency, CAST(amount AS DECIMAL(24,10)) AS amount FROM now_rows
       UNION ALL SELECT {_KEYS}, scenario_id, period_date, data_type_id, rate_acc, rate_month, 'Euros', {sql_reporting_amount("amount", "rate_acc")} FROM now_rows WHERE data_type_id = 1) AS u),
     now_block AS (SELECT {_KEYS}, scenario_id, period_date, data_type_id, currency, amount FROM now_merged WHERE currency = 'Pesos' OR concept_id IS NOT NULL),
-    euros AS (SELECT {series_keys}, period_date, amount FROM hist WHERE data_type_id = 1 AND currency = 'Euros' AND scenario_id <> 4 AND period_date >= {_YEAR * 10000 + 101}
-      UNION ALL SELECT 4, {_KEYS}, currency, period_date, amount FROM hist WHERE data_type_id = 1 AND currency = 'Euros' AND scenario_id = 1 AND period_date >= {_YEAR * 10000 + 101}
+    euros AS (SELECT {series_keys}, period_date, amount FROM hist WHERE data_type_id = 1 AND currency = 'Euros' AND scenario_id <> 4 AND period_date >= {period // 10000 * 10000 + 101}
+      UNION ALL SELECT 4, {_KEYS}, currency, period_date, amount FROM hist WHERE data_type_id = 1 AND currency = 'Euros' AND scenario_id = 1 AND period_date >= {period // 10000 * 10000 + 101}
       UNION ALL SELECT {series_keys}, period_date, amount FROM now_block WHERE data_type_id = 1 AND currency = 'Euros'),
     per_date AS (SELECT {series_keys}, period_date, CAST(sum(amount) AS DECIMAL(24,3)) AS amount FROM euros GROUP BY ALL),
     lagged AS (SELECT *, amount - lag(amount, 1, 0) OVER (PARTITION BY {series_keys} ORDER BY period_date) AS month_amount FROM per_date),
     merged_rows AS (SELECT {_KEYS}, scenario_id, period_date, data_type_id, currency, CAST(amount AS DECIMAL(24,3)) AS amount FROM now_block
-      UNION ALL SELECT {_KEYS}, scenario_id, period_date, 2, currency, CAST(month_amount AS DECIMAL(24,3)) FROM lagged WHERE period_date = {PERIOD}),
+      UNION ALL SELECT {_KEYS}, scenario_id, period_date, 2, currency, CAST(month_amount AS DECIMAL(24,3)) FROM lagged WHERE period_date = {period}),
     rewritten AS (SELECT * FROM merged_rows WHERE data_type_id = 2 OR concept_id <> 1
       UNION ALL SELECT * REPLACE (1 AS data_type_id) FROM merged_rows WHERE data_type_id = 2 AND concept_id = 1),
     passed AS (SELECT * FROM rewritten WHERE currency = 'Pesos' OR concept_id NOT IN (1, 2, 3, 4, 28)
@@ -478,6 +481,50 @@ def monthly_publish(spark, sf_dir):
     return publish(current, path, PERIOD, "ALL").select(*PUBLISHED_COLUMNS)
 
 
+# A whole month: masters, dimension, fact, wide metrics with costs, formulas, report rows, publication.
+
+_MONTH = 199804
+_MONTH_COSTS = {"result": "result", "52_imp_medium": "cost_medium"}
+_MONTH_EXTRA = {"m_large": ["result"], "m_medium": ["cost_medium"]}
+_MONTH_SUMS = {
+    metric: [f"imp_{unit}_{kind.lower()}" for unit in range(1, 26)] + _MONTH_EXTRA.get(metric, [])
+    for kind, metric in LABELS.items()
+}
+
+
+def _month_sql() -> str:
+    sums = ", ".join(
+        f"CAST({' + '.join(f'coalesce({c}, 0)' for c in columns)} AS DECIMAL(24,10)) AS {metric}"
+        for metric, columns in _MONTH_SUMS.items()
+    )
+    costs = ", ".join(f'"{c}" AS {alias}' for c, alias in _MONTH_COSTS.items())
+    ctes = f"""{RATES_SQL}, metrics AS (SELECT * FROM ({ORACLES["wide_metrics_build"]}) AS w WHERE period = {_MONTH}),
+    month_costs AS (SELECT period, scenario_id, {costs} FROM ({ORACLES["cost_block"]}) AS c WHERE period = {_MONTH}),
+    wide AS (SELECT CAST(period * 100 + 1 AS INTEGER) AS period_date, scenario_id, {sums}, rate_month, rate_acc
+      FROM metrics LEFT JOIN month_costs USING (period, scenario_id) LEFT JOIN rates ON period // 100 = year),
+    {MAPPING_SQL}, {REPORT_ROWS_SQL}"""
+    return _publish_sql(ctes, "report_rows", _MONTH * 100 + 1)
+
+
+@query("month_end_to_end", _month_sql())
+def month_end_to_end(spark, sf_dir):
+    """A first month of all scenarios; budgets not updated and the real month have costs, all have rates."""
+    stored = _stored_masters(spark, sf_dir)
+    _, dimension = _dimension_inputs(stored)
+    names = [F.col(c).alias(alias) for c, alias in _MONTH_COSTS.items()]
+    block = cost_block_query(spark, sf_dir).select("period", "scenario_id", *names)
+    spine = scenario_spine(literal_table(spark, "period int", [(_MONTH,)]), [1, 2, 3, 4])
+    costs = spine.join(block, ["period", "scenario_id"], "left").withColumn("year", year_of_month(F.col("period")))
+    costs = costs.join(rates(spark), "year", "left").drop("year")
+    formulas = [total(metric, *columns) for metric, columns in _MONTH_SUMS.items()]
+    month = Month(
+        _MONTH, "ALL", _WIDE_LABELS, formulas, "rate_acc", "rate_month", noise=_WIDE_NOISE, first_month=True
+    )
+    table_path = new_path(spark, "published")
+    _, published = run_month(month, _split_masters(stored), dimension, mapping(spark), table_path, costs)
+    return published.select(*PUBLISHED_COLUMNS)
+
+
 # The second report variant: rows keyed by cost type and described by the dimensions of their metric.
 
 
