@@ -4,7 +4,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.aggregates import has_data, only_if, reconcile_counts
-from ledgerloom.operators.bounds import broadcast_if_bounded
 from ledgerloom.operators.dedup import dedup_subset
 from ledgerloom.operators.joins import anti_join_trimmed, attach_scalar, full_outer_left_keys, join_keys_null_safe, map_join
 from ledgerloom.operators.numbering import number_rows
@@ -146,11 +145,3 @@ def test_guard_and_reconciliation(spark):
 
 def test_neutral_table_is_the_identity_of_union(spark):
     assert rows(union_by_name(neutral_table(spark), spark.range(2))) == [(0,), (1,)]
-
-
-def test_broadcast_only_below_the_bound(spark):
-    def hinted(df):
-        return "broadcast" in df._jdf.queryExecution().logical().toString().lower()
-
-    assert hinted(broadcast_if_bounded(spark.range(10), 10))
-    assert not hinted(broadcast_if_bounded(spark.range(11), 10))
