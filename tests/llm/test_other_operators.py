@@ -150,6 +150,26 @@ def test_main_text(spark):
     assert extract(spark.createDataFrame([], "page_id bigint, url string, html string")).count() == 0
 
 
+def main_texts(spark, *pages):
+    """Main text of (host, html) in the order given."""
+    rows = [(k, f"https://{host}/{k}", page) for k, (host, page) in enumerate(pages)]
+    got = extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
+    return [r.text for r in sorted(got, key=lambda r: r.page_id)]
+
+
+def test_main_text_is_not_cut_by_names_alone(spark):
+    inside = "<div class='entry-header'><h1>Title {k}</h1></div><p>Text {k}</p><section id='related-work'><p>Work before {k}</p></section>"
+    forms = [
+        "<body class='has-sidebar'><p>Title {k}<p>Text {k}<p>Work before {k}",
+        "<body><nav>Home</nav><article class='post comments-open'>" + inside + "</article><div class='ad'>buy {k}</div>",
+        "<body><form action='/'><div class='ad'>buy</div><p>Title {k}</p><p>Text {k}</p><p>Work before {k}</p></form>",
+        "<body><form class='widget'><nav>Home</nav><main>" + inside + "</main></form><footer>End {k}</footer>",
+    ]
+    for pages in (1, 12):
+        texts = main_texts(spark, *((f"h{n}.example", form.format(k=k)) for n, form in enumerate(forms) for k in range(pages)))
+        assert texts == [f"Title {k}\n\nText {k}\n\nWork before {k}" for _ in forms for k in range(pages)]
+
+
 def test_events_fold_and_read_back(spark):
     log = [
         (1, 1, 0, "start", "user", None), (1, 1, 1, "delta", None, "he"), (1, 1, 2, "delta", None, "y # <b> \\"),
