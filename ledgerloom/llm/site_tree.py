@@ -269,14 +269,16 @@ def _seen(pages: DataFrame) -> DataFrame:
             held = {}
             for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 code, keys = _keys(page or "")
-                held[len(held)] = (host, code, keys)
-            columns = list(map(list, zip(*held.values()))) or [[], [], []]
+                if (host, code) not in held or _order(keys) < _order(held[host, code]):
+                    held[host, code] = keys
+            columns = [[h for h, _ in held], [c for _, c in held], list(held.values())]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _PAGES, strict=True)], schema=_PAGES)
 
     each = pages.select(_host(), "html").mapInArrow(
         task, "host string, page bigint, keys array<struct<path: array<bigint>, kind: int, value: bigint>>"
     )
-    counted = each.select("host", F.explode("keys").alias("key")).select("host", "key.*")
+    once = each.groupBy("host", "page").agg(F.min("keys").alias("keys"))
+    counted = once.select("host", F.explode("keys").alias("key")).select("host", "key.*")
     return counted.groupBy("host", "path", "kind", "value").agg(F.count(F.lit(1)).alias("pages"))
 
 

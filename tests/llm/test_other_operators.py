@@ -170,6 +170,16 @@ def test_main_text_is_not_cut_by_names_alone(spark):
         assert texts == [f"Title {k}\n\nText {k}\n\nWork before {k}" for _ in forms for k in range(pages)]
 
 
+def test_copies_of_a_page_keep_its_text(spark):
+    post = "<body><div id='post-{k}'><h2>Title</h2><p class='lead'>Lead</p><p>Text</p></div><div class='ad'>buy {k}</div>"
+    article = "<article><p class='lead'>Lead</p><p>Text</p></article><footer>End {k}</footer>"
+    pages = [("a.example", post.format(k=k)) for k in range(9)] + [("b.example", article.format(k=k)) for k in range(9)]
+    assert main_texts(spark, *pages) == ["Title\n\nLead\n\nText"] * 9 + ["Lead\n\nText"] * 9
+    # Other pages of the host, each with its copies: what they share is cut, however ids are numbered.
+    pages = [("c.example", f"<div id=post-{k}><p>Text {k}</p></div><div id=end>Bye</div>") for k in range(12) for _ in range(9)]
+    assert main_texts(spark, *pages) == [f"Text {k}" for k in range(12) for _ in range(9)]
+
+
 def test_events_fold_and_read_back(spark):
     log = [
         (1, 1, 0, "start", "user", None), (1, 1, 1, "delta", None, "he"), (1, 1, 2, "delta", None, "y # <b> \\"),
