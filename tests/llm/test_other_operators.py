@@ -180,6 +180,16 @@ def test_copies_of_a_page_keep_its_text(spark):
     assert main_texts(spark, *pages) == [f"Text {k}" for k in range(12) for _ in range(9)]
 
 
+def test_lines_of_the_whole_site_are_cut_from_articles(spark):
+    html = "<article id='post-{k}'><h1>Title {k}</h1><p>Text {k}</p><p>Read our newsletter</p><div class='comments'><p>{word}</p></div></article>"
+    few = main_texts(spark, *(("a.example", html.format(k=k, word=f"Word {k}")) for k in range(4)))
+    assert few == [f"Title {k}\n\nText {k}\n\nRead our newsletter" for k in range(4)]
+    same = [("b.example", html.format(k=k, word="Log in")) for k in range(12)]
+    other = [("c.example", html.format(k=k, word=f"Word {k}")) for k in range(12)]
+    want = [f"Title {k}\n\nText {k}" for k in range(12)]
+    assert main_texts(spark, *same, *other) == want + [f"{w}\n\nWord {k}" for k, w in enumerate(want)]
+
+
 def test_events_fold_and_read_back(spark):
     log = [
         (1, 1, 0, "start", "user", None), (1, 1, 1, "delta", None, "he"), (1, 1, 2, "delta", None, "y # <b> \\"),
