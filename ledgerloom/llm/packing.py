@@ -116,21 +116,42 @@ def measured(docs: DataFrame) -> DataFrame:
     return texts.mapInArrow(task, "doc_id bigint, source string, n_tokens bigint, cluster bigint")
 
 
+def _regrouped(sizes: DataFrame, groups: DataFrame) -> DataFrame:
+    """``sizes`` with the component of each document as its cluster; texts without words keep none.
+
+    Rows without id have the component of a copy with id, and else the cluster of their words.
+    """
+    own = groups.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("bigint").alias("doc_id"))
+    own = own.agg(F.min("component_id").cast("bigint").alias("component"))
+    known = sizes.where(F.col("doc_id").isNotNull()).join(own, "doc_id", "left")
+    known = stored(known, "pack-components")
+    nameless = sizes.where(F.col("doc_id").isNull())
+    copies = known.join(nameless.select("cluster").distinct(), "cluster", "left_semi")
+    copies = copies.groupBy("cluster").agg(F.min("component").alias("component"))
+    every = known.unionByName(nameless.join(copies, "cluster", "left").select(known.columns))
+    # Components are ids; what has none gets a code that is no id of a document.
+    code = F.coalesce(F.col("component"), -1 - F.col("cluster"))
+    return every.withColumn("cluster", F.when(F.col("cluster").isNotNull(), code)).select(sizes.columns)
+
+
 PACKED = "doc_id bigint, piece bigint, n_tokens bigint, bin_id string, start bigint"
 
 
-def pack(docs: DataFrame, capacity: int = CAPACITY, shard_rows: int = SHARD_ROWS) -> DataFrame:
+def pack(docs: DataFrame, capacity: int = CAPACITY, shard_rows: int = SHARD_ROWS, groups: DataFrame | None = None) -> DataFrame:
     """(doc_id, piece, n_tokens, bin_id, start): where every document goes.
 
     A document counts its words and an end mark, so an empty or null text takes one place. A
     longer one gives pieces of ``capacity`` tokens that fill bins of their own, and the rest is packed. No
     bin holds two documents of one source or of one duplicate cluster; a null source conflicts with
-    nothing. Within a shard pieces go longest first, ties by doc_id. Repeated rows are packed as
+    nothing. Clusters are texts of equal words, or with ``groups`` (doc_id, component_id) the components given
+    there; an id with several components has the smallest. Within a shard pieces go longest first, ties by doc_id. Repeated rows are packed as
     documents of their own (and, being duplicates, never together); null ids are kept.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
     sizes = stored(measured(docs), "pack-sizes")
+    if groups is not None:
+        sizes = stored(_regrouped(sizes, groups), "pack-clusters")
     shards = max(1, math.ceil(sizes.count() / shard_rows))
     dealt = sizes.withColumn("shard", F.pmod(F.xxhash64("doc_id", "cluster", "n_tokens", "source"), F.lit(shards)))
     if sizes.where(F.col("doc_id").isNull()).isEmpty():

@@ -126,7 +126,8 @@ def op6_site_tree(spark, sf_dir):
 
 @query("op7_packing")
 def op7_packing(spark, sf_dir):
-    return pack(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
+    return pack(docs, groups=similar_groups(docs))
 
 
 ORACLE_8 = f"""WITH {SHINGLES_SQL},

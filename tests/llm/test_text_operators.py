@@ -6,6 +6,7 @@ import re
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerloom.llm.decontamination import contaminated
 from ledgerloom.llm.line_dedup import dedup_lines, repeated_keys
@@ -188,6 +189,24 @@ def test_packing_keeps_every_row(spark, frame, rows):
     assert max(held.values()) <= 100
 
 
+def test_near_copies_do_not_share_a_bin(spark):
+    w = [f"w{k}" for k in range(60)]
+    near = [" ".join([*w[:-1], f"end{k}"]) for k in range(6)]
+    texts = [*near, near[0].upper(), *(" ".join(f"x{k}-{i}" for i in range(60)) for k in range(6)), "", None]
+    rows = [(k, text) for k, text in enumerate(texts)] + [(None, near[3]), (None, "only here twice"), (None, "only here twice")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("source", F.lit(None).cast("string"))
+    got = pack(docs, 400, groups=similar_groups(docs)).collect()
+    assert len(got) == len(rows)
+    bins = defaultdict(list)
+    for r in got:
+        bins[r.bin_id].append((r.doc_id, r.n_tokens))
+    # The near copies 0 to 6 and the row of 61 tokens without id are one cluster.
+    for held in bins.values():
+        assert sum((k is None and n == 61) or (k is not None and k < 7) for k, n in held) <= 1
+        assert held.count((None, 4)) <= 1
+    assert len(bins) == 8
+
+
 def test_empty_tables(frame):
     docs = frame(DOCS)
     benchmark = frame("item_id bigint, text string", (1, "a b c d e f"))
