@@ -15,6 +15,7 @@ from ledgerloom.llm.line_dedup import dedup_lines
 from ledgerloom.llm.ngram_join import similar_groups
 from ledgerloom.llm.packing import pack
 from ledgerloom.llm.site_tree import extract
+from ledgerloom.llm.source_audit import audit
 from ledgerloom.llm.warc import read_archives, write_archives
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -179,3 +180,44 @@ def op10_toxicity(spark, sf_dir):
     field = toxicity.train(docs, table(spark, sf_dir, "labels"), in_training(F.col("doc_id"), 5, 0))
     tagged = toxicity.tag(docs.select("doc_id", "text"), field)
     return tagged.select("doc_id", is_held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score", "predicted", "spans")
+
+
+ORACLE_13 = rf"""WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS text FROM documents),
+words AS (
+  SELECT r, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+own AS (SELECT r, lang, source, term, count(*) AS n FROM words GROUP BY ALL),
+kept AS (SELECT lang, term, CAST(sum(n) AS HUGEINT) AS n FROM own GROUP BY ALL HAVING count(*) >= 10),
+langs AS (
+  SELECT lang, CAST(coalesce(sum(n), 0) AS HUGEINT) AS total, count(term) AS v
+  FROM (SELECT DISTINCT lang FROM d) LEFT JOIN kept USING (lang) GROUP BY lang),
+held AS (
+  SELECT lang, source, term, CAST(sum(own.n) AS HUGEINT) AS n FROM own JOIN kept USING (lang, term) GROUP BY ALL),
+groups AS (
+  SELECT lang, source, CAST(coalesce(sum(n), 0) AS HUGEINT) AS total
+  FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN held USING (lang, source) GROUP BY ALL),
+shares AS (
+  SELECT g.lang, g.source, k.term, coalesce(h.n, 0) AS n,
+         1 + 1000000000 * (coalesce(h.n, 0) + 2) // (g.total + 2 * l.v) AS p,
+         1 + 1000000000 * (k.n + 2) // (l.total + 2 * l.v) AS q
+  FROM groups AS g JOIN langs AS l USING (lang) JOIN kept AS k USING (lang)
+  LEFT JOIN held AS h ON h.lang = g.lang AND h.source = g.source AND h.term = k.term),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM shares AS a JOIN shares AS b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+every AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(p.value, 0) AS value
+  FROM groups AS a JOIN groups AS b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs AS p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM shares WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS place FROM every)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(place AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR place <= 10"""
+
+
+@query("op13_source_audit", ORACLE_13)
+def op13_source_audit(spark, sf_dir):
+    return audit(table(spark, sf_dir, "documents"))
