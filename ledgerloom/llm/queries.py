@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import chat, quality, toxicity
+from ledgerloom.llm import chat, disclosure, quality, toxicity
 from ledgerloom.llm.common import in_training, is_held_out
 from ledgerloom.llm.decontamination import contaminated
 from ledgerloom.llm.graph_search import nearest
@@ -16,6 +16,7 @@ from ledgerloom.llm.ngram_join import similar_groups
 from ledgerloom.llm.packing import pack
 from ledgerloom.llm.site_tree import extract
 from ledgerloom.llm.source_audit import audit
+from ledgerloom.llm.spelling import spelling_variants
 from ledgerloom.llm.warc import read_archives, write_archives
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -221,3 +222,119 @@ FROM ranked WHERE part = 'pair' OR place <= 10"""
 @query("op13_source_audit", ORACLE_13)
 def op13_source_audit(spark, sf_dir):
     return audit(table(spark, sf_dir, "documents"))
+
+
+ORACLE_12 = rf"""WITH RECURSIVE runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[A-Za-zÀ-ÿ]+')) AS run
+  FROM documents),
+own AS (SELECT doc_id, run, count(*) AS n FROM runs GROUP BY ALL),
+steps AS (
+  SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, x: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS step),
+hashed AS (
+  SELECT run, n, xor(4294967295, list_reduce(
+    [4294967295] || list_transform(range(strlen(name)), lambda i: CAST('0x' || substr(hex(name), 2 * i + 1, 2) AS BIGINT)),
+    lambda c, b: xor(c >> 8, step[xor(c, b) % 256 + 1]))) AS h
+  FROM (SELECT run, n, coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run AS name FROM own), steps),
+noisy AS (
+  SELECT n, CASE WHEN h % 97 = 0 THEN left(run, CAST(h % length(run) AS INTEGER)) || substr(run, CAST(h % length(run) AS INTEGER) + 2)
+                 ELSE run END AS word FROM hashed),
+words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM noisy WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+cut AS (
+  SELECT word, n, i, left(word, i) AS head, substr(word, i + 2) AS tail
+  FROM (SELECT word, n, CAST(unnest(range(length(word))) AS INTEGER) AS i FROM words)),
+pairs AS (
+  SELECT a.word, b.word AS other, b.n AS m FROM cut AS a JOIN cut AS b USING (i, head, tail) WHERE a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cut AS a JOIN words AS b ON b.word = a.head || a.tail
+  UNION SELECT b.word, a.word, a.n FROM cut AS a JOIN words AS b ON b.word = a.head || a.tail),
+near AS (
+  SELECT word, count(*) AS n_near, max(m) AS m, arg_min(other, struct_pack(m := -m, other := other)) AS best
+  FROM pairs GROUP BY word),
+formed AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 2 * n THEN best END AS form, CASE WHEN m >= 2 * n THEN m END AS form_n
+  FROM words LEFT JOIN near USING (word)),
+ways AS (
+  SELECT word, word AS root FROM formed
+  UNION ALL SELECT w.word, f.form FROM ways AS w JOIN formed AS f ON f.word = w.root WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, w.root, f.n, f.n_near, f.form_n
+FROM formed AS f JOIN ways AS w ON w.word = f.word JOIN formed AS e ON e.word = w.root AND e.form IS NULL"""
+
+
+@query("op12_spelling", ORACLE_12)
+def op12_spelling(spark, sf_dir):
+    return spelling_variants(table(spark, sf_dir, "documents"), noise=True)
+
+
+_PERSONAL = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+_MATCHES_SQL = " UNION ALL ".join(
+    f"SELECT r, {k} AS kind, '{name}' AS name, regexp_extract_all(text, '{p}') AS m, regexp_split_to_array(text, '{p}') AS pieces FROM docs"
+    for k, (name, p) in enumerate(_PERSONAL.items())
+)
+ORACLE_11 = rf"""WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+matches AS ({_MATCHES_SQL}),
+placed AS (
+  SELECT r, kind, name, m[i] AS value, pieces[i] AS before, pieces[i + 1] AS after,
+         sum(length(m[i]) + length(pieces[i])) OVER (PARTITION BY r, kind ORDER BY i) AS e
+  FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM matches)),
+digits AS (SELECT *, regexp_replace(value, '[^0-9]', '', 'g') AS d FROM placed),
+base AS (
+  SELECT r, kind, name, before, after, CAST(e - length(value) AS BIGINT) AS s, CAST(e AS BIGINT) AS e,
+         name || ':' || CASE WHEN kind < 2 THEN translate(value, '{UPPER}', '{LOWER}') ELSE d END AS entity
+  FROM digits
+  WHERE CASE kind WHEN 0 THEN true
+    WHEN 1 THEN list_bool_and(list_transform(string_split(value, '.'), lambda x: coalesce(TRY_CAST(x AS HUGEINT) <= 255, false)))
+    WHEN 2 THEN length(d) BETWEEN 12 AND 19 AND list_sum(list_transform(range(length(d)), lambda i:
+        CASE WHEN i % 2 = 0 THEN CAST(d[length(d) - i] AS INTEGER)
+             ELSE 2 * CAST(d[length(d) - i] AS INTEGER) // 10 + 2 * CAST(d[length(d) - i] AS INTEGER) % 10 END)) % 10 = 0
+    ELSE length(d) BETWEEN 9 AND 15 END),
+nearby AS (
+  SELECT r, entity, unnest(list_filter(regexp_extract_all(translate(
+           CASE WHEN length(before) > 100 THEN regexp_replace(right(before, 100), '^[A-Za-zÀ-ÿ]+', '') ELSE before END || ' ' ||
+           CASE WHEN length(after) > 100 THEN regexp_replace(left(after, 100), '[A-Za-zÀ-ÿ]+$', '') ELSE after END,
+           '{UPPER}', '{LOWER}'), '[A-Za-zÀ-ÿ]+'), lambda w: length(w) >= 4)) AS term FROM base),
+both_held AS (
+  SELECT entity, term, count(DISTINCT r) AS n_both
+  FROM (SELECT * FROM nearby UNION ALL SELECT r, entity, left(term, 3) || '*' FROM nearby) GROUP BY ALL HAVING n_both >= 3),
+entities AS (SELECT entity, count(DISTINCT r) AS n_entity FROM base GROUP BY entity),
+words AS (
+  SELECT r, i, s[i] AS word, sum(length(s[i]) + length(p[i])) OVER (PARTITION BY r ORDER BY i) AS e
+  FROM (SELECT r, s, p, unnest(range(1, len(s) + 1)) AS i FROM (
+    SELECT r, regexp_extract_all(text, '[A-Za-zÀ-ÿ]+') AS s, regexp_split_to_array(text, '[A-Za-zÀ-ÿ]+') AS p FROM docs))),
+terms AS (
+  SELECT r, translate(word, '{UPPER}', '{LOWER}') AS term, CAST(e - length(word) AS BIGINT) AS s, CAST(e AS BIGINT) AS e
+  FROM words WHERE length(word) >= 4),
+held AS (
+  SELECT term, count(*) AS n_term
+  FROM (SELECT DISTINCT r, term FROM terms UNION ALL SELECT DISTINCT r, left(term, 3) || '*' FROM terms) GROUP BY term),
+much AS (
+  SELECT entity, term FROM both_held JOIN entities USING (entity) JOIN held USING (term), (SELECT count(*) AS n FROM docs)
+  WHERE log2(CAST(n_both AS DOUBLE) * n / (CAST(n_entity AS DOUBLE) * n_term)) > log2(CAST(n AS DOUBLE) / n_entity) / 1.05),
+spans AS (
+  SELECT r, kind, name, s, e FROM base
+  UNION ALL SELECT DISTINCT t.r, 4, 'term', t.s, t.e
+  FROM base AS b JOIN much USING (entity) JOIN terms AS t ON t.r = b.r AND t.term = much.term
+  WHERE NOT EXISTS (FROM base AS o WHERE o.r = t.r AND o.kind = 0 AND o.s < t.e AND t.s < o.e)),
+joined AS (
+  SELECT r, count(*) FILTER (WHERE kind = 0) AS n_email, count(*) FILTER (WHERE kind = 1) AS n_ip,
+         count(*) FILTER (WHERE kind = 2) AS n_card, count(*) FILTER (WHERE kind = 3) AS n_phone,
+         string_agg(name || ':' || s || ':' || e, ',' ORDER BY s, kind, e) FILTER (WHERE kind < 4) AS base,
+         string_agg(name || ':' || s || ':' || e, ',' ORDER BY s, kind, e) AS spans
+  FROM spans GROUP BY r)
+SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card,
+       coalesce(n_phone, 0) AS n_phone, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN joined USING (r)"""
+
+
+@query("op11_disclosure", ORACLE_11)
+def op11_disclosure(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = disclosure.sanitise(docs, disclosure.disclosing_terms(docs))
+    counts = [disclosure.n_of(F.col("base_found"), k).alias(f"n_{k}") for k in ("email", "ip", "card", "phone")]
+    digest = F.sha2(disclosure.span_text(F.col("base_found")), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, digest, disclosure.span_text(F.col("found")).alias("spans"))
