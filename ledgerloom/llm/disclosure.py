@@ -10,6 +10,8 @@ Everything is made of Spark's own functions.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,56 +44,70 @@ def lowered(text: Column) -> Column:
     return F.translate(text, _UPPER, _LOWER)
 
 
-def running(values: Column) -> Column:
-    """The running sums of an array of numbers: blocks of about its square root, then their offsets."""
-    size = F.greatest(F.lit(16), F.ceil(F.sqrt(F.size(values))).cast("int"))
-    starts = F.sequence(F.lit(1), F.greatest(F.size(values), F.lit(1)), size)
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _sums(values: Column) -> Column:
     none = F.array().cast("array<bigint>")
+    return F.aggregate(values, none, lambda acc, x: F.concat(acc, F.array(x + F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0)))))
 
-    def sums(xs: Column) -> Column:
-        add = lambda acc, x: F.concat(acc, F.array(F.coalesce(F.element_at(acc, -1), F.lit(0).cast("bigint")) + x))
-        return F.aggregate(xs, none, lambda acc, x: F.when(F.size(acc) == 0, F.array(x.cast("bigint"))).otherwise(add(acc, x)))
 
-    blocks = F.transform(starts, lambda at: sums(F.slice(values, at, size)))
-    offsets = sums(F.transform(blocks, lambda b: F.coalesce(F.try_element_at(b, F.lit(-1)), F.lit(0).cast("bigint"))))
-    moved = F.zip_with(blocks, offsets, lambda b, o: F.transform(b, lambda x: x + o - F.element_at(b, -1)))
-    return F.when(F.size(values) == 0, none).otherwise(F.flatten(moved))
+def running(values: Column) -> Column:
+    """The running sums of an array of numbers: those of blocks of about its square root, then their offsets."""
+
+    def of(xs: Column) -> Column:
+        size = F.greatest(F.lit(16), F.ceil(F.sqrt(F.size(xs))).cast("int"))
+        starts = F.sequence(F.lit(1), F.greatest(F.size(xs), F.lit(1)), size)
+        return let(F.transform(starts, lambda at: _sums(F.slice(xs, at, size))), joined)
+
+    def joined(blocks: Column) -> Column:
+        last = F.transform(blocks, lambda b: F.coalesce(F.try_element_at(b, F.lit(-1)), F.lit(0).cast("bigint")))
+        before = lambda b, o: o - F.element_at(b, -1)
+        return F.flatten(F.zip_with(blocks, _sums(last), lambda b, o: F.transform(b, lambda x: x + before(b, o))))
+
+    return let(values, of)
 
 
 def located(text: Column, pattern: str) -> Column:
     """Leftmost matches that do not overlap: array of (start, end, value, before, after) by code points.
 
-    ``before`` and ``after`` are the texts up to the neighbouring matches.
+    ``before`` and ``after`` are the texts up to the neighbouring matches. Null without matches.
     """
-    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pieces = F.split(text, pattern, -1)
-    ends = running(F.zip_with(matches, F.slice(pieces, F.lit(1), F.size(matches)), lambda m, p: F.length(m) + F.length(p)))
-    zipped = F.arrays_zip(
-        matches.alias("value"), F.slice(pieces, F.lit(1), F.size(matches)).alias("before"), F.slice(pieces, F.lit(2), F.size(matches)).alias("after"), ends.alias("end")
-    )
-    found = F.transform(
-        zipped,
-        lambda x: F.struct(
-            (x["end"] - F.length(x["value"])).alias("start"), x["end"].alias("end"), x["value"].alias("value"), x["before"].alias("before"), x["after"].alias("after")
-        ),
-    )
-    return F.when(F.size(matches) > 0, found)
+
+    def split(matches: Column) -> Column:
+        return F.when(F.size(matches) > 0, let(F.split(text, pattern, -1), lambda pieces: placed(matches, pieces)))
+
+    def placed(matches: Column, pieces: Column) -> Column:
+        lengths = F.transform(matches, lambda m, i: (F.length(m) + F.length(F.get(pieces, i))).cast("bigint"))
+        return let(running(lengths), lambda ends: F.transform(matches, lambda m, i: one(m, i, pieces, ends)))
+
+    def one(m: Column, i: Column, pieces: Column, ends: Column) -> Column:
+        start = F.get(ends, i) - F.length(m)
+        fields = {"start": start, "end": F.get(ends, i), "value": m, "before": F.get(pieces, i), "after": F.get(pieces, i + 1)}
+        return F.struct(*[c.alias(name) for name, c in fields.items()])
+
+    return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), split)
 
 
 def _holds(kind: int, value: Column) -> Column:
-    digits = F.regexp_replace(value, "[^0-9]", "")
     if kind == 1:
         return value.rlike(rf"^{_BYTE}(?:\.{_BYTE}){{3}}$")
     if kind == 2:
-        return F.length(digits).between(12, 19) & F.call_function("luhn_check", digits)
+        return let(_digits(value), lambda d: F.length(d).between(12, 19) & F.call_function("luhn_check", d))
     if kind == 3:
-        return F.length(digits).between(9, 15)
+        return F.length(_digits(value)).between(9, 15)
     return F.lit(True)
 
 
+def _digits(value: Column) -> Column:
+    return F.regexp_replace(value, "[^0-9]", "")
+
+
 def _entity(kind: int, value: Column) -> Column:
     """What two spans of one entity have in common."""
-    plain = F.regexp_replace(value, "[^0-9]", "") if kind in (2, 3) else lowered(value)
+    plain = _digits(value) if kind in (2, 3) else lowered(value)
     return F.concat(F.lit(KINDS[kind] + ":"), plain)
 
 
@@ -124,9 +140,9 @@ def base_spans(text: Column, terms: bool = True) -> Column:
         held = F.filter(located(text, PATTERNS[kind]), lambda x: _holds(kind, x["value"]))
         return F.coalesce(F.transform(held, span), F.array().cast(SPANS))
 
-    found = [of(kind) for kind in range(len(PATTERNS))]
-    # A text without @ is not searched for addresses.
-    found[EMAIL] = F.when(F.contains(text, F.lit("@")), found[EMAIL]).otherwise(F.array().cast(SPANS))
+    # Signs without which a text holds none of a kind; most texts are not searched further.
+    may = [F.contains(text, F.lit("@")), text.rlike(r"[0-9]\.[0-9]"), text.rlike("[0-9]"), F.contains(text, F.lit("+"))]
+    found = [F.when(sign, of(kind)).otherwise(F.array().cast(SPANS)) for kind, sign in enumerate(may)]
     return F.array_sort(F.concat(*found))
 
 
@@ -147,7 +163,7 @@ def disclosing_terms(docs: DataFrame, alpha: float = ALPHA, min_both: int = MIN_
     spans = text.select(base_spans(F.col("text")).alias("spans")).where(F.size("spans") > 0)
 
     def with_forms(words: Column) -> Column:
-        return F.concat(words, F.array_distinct(F.transform(words, general)))
+        return let(words, lambda w: F.concat(w, F.array_distinct(F.transform(w, general))))
 
     per_span = F.transform("spans", lambda s: F.transform(with_forms(s["terms"]), lambda t: F.struct(s["entity"].alias("entity"), t.alias("term"))))
     alone = F.transform("spans", lambda s: F.struct(s["entity"].alias("entity"), F.lit(None).cast("string").alias("term")))
