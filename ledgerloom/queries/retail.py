@@ -10,6 +10,7 @@ from ledgerloom.plans.retail import (
     coupon_applied,
     coupon_total,
     discounted_price,
+    fulfilled_orders,
     inventory_report,
     low_stock,
     loyalty_points,
@@ -19,6 +20,7 @@ from ledgerloom.plans.retail import (
     remove_products,
     status_valid,
     stock_after,
+    stock_left,
     validate_items,
 )
 from ledgerloom.queries.base import table
@@ -135,6 +137,46 @@ def order_accept(spark, sf_dir):
     return accepted_orders(_items(spark, sf_dir), stock)
 
 
+# Orders one after the other: what earlier accepted orders took is gone. Each step of the recursion
+# decides the orders between whose demand and the stock nothing open stands.
+_FULFIL_SQL = f"""WITH RECURSIVE d AS (
+  SELECT l_orderkey AS o, l_partkey AS p, CAST(sum(CAST(l_quantity AS INTEGER)) AS BIGINT) AS q FROM lineitem GROUP BY ALL),
+s AS (SELECT d.*, p_size AS s FROM d LEFT JOIN ({_STOCK_SQL}) AS t ON d.p = t.p_partkey),
+open AS (SELECT o FROM s GROUP BY o HAVING bool_and(coalesce(q <= s, false))),
+steps AS (
+  SELECT 0 AS step, s.o, s.p, s.q, s.s, CAST(NULL AS BOOLEAN) AS taken FROM s JOIN open USING (o)
+  UNION ALL
+  SELECT step + 1, o, p, q, s,
+         CASE WHEN taken IS NOT NULL THEN taken
+              WHEN bool_and(taken IS NULL AND q <= s - more) OVER (PARTITION BY o) THEN true
+              WHEN bool_or(q > s - less) OVER (PARTITION BY o) THEN false END
+  FROM (SELECT *, coalesce(sum(CASE WHEN coalesce(taken, true) THEN q ELSE 0 END) OVER w, 0) AS more,
+               coalesce(sum(CASE WHEN taken THEN q ELSE 0 END) OVER w, 0) AS less
+        FROM (SELECT *, count(*) FILTER (WHERE taken IS NULL) OVER () AS undecided FROM steps)
+        WHERE undecided > 0
+        WINDOW w AS (PARTITION BY p ORDER BY o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))),
+last AS (SELECT DISTINCT o, taken FROM steps WHERE step = (SELECT max(step) FROM steps)),
+orders AS (SELECT DISTINCT d.o AS order_id, coalesce(taken, false) AS accepted FROM d LEFT JOIN last USING (o))"""
+
+
+@query("order_fulfil", f"{_FULFIL_SQL} SELECT order_id, accepted FROM orders")
+def order_fulfil(spark, sf_dir):
+    """Accepted orders use up the stock that later ones find."""
+    stock = _products(spark, sf_dir).where(F.col("category") != "PROMO")
+    return fulfilled_orders(_items(spark, sf_dir), stock)
+
+
+@query(
+    "stock_left",
+    f"""{_FULFIL_SQL} SELECT p_partkey AS product_id, p_size AS stock, CAST(p_size - coalesce(q, 0) AS BIGINT) AS "left"
+    FROM ({_STOCK_SQL}) AS t LEFT JOIN (SELECT p, sum(q) AS q FROM d JOIN orders ON o = order_id WHERE accepted GROUP BY p) AS m ON p_partkey = p""",
+)
+def stock_left_query(spark, sf_dir):
+    stock = _products(spark, sf_dir).where(F.col("category") != "PROMO")
+    items = _items(spark, sf_dir)
+    return stock_left(items, stock, fulfilled_orders(items, stock)).select("product_id", "stock", "left")
+
+
 @query(
     "loyalty_points",
     "SELECT o_custkey AS customer_id, CAST(sum(CAST(floor(CAST(o_totalprice AS DECIMAL(18,2)) / 10) AS BIGINT)) AS BIGINT) AS points FROM orders GROUP BY 1",

@@ -1,3 +1,6 @@
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.plans import retail as R
@@ -54,3 +57,56 @@ def test_lines_of_one_order_share_the_stock(spark):
     items = spark.createDataFrame([(1, 2, 12), (1, 2, 12), (2, 2, 12), (2, 1, 5), (3, 2, None)], "order_id int, product_id int, quantity int")
     got = {r.order_id: r.accepted for r in R.accepted_orders(items, stock(spark)).collect()}
     assert got == {1: False, 2: True, 3: False}
+
+
+def sequential(items, stock):
+    left, wanted = dict(stock), {}
+    for order, product, quantity in items:
+        own = wanted.setdefault(order, {})
+        own[product] = None if quantity is None or own.get(product, 0) is None else own.get(product, 0) + quantity
+    out = {}
+    for order in sorted(wanted):
+        own = wanted[order]
+        out[order] = all(left.get(p) is not None and q is not None and q <= left[p] for p, q in own.items())
+        if out[order]:
+            for p, q in own.items():
+                left[p] -= q
+    return out, left
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_orders_use_up_the_stock(spark, seed):
+    rng = random.Random(seed)
+    products = {p: rng.randrange(5, 60) for p in range(6)} | {6: None, 7: 4000}
+    items = []
+    for order in range(300):
+        for _ in range(rng.randrange(1, 4)):
+            product = 7 if rng.random() < 0.4 else rng.randrange(9)
+            quantity = None if rng.random() < 0.02 else -rng.randrange(9) if seed == 3 and rng.random() < 0.2 else rng.randrange(1, 25)
+            items.append((order, product, quantity))
+    rng.shuffle(items)
+    want, left = sequential(items, products)
+    rows = spark.createDataFrame(items, "order_id int, product_id int, quantity int")
+    stock = spark.createDataFrame(list(products.items()), "product_id int, stock int")
+    orders = R.fulfilled_orders(rows, stock)
+    got = [(r.order_id, r.accepted) for r in orders.collect()]
+    assert len(got) == len(want) and dict(got) == want
+    assert 0 < sum(want.values()) < len(want)
+    assert {r.product_id: r.left for r in R.stock_left(rows, stock, orders).collect()} == left
+
+
+def test_a_rejected_order_leaves_its_stock_free(spark):
+    items = spark.createDataFrame(
+        [(1, 1, 4), (2, 1, 3), (2, 2, 99), (3, 1, 1), (4, 1, 1), (None, 1, 5), (5, 3, 1)], "order_id int, product_id int, quantity int"
+    )
+    stock = spark.createDataFrame([(1, 5), (2, 9)], "product_id int, stock int")
+    got = {r.order_id: r.accepted for r in R.fulfilled_orders(items, stock).collect()}
+    assert got == {1: True, 2: False, 3: True, 4: False, 5: False}
+    assert R.fulfilled_orders(items.limit(0), stock).count() == 0
+
+
+def test_no_window_over_raw_lines(spark):
+    items = spark.createDataFrame([(1, 1, 4)], "order_id int, product_id int, quantity int")
+    stock = spark.createDataFrame([(1, 5)], "product_id int, stock int")
+    for df in (R.validate_items(items, stock), R.accepted_orders(items, stock)):
+        assert "Window" not in df._jdf.queryExecution().optimizedPlan().toString()
