@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -27,3 +27,17 @@ def reconcile_counts(before: DataFrame, after: DataFrame) -> DataFrame:
     counted = before.agg(F.count("*").alias("rows_read"))
     written = after.agg(F.count("*").alias("rows_written")).scalar()
     return counted.withColumn("rows_written", written).withColumn("agree", F.expr("rows_read = rows_written"))
+
+
+def reconciled_write(df: DataFrame, step: Callable[[DataFrame], DataFrame], write: Callable[[DataFrame], None]) -> dict:
+    """Write ``step(df)`` and tell the rows read, the rows written and whether they agree.
+
+    Both counts are observed while the rows pass in the one action of ``write``; no job counts
+    again. ``step`` uses its argument once. Should a task of an earlier stage be repeated after a
+    loss, its rows count again: a difference is a reason to look, not a proof.
+    """
+    read, written = Observation(), Observation()
+    count = F.count(F.lit(1)).alias("rows")
+    write(step(df.observe(read, count)).observe(written, count))
+    rows_read, rows_written = read.get["rows"], written.get["rows"]
+    return {"rows_read": rows_read, "rows_written": rows_written, "agree": rows_read == rows_written}

@@ -17,7 +17,7 @@ from ledgerloom.queries.registry import query
 from ledgerloom.session import new_path
 from ledgerloom.sources.masters import catalogue_measures, load_master
 from ledgerloom.sources.sinks import overwrite_partitions
-from ledgerloom.sources.snapshots import latest_load, latest_partition, read_snapshot
+from ledgerloom.sources.snapshots import latest_load, read_latest, read_snapshot
 from ledgerloom.sources.tables import literal_table, read_slice
 
 
@@ -105,14 +105,15 @@ def snapshot_latest(spark, sf_dir):
     "(SELECT max(o_orderpriority) FROM orders WHERE year(o_orderdate) = 1997)",
 )
 def snapshot_read(spark, sf_dir):
-    """Orders stored in snapshots ``priority-year``; the greatest snapshot of a year is read."""
+    """Orders stored in snapshots ``priority-year`` below plain folders; the greatest of a year is read."""
     path = new_path(spark, "snapshots")
     stamped = table(spark, sf_dir, "orders").select(
         "o_orderkey",
         "o_totalprice",
         F.concat(F.translate("o_orderpriority", "-", "_"), F.lit("-"), F.year("o_orderdate").cast("string")).alias("snapshot"),
     )
-    overwrite_partitions(stamped, path, ["snapshot"])
+    for folder, urgent in (("a_urgent", True), ("b_others", False)):
+        overwrite_partitions(stamped.where(F.col("snapshot").startswith("1") == urgent), f"{path}/{folder}", ["snapshot"])
     return read_snapshot(spark, path, "snapshot", "1997").select("o_orderkey", "o_totalprice")
 
 
@@ -124,7 +125,7 @@ def snapshot_read(spark, sf_dir):
 def latest_load_read(spark, sf_dir):
     path = new_path(spark, "loads")
     overwrite_partitions(_loaded_orders(spark, sf_dir).drop("period"), path, ["load_part"])
-    return latest_partition(spark.read.parquet(path), "load_part").select("o_orderkey", "o_totalprice", "load_part")
+    return read_latest(spark, path, "load_part").select("o_orderkey", "o_totalprice", "load_part")
 
 
 @query(

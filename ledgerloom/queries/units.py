@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ledgerloom.operators.aggregates import reconciled_write
 from ledgerloom.plans.units import conversion_factors, convert_units
 from ledgerloom.queries.base import _sql_value, table
 from ledgerloom.queries.registry import query
+from ledgerloom.session import new_path
+from ledgerloom.sources.sinks import overwrite_table
 from ledgerloom.sources.tables import literal_table
 
 _CLASS = "STREAM"
@@ -74,6 +77,20 @@ def _config(spark):
     )
 
 
+def _lines(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem")
+    bu = F.when(F.col("l_returnflag") == "R", "ARG").when(F.col("l_returnflag") == "A", "BRA").otherwise("PER")
+    return lines.select(
+        "l_orderkey", "l_linenumber", "l_partkey", F.col("l_quantity").alias("quantity"),
+        F.col("l_extendedprice").alias("price"), bu.alias("id_bu"), F.col("l_returnflag").alias("flag"),
+    )
+
+
+def _converted(fact, *more):
+    factors = conversion_factors(*_config(fact.sparkSession), _CLASS)
+    return convert_units(fact, factors, ["l_orderkey", "l_linenumber", "l_partkey", "id_bu", *more], _WANTED)
+
+
 @query(
     "unit_conversion",
     f"""WITH {_LINE_SQL}, {_CONFIG_SQL} SELECT fact.l_orderkey, fact.l_linenumber, fact.l_partkey, fact.id_bu,
@@ -81,13 +98,20 @@ def _config(spark):
     FROM fact {_PAIR_JOINS}""",
 )
 def unit_conversion(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem")
-    bu = F.when(F.col("l_returnflag") == "R", "ARG").when(F.col("l_returnflag") == "A", "BRA").otherwise("PER")
-    fact = lines.select(
-        "l_orderkey", "l_linenumber", "l_partkey", F.col("l_quantity").alias("quantity"),
-        F.col("l_extendedprice").alias("price"), bu.alias("id_bu"),
-    )
-    factors = conversion_factors(*_config(spark), _CLASS)
-    rows = convert_units(fact, factors, ["l_orderkey", "l_linenumber", "l_partkey", "id_bu"], _WANTED)
+    rows = _converted(_lines(spark, sf_dir))
     rounded = {f"{a}_{u}": F.round(f"{a}_{u}", 6) for a, u in _WANTED}
     return rows.withColumns(rounded)
+
+
+@query(
+    "unit_conversion_report",
+    """SELECT CAST(l_returnflag AS VARCHAR) AS flag, count(*) AS stored, (SELECT count(*) FROM lineitem) AS rows_read,
+    (SELECT count(*) FROM lineitem) AS rows_written, true AS agree FROM lineitem GROUP BY 1""",
+)
+def unit_conversion_report(spark, sf_dir):
+    """The conversion written as a table, with the counts that its one write observed."""
+    path = new_path(spark, "converted")
+    lines = _lines(spark, sf_dir)
+    counts = reconciled_write(lines, lambda rows: _converted(rows, "flag"), lambda rows: overwrite_table(rows, path))
+    stored = spark.read.parquet(path).groupBy("flag").agg(F.count("*").alias("stored"))
+    return stored.withColumns({name: F.lit(value) for name, value in counts.items()})

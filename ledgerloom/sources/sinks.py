@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ledgerloom.session import new_path
+from ledgerloom.sources.folders import partition_folders, remove_folder
 from ledgerloom.sources.tables import read_slice
 
 # Writer settings for the warehouse tables.
@@ -42,9 +42,10 @@ def replace_slice(
     """Make the slice (period, scenarios) of the table at ``path`` equal to the rows of ``df``.
 
     The table is laid out by period and scenario. ``scenarios=None`` replaces the whole period. A row
-    outside the slice is an error, found before anything is replaced. ``df`` is evaluated once, into
-    a stage; slices for which it has no rows end up empty, as after a delete. Leaf folders are
-    replaced one by one, so a failed run is repeated.
+    outside the slice is an error. ``df`` is evaluated once, and all its leaf folders are replaced
+    by one commit: what fails before it leaves the old slice whole. Then the leaves for which
+    ``df`` has no rows are removed; should that fail, the run is repeated. A table whose last leaf
+    goes has no files, so that its readers need its schema.
     """
     spark = df.sparkSession
     inside = F.col(period_column) == period
@@ -53,20 +54,15 @@ def replace_slice(
     checked = F.when(F.coalesce(inside, F.lit(False)), F.col(scenario_column)).otherwise(
         F.raise_error(F.lit(f"a row lies outside the slice {period_column}={period}, {scenarios}"))
     )
-    columns = [c for c in df.columns if c not in (period_column, scenario_column)]
-    rows = df.select(*columns, checked.alias(scenario_column))
-    stage = new_path(spark, "slice")
-    _placed(rows, [scenario_column]).write.partitionBy(scenario_column).parquet(stage)
-    staged = spark.read.schema(rows.schema).parquet(stage)
-    folder = f"{path}/{period_column}={period}"
-    writer = staged.write.partitionBy(scenario_column).mode("overwrite")
-    if scenarios is None:
-        writer.option("partitionOverwriteMode", "static").parquet(folder)
-        return
-    writer.option("partitionOverwriteMode", "dynamic").parquet(folder)
-    present = {r[0] for r in staged.select(scenario_column).distinct().collect()}  # at most the listed ones
-    for scenario in set(scenarios) - present:
-        staged.drop(scenario_column).limit(0).write.mode("overwrite").parquet(f"{folder}/{scenario_column}={scenario}")
+    written = Observation()
+    rows = df.withColumn(scenario_column, checked).observe(written, F.collect_set(F.col(scenario_column).cast("string")).alias("scenarios"))
+    placed = _placed(rows, [scenario_column]).write.partitionBy(period_column, scenario_column).mode("overwrite")
+    placed.option("partitionOverwriteMode", "dynamic").parquet(path)
+    present = set(written.get["scenarios"])
+    for leaf in partition_folders(spark, f"{path}/{period_column}={period}", scenario_column):
+        listed = scenarios is None or leaf.value in {str(s) for s in scenarios}
+        if listed and leaf.value not in present:
+            remove_folder(spark, leaf.path)
 
 
 def stage_boundary(df: DataFrame, path: str, keys: Sequence[str], wanted: Mapping[str, object]) -> DataFrame:

@@ -1,10 +1,14 @@
-"""Choosing among load and snapshot partitions without listing folders on the driver."""
+"""Choosing among load and snapshot partitions: by folder names, or by rows of a DataFrame."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.sources.folders import NO_VALUE, partition_folders
+
 
 def snapshot_key(column: Column) -> Column:
     """Partition value, or its second part where it is written ``first-second``."""
@@ -24,11 +28,38 @@ def snapshot_rows(df: DataFrame, partition_column: str, wanted: str) -> DataFram
     return df.where(best.isNull() | (part.cast("string") == best))
 
 
+def _second_part(value: str) -> str:
+    return value.split("-")[1] if "-" in value else value
+
+
 def read_snapshot(spark: SparkSession, path: str, partition_column: str, wanted: str) -> DataFrame:
+    """The greatest snapshot whose key is ``wanted``; all rows if there is none.
+
+    The choice takes folder names alone, also those below plain folders, the greatest path first.
+    Folders that cannot be listed are passed over with a warning.
+    """
+    folders = partition_folders(spark, path, partition_column)
+    matching = [f for f in folders if _second_part(f.value) == wanted]
+    if matching:
+        best = max(matching, key=lambda f: f.path)
+        return spark.read.option("basePath", best.parent).parquet(best.path)
+    by_parent: dict[str, list[str]] = {}
+    for folder in folders:
+        by_parent.setdefault(folder.parent, []).append(folder.path)
+    if not by_parent:
+        return spark.read.parquet(path)
+    tables = [spark.read.option("basePath", parent).parquet(*paths) for parent, paths in by_parent.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
+
+
+def read_latest(spark: SparkSession, path: str, partition_column: str) -> DataFrame:
+    """The rows of the greatest partition by folder names: as numbers if all are, else as text."""
     df = spark.read.parquet(path)
-    if partition_column not in df.columns:
-        return df
-    return snapshot_rows(df, partition_column, wanted)
+    values = [f.value for f in partition_folders(spark, path, partition_column) if f.value != NO_VALUE]
+    if not values:
+        return df.limit(0)
+    numbers = all(v.lstrip("-").isdigit() for v in values)
+    return df.where(F.col(partition_column) == F.lit(max(values, key=int if numbers else str)))
 
 
 def latest_partition(df: DataFrame, partition_column: str) -> DataFrame:

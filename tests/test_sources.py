@@ -4,11 +4,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import typed_projection
+from ledgerloom.operators.aggregates import reconciled_write
 from ledgerloom.session import new_path, shared_dir
 from ledgerloom.sources import configured
+from ledgerloom.sources.folders import partition_folders
 from ledgerloom.sources.masters import catalogue_measures, load_master
 from ledgerloom.sources.sinks import jdbc_options, overwrite_partitions, replace_slice, stage_boundary
-from ledgerloom.sources.snapshots import latest_load, read_snapshot
+from ledgerloom.sources.snapshots import latest_load, read_latest, read_snapshot
 from ledgerloom.sources.tables import create_table_from, literal_table, read_slice
 
 
@@ -115,3 +117,74 @@ def test_jdbc_options():
     options = jdbc_options("jdbc:x", "s.t", True, 4, user="u")
     assert options["truncate"] == "true" and options["batchsize"] == "1000000" and options["numPartitions"] == "4"
     assert options["user"] == "u"
+
+
+def test_a_failed_replacement_leaves_the_slice_whole(spark):
+    path = new_path(spark, "test-slice")
+    df = spark.createDataFrame([(1, s, f"{s}") for s in (1, 2, 3)] + [(2, 1, "other")], "p int, s int, v string")
+    overwrite_partitions(df, path, ["p", "s"])
+    before = sorted(tuple(r) for r in spark.read.parquet(path).collect())
+    # Half of the rows can be written; a task of the other half fails.
+    new = spark.range(0, 4000, 1, 8).select(
+        F.lit(1).alias("p"), (F.col("id") % 2 + 1).cast("int").alias("s"),
+        F.when(F.col("id") == 3999, F.raise_error(F.lit("half-way"))).otherwise(F.col("id").cast("string")).alias("v"),
+    )
+    with pytest.raises(Exception, match="half-way"):
+        replace_slice(new, path, "p", 1, "s", [1, 2, 3])
+    assert sorted(tuple(r) for r in spark.read.parquet(path).collect()) == before
+    whole = spark.range(0, 4000, 2, 8).selectExpr("1 as p", "1 as s", "string(id) as v")
+    replace_slice(whole, path, "p", 1, "s", [1, 2])
+    after = spark.read.parquet(path)
+    assert {(r.p, r.s): r["count"] for r in after.groupBy("p", "s").count().collect()} == {(1, 1): 2000, (1, 3): 1, (2, 1): 1}
+    leaves = {f.name for f in partition_folders(spark, f"{path}/p=1", "s")}
+    assert leaves == {"s=1", "s=3"}
+
+
+def test_a_slice_may_be_made_of_its_own_rows(spark):
+    path = new_path(spark, "test-slice")
+    overwrite_partitions(spark.createDataFrame([(1, 1, 5), (1, 2, 6)], "p int, s int, v int"), path, ["p", "s"])
+    own = spark.read.parquet(path)
+    replace_slice(own.where("s = 1").withColumn("v", F.col("v") + 1), path, "p", 1, "s", [1])
+    assert sorted((r.s, r.v) for r in spark.read.parquet(path).collect()) == [(1, 6), (2, 6)]
+
+
+def test_snapshots_below_plain_folders(spark):
+    path = new_path(spark, "test-snapshots")
+    for folder, rows in {
+        "2022/first": [("20220101-202301", 1)],
+        "2023/first": [("20230101-202301", 2), ("20230201-202302", 3)],
+        "2023": [("20220901-202301", 4)],
+        "_hidden": [("20990101-202301", 9)],
+    }.items():
+        overwrite_partitions(spark.createDataFrame(rows, "load string, v int"), f"{path}/{folder}", ["load"])
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    folders = partition_folders(spark, path, "load")
+    assert len(folders) == 4 and spark.sparkContext.statusTracker().getJobIdsForGroup(None) == before  # no job for the choice
+    got = read_snapshot(spark, path, "load", "202301")
+    assert [(r.load, r.v) for r in got.collect()] == [("20220901-202301", 4)]  # 2023/load=... is after 2023/first/...
+    assert [r.v for r in read_snapshot(spark, path, "load", "202302").collect()] == [3]
+    assert sorted(r.v for r in read_snapshot(spark, path, "load", "209901").collect()) == [1, 2, 3, 4]
+    assert partition_folders(spark, f"{path}/missing", "load") == []  # cannot be listed
+
+
+def test_latest_partition_by_folder_names(spark):
+    path = new_path(spark, "test-loads")
+    overwrite_partitions(spark.createDataFrame([(9, "a"), (10, "b"), (None, "c")], "part int, v string"), path, ["part"])
+    assert [r.v for r in read_latest(spark, path, "part").collect()] == ["b"]
+    path = new_path(spark, "test-loads")
+    overwrite_partitions(spark.createDataFrame([("a b", "a"), ("a c/d", "b")], "part string, v string"), path, ["part"])
+    assert [r.v for r in read_latest(spark, path, "part").collect()] == ["b"]
+    plan = read_latest(spark, path, "part")._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan and "Subquery" not in plan
+    path = new_path(spark, "test-loads")
+    spark.range(3).write.parquet(path)
+    assert read_latest(spark, path, "part").count() == 0
+
+
+def test_counts_are_observed_in_the_write(spark):
+    path = new_path(spark, "test-counts")
+    df = spark.range(100)
+    counts = reconciled_write(df, lambda d: d.where("id % 4 = 0"), lambda d: d.write.parquet(path))
+    assert counts == {"rows_read": 100, "rows_written": 25, "agree": False}
+    assert reconciled_write(df, lambda d: d, lambda d: d.write.mode("append").parquet(path))["agree"]
+    assert reconciled_write(df.limit(0), lambda d: d, lambda d: d.write.mode("append").parquet(path)) == {"rows_read": 0, "rows_written": 0, "agree": True}
