@@ -15,13 +15,14 @@ different components is left out, whatever the size of a group.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ledgerloom.llm.common import bounded_batches, chunks, stored, utf8
 from ledgerloom.llm.components import components
@@ -34,6 +35,10 @@ TEXT_PER_COUNTER = 128  # bytes of text for each counter of the sketch, so that
 SKETCH_LOG2 = (16, 26)  # least and most; a counter is one byte where the sketch is broadcast
 _SEGMENTS = 64
 _CANDIDATE_LOG2 = 24
+POSTINGS_PER_RANGE = 500_000
+HELD_POSTINGS = 1_000_000
+_PACKED = ["range", "tokens", "classes", "sizes", "places"]
+_PACK_ROWS = 32  # rows of an Arrow batch of packs
 PAIRS_PER_HUB = 5_000
 
 
@@ -53,37 +58,41 @@ def _sketch_log2(docs: DataFrame) -> int:
     return int(np.clip(np.ceil(np.log2(max(total / TEXT_PER_COUNTER, 1))), *SKETCH_LOG2))
 
 
-def _counted(docs: DataFrame, log2: int) -> DataFrame:
-    """Per document its class and set size, and per task the counts of its shingles by sketch bucket."""
-    schema = pa.schema(
-        [("doc_id", pa.int64()), ("class", pa.int64()), ("n", pa.int64()), ("segment", pa.int32()), ("counts", pa.binary())]
-    )
+def _counted(docs: DataFrame, log2: int, keep: Sequence[str]) -> DataFrame:
+    """Per document its class, set size and words, and per task the counts of its shingles by sketch bucket."""
+    kept = [docs.schema[c].jsonValue() for c in keep]
+    kind = StructType.fromJson({"type": "struct", "fields": [f | {"nullable": True} for f in kept]})
+    kind = StructType.fromDDL("doc_id bigint, class bigint, n bigint, n_words bigint, segment int, counts binary").fields + kind.fields
+    kind = StructType(kind)
 
     def task(batches):
         counts = np.zeros(1 << log2, dtype=np.uint32)
         shift = np.uint64(64 - log2)
+        types = []
         for batch in batches:
-            ids, classes, sizes, all_sets = batch.column(0), [], [], []
-            for _, _, s in _sets([batch]):
-                classes.append(_class_id(s) if len(s) else None)
-                sizes.append(len(s))
-                all_sets.append(s)
+            types = [c.type for c in batch.columns[2:]]
+            classes, sizes, lengths, all_sets = [], [], [], []
+            for _, run in chunks(batch.column(1).to_pylist()):
+                words = scan(run)
+                lengths += np.diff(words.first).tolist()
+                for s in shingle_sets(words):
+                    classes.append(_class_id(s) if len(s) else None)
+                    sizes.append(len(s))
+                    all_sets.append(s)
             if all_sets:
                 at, times = np.unique((np.concatenate(all_sets) >> shift).astype(np.int64), return_counts=True)
                 counts[at] += times.astype(np.uint32)
+            own = [batch.column(0), *(pa.array(x, pa.int64()) for x in (classes, sizes, lengths))]
             none = pa.nulls(len(sizes))
-            yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(classes, pa.int64()), pa.array(sizes, pa.int64()), none.cast(pa.int32()), none.cast(pa.binary())],
-                schema=schema,
-            )
+            yield pa.RecordBatch.from_arrays([*own, none.cast(pa.int32()), none.cast(pa.binary()), *batch.columns[2:]], names=kind.names)
         parts = [zlib.compress(x.tobytes(), 1) for x in np.split(counts, _SEGMENTS)] if counts.any() else []
-        none = pa.nulls(len(parts)).cast(pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [none, none, none, pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.binary())], schema=schema
-        )
+        if parts:
+            none = pa.nulls(len(parts))
+            rows = [*[none.cast(pa.int64())] * 4, pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.binary())]
+            yield pa.RecordBatch.from_arrays([*rows, *[none.cast(t) for t in types]], names=kind.names)
 
-    texts = docs.select(F.col("doc_id").cast("bigint"), utf8("text"))
-    return texts.mapInArrow(task, "doc_id bigint, class bigint, n bigint, segment int, counts binary")
+    texts = docs.select(F.col("doc_id").cast("bigint"), utf8("text"), *keep)
+    return texts.mapInArrow(task, kind)
 
 
 def _levels(counted: DataFrame, log2: int) -> np.ndarray:
@@ -129,46 +138,132 @@ def prefix(s: np.ndarray, levels: np.ndarray, order: int, percent: int) -> np.nd
     size = len(s) - (-(-percent * len(s) // 100)) + 1
     tie = mixed(s ^ np.uint64(0x5851F42D4C957F2D * (order + 1) & (1 << 64) - 1))
     level = levels[(s >> np.uint64(64 - (len(levels).bit_length() - 1))).astype(np.int64)]
-    return s[np.lexsort((tie, level))[:size]]
+    # Level, then tie; what agrees in both stays in the order of the shingles, so the order is one for all sets.
+    return s[np.argsort(level.astype(np.uint64) << np.uint64(56) | tie >> np.uint64(8), kind="stable")[:size]]
+
+
+def _range_log2(postings: int) -> int:
+    return int(np.clip(np.ceil(np.log2(max(postings / POSTINGS_PER_RANGE, 1))), 4, 15))
+
 
+def _posted(docs: DataFrame, levels, percent: int, log2: int) -> DataFrame:
+    """Prefix shingles with class, set size and place, packed by range of shingles."""
+    kinds = (np.uint64, np.int64, np.int32, np.int32)
 
-def _buckets(docs: DataFrame, levels, percent: int) -> DataFrame:
-    """Prefix shingles that several classes share, with the place in each prefix and the hub."""
-    schema = pa.schema([("token", pa.int64()), ("class", pa.int64()), ("n", pa.int32()), ("place", pa.int32())])
+    def packed(held) -> pa.RecordBatch:
+        columns = [np.concatenate([h[k] for h in held]).astype(kind) for k, kind in enumerate(kinds)]
+        at = (columns[0] >> np.uint64(64 - log2)).astype(np.uint16)
+        order = np.argsort(at, kind="stable")
+        ranges, first = np.unique(at[order], return_index=True)
+        bounds = [*first.tolist(), len(order)]
+        cut = [[c[order][a:b].tobytes() for a, b in zip(bounds, bounds[1:], strict=False)] for c in columns]
+        return pa.RecordBatch.from_arrays([pa.array(ranges.astype(np.int32)), *(pa.array(c, pa.binary()) for c in cut)], names=_PACKED)
 
     def task(batches):
-        known = set()  # classes this task has posted
+        known, held, size = set(), [], 0  # known: classes this task has posted
         for batch in batches:
-            tokens, classes, sizes, places = [], [], [], []
             for _, _, s in _sets([batch], 0):
                 if not len(s) or (own := _class_id(s)) in known:
                     continue
                 known.add(own)
                 head = prefix(s, levels.value, 0, percent)
-                tokens.append(head.view(np.int64))
-                classes.append(np.full(len(head), own, dtype=np.int64))
-                sizes.append(np.full(len(head), len(s), dtype=np.int32))
-                places.append(np.arange(len(head), dtype=np.int32))
-            if tokens:
-                columns = [pa.array(np.concatenate(x)) for x in (tokens, classes, sizes, places)]
-                yield pa.RecordBatch.from_arrays(columns, schema=schema)
-
-    posted = docs.select(utf8("text")).mapInArrow(task, "token bigint, class bigint, n int, place int")
-    # One shuffle: duplicates, counts and hubs all need a token's rows together.
-    posted = posted.repartition("token").dropDuplicates(["token", "class", "n"])
-    token = Window.partitionBy("token")
-    placed = posted.select(
-        "*",
-        F.count(F.lit(1)).over(token).alias("size"),
-        F.min("n").over(token).alias("least"),
-        F.max(F.col("n") - F.col("place")).over(token).alias("most"),
-        F.first(F.struct("class", "n", "place")).over(token.orderBy("place", "class", "n")).alias("hub"),
+                held.append((head, np.full(len(head), own), np.full(len(head), len(s)), np.arange(len(head))))
+                size += len(head)
+                if size >= HELD_POSTINGS:
+                    yield packed(held)
+                    held, size = [], 0
+        if held:
+            yield packed(held)
+
+    return docs.select(utf8("text")).mapInArrow(task, ", ".join(f"{c} {'int' if c == 'range' else 'binary'}" for c in _PACKED))
+
+
+def _shared_tokens(posted: DataFrame) -> DataFrame:
+    """(range, shared): the sorted shingles that were posted more than once, by range.
+
+    Each pack sends a shingle once, however many classes hold it, and says if they are several.
+    """
+
+    def once(batches):
+        for batch in batches:
+            ranges, own, again = batch.column(0), [], []
+            for tokens in batch.column(1).to_pylist():
+                unique, times = np.unique(np.frombuffer(tokens, dtype=np.uint64), return_counts=True)
+                own.append(unique.tobytes())
+                again.append(unique[times > 1].tobytes())
+            yield pa.RecordBatch.from_arrays([ranges, pa.array(own, pa.binary()), pa.array(again, pa.binary())], names=["range", "own", "again"])
+
+    def merged(batches):
+        current, own, again = None, [], []
+
+        def done():
+            tokens = np.sort(np.concatenate(own))
+            shared = np.unique(np.concatenate([tokens[1:][tokens[1:] == tokens[:-1]], *again]))
+            return pa.RecordBatch.from_arrays([pa.array([current], pa.int32()), pa.array([shared.tobytes()], pa.binary())], names=["range", "shared"])
+
+        for batch in batches:
+            for at, a, b in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if at != current:
+                    if current is not None:
+                        yield done()
+                    current, own, again = at, [], []
+                own.append(np.frombuffer(a, dtype=np.uint64))
+                again.append(np.frombuffer(b, dtype=np.uint64))
+        if current is not None:
+            yield done()
+
+    sent = posted.select("range", "tokens").mapInArrow(once, "range int, own binary, again binary")
+    return sent.repartition("range").sortWithinPartitions("range").mapInArrow(merged, "range int, shared binary")
+
+
+def _met(posted: DataFrame, shared: DataFrame) -> DataFrame:
+    """The postings of shared shingles as rows. Packs meet their range's shingles; nothing is sorted by shingle."""
+
+    def task(batches):
+        for batch in batches:
+            out = [[], [], [], []]
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                shared = np.frombuffer(row[4], dtype=np.uint64)
+                if not len(shared):
+                    continue
+                tokens, *rest = (np.frombuffer(x, dtype=k) for x, k in zip(row, (np.uint64, np.int64, np.int32, np.int32), strict=False))
+                at = np.minimum(np.searchsorted(shared, tokens), len(shared) - 1)
+                keep = shared[at] == tokens
+                for column, x in zip(out, (tokens.view(np.int64), *rest), strict=True):
+                    column.append(x[keep])
+            if out[0]:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], names=["token", "class", "n", "place"])
+
+    rows = posted.join(shared, "range").select(*_PACKED[1:], "shared")
+    return rows.mapInArrow(task, "token bigint, class bigint, n int, place int")
+
+
+def _buckets(docs: DataFrame, levels, percent: int, postings: int) -> DataFrame:
+    """Prefix shingles that several classes share, with the place in each prefix and the hub.
+
+    Most shingles are posted once; they are dropped in packs, before anything is grouped by shingle.
+    """
+    spark = docs.sparkSession
+    bounded_batches(spark, _PACK_ROWS)
+    posted = stored(_posted(docs, levels, percent, _range_log2(postings)), "join-posted")
+    shared = stored(_shared_tokens(posted), "join-shared")
+    met = _met(posted, shared).dropDuplicates(["token", "class", "n"])
+    met = stored(met, "join-met")
+    bounded_batches(spark)
+    # Combined where the rows are read, so that a frequent shingle is one row per task.
+    about = met.groupBy("token").agg(
+        F.count(F.lit(1)).alias("size"),
+        F.min("n").alias("least"),
+        F.max(F.col("n") - F.col("place")).alias("most"),
+        F.min(F.struct("place", "class", "n")).alias("hub"),
     )
+    about = stored(about.where("size > 1").drop("size"), "join-shingles")
+    placed = met.join(about, "token")
     # A member that no partner of this shingle could complete is not needed here: at the first common
     # shingle of a similar pair both members stay.
     partner = F.least(F.col("n") - F.col("place"), "most")
     useful = F.lit(100 + percent) * partner >= F.lit(percent) * (F.col("n") + F.col("least"))
-    return placed.where((F.col("size") > 1) & useful).drop("size", "least", "most")
+    return placed.where(useful).drop("least", "most")
 
 
 def _reachable(a: str, b: str, percent: int) -> F.Column:
@@ -240,27 +335,30 @@ def _node(end: str) -> F.Column:
     return F.struct(F.col(f"class_{end}").alias("class"), F.col(f"n_{end}").alias("n")).alias(f"node_{end}")
 
 
-def similar_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for every row of ``docs``.
+def similar_groups(docs: DataFrame, percent: int = PERCENT, keep: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, n_shingles, component_id, n_words, class, keep ..) for every row of ``docs``.
 
     A text's set is its distinct five-word shingles (the whole sequence if it has fewer words, nothing
     without words); two texts link when 100 * shared >= percent * all. component_id is the smallest
     doc_id reachable by links, the own id for a text without words. Null text counts as empty. Null
     ids are kept as rows and are never the smallest, so a component of null ids alone has none.
     Repeated rows come out as often as they came in. A class of equal sets is known by a 64-bit hash
-    and its size; shingles are compared as 64-bit hashes.
+    and its size; shingles are compared as 64-bit hashes. ``class`` is that hash, null without words;
+    the columns of ``keep`` come along.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
-    docs = docs.select("doc_id", "text")
+    docs = docs.select("doc_id", "text", *keep)
     log2 = _sketch_log2(docs)
-    counted = stored(_counted(docs, log2), "join-counted")
+    counted = stored(_counted(docs, log2, keep), "join-counted")
+    docs = docs.select("doc_id", "text")
     levels = spark.sparkContext.broadcast(_levels(counted, log2))
-    members = counted.where(F.col("segment").isNull()).select("doc_id", "class", F.col("n").cast("int").alias("n"))
+    members = counted.where(F.col("segment").isNull()).drop("segment", "counts").withColumn("n", F.col("n").cast("int"))
     # A class of rows without ids only cannot link anything with an id that matters to the result.
     classes = members.where(F.col("class").isNotNull()).groupBy("class", "n").agg(F.min("doc_id").alias("first_id"))
     classes = stored(classes, "join-class-ids")
-    buckets = stored(_buckets(docs.where(F.col("doc_id").isNotNull()), levels, percent), "join-buckets")
+    postings = classes.agg(F.sum(F.floor(F.col("n") * (100 - percent) / 100) + 1)).first()[0] or 0
+    buckets = stored(_buckets(docs.where(F.col("doc_id").isNotNull()), levels, percent, postings), "join-buckets")
 
     pair = ["class_a", "n_a", "class_b", "n_b"]
     stars = buckets.select(
@@ -303,4 +401,7 @@ def similar_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         "doc_id",
         F.col("n").cast("bigint").alias("n_shingles"),
         F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component")).alias("component_id"),
+        "n_words",
+        "class",
+        *keep,
     )

@@ -137,7 +137,28 @@ def _regrouped(sizes: DataFrame, groups: DataFrame) -> DataFrame:
 PACKED = "doc_id bigint, piece bigint, n_tokens bigint, bin_id string, start bigint"
 
 
-def pack(docs: DataFrame, capacity: int = CAPACITY, shard_rows: int = SHARD_ROWS, groups: DataFrame | None = None) -> DataFrame:
+def sizes_of(groups: DataFrame) -> DataFrame:
+    """What ``pack`` needs, from ``similar_groups`` with the source kept: no text is read again.
+
+    Rows without a component are clustered by their shingle set, texts without words not at all.
+    """
+    # Components are ids; what has none gets a code that is no id of a document.
+    code = F.coalesce(F.col("component_id").cast("bigint"), -1 - F.shiftright(F.col("class"), 1).bitwiseAND((1 << 62) - 1))
+    return groups.select(
+        F.col("doc_id").cast("bigint"),
+        F.col("source").cast("string"),
+        (F.col("n_words") + 1).alias("n_tokens"),
+        F.when(F.col("class").isNotNull(), code).alias("cluster"),
+    )
+
+
+def pack(
+    docs: DataFrame,
+    capacity: int = CAPACITY,
+    shard_rows: int = SHARD_ROWS,
+    groups: DataFrame | None = None,
+    sizes: DataFrame | None = None,
+) -> DataFrame:
     """(doc_id, piece, n_tokens, bin_id, start): where every document goes.
 
     A document counts its words and an end mark, so an empty or null text takes one place. A
@@ -145,11 +166,12 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, shard_rows: int = SHARD_ROWS
     bin holds two documents of one source or of one duplicate cluster; a null source conflicts with
     nothing. Clusters are texts of equal words, or with ``groups`` (doc_id, component_id) the components given
     there; an id with several components has the smallest. Within a shard pieces go longest first, ties by doc_id. Repeated rows are packed as
-    documents of their own (and, being duplicates, never together); null ids are kept.
+    documents of their own (and, being duplicates, never together); null ids are kept. ``sizes`` (of
+    ``sizes_of``) are used instead of the texts if they are known.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
-    sizes = stored(measured(docs), "pack-sizes")
+    sizes = stored(measured(docs) if sizes is None else sizes, "pack-sizes")
     if groups is not None:
         sizes = stored(_regrouped(sizes, groups), "pack-clusters")
     shards = max(1, math.ceil(sizes.count() / shard_rows))
@@ -176,4 +198,5 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, shard_rows: int = SHARD_ROWS
         out["doc_id"] = out["doc_id"].astype("Int64")
         return out[["doc_id", "piece", "n_tokens", "bin_id", "start"]]
 
-    return dealt.groupBy("shard").applyInPandas(one, PACKED)
+    # By number: merged by size, the small rows of all shards would be few tasks.
+    return dealt.repartition(shards, "shard").groupBy("shard").applyInPandas(one, PACKED)

@@ -13,7 +13,7 @@ from ledgerloom.llm.decontamination import contaminated
 from ledgerloom.llm.graph_search import nearest
 from ledgerloom.llm.line_dedup import dedup_lines
 from ledgerloom.llm.ngram_join import similar_groups
-from ledgerloom.llm.packing import pack
+from ledgerloom.llm.packing import pack, sizes_of
 from ledgerloom.llm.site_tree import extract
 from ledgerloom.llm.source_audit import audit
 from ledgerloom.llm.spelling import spelling_variants
@@ -77,7 +77,7 @@ FROM sets AS s JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) AS
 
 @query("op3_ngram_join", ORACLE_3)
 def op3_ngram_join(spark, sf_dir):
-    return similar_groups(table(spark, sf_dir, "documents"))
+    return similar_groups(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 ORACLE_4 = """WITH p AS (
@@ -129,7 +129,7 @@ def op6_site_tree(spark, sf_dir):
 @query("op7_packing")
 def op7_packing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    return pack(docs, groups=similar_groups(docs))
+    return pack(docs, sizes=sizes_of(similar_groups(docs, keep=["source"])))
 
 
 ORACLE_8 = f"""WITH {SHINGLES_SQL},
