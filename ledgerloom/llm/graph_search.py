@@ -273,9 +273,11 @@ def nearest(
     among k results. Nodes are dealt by a hash of the vector to shards of about ``shard_rows``, so copies
     do not gather anywhere. Ties go to the smaller id; a query's own id is never a result. Vectors that
     are null, zero or not finite take no part, and vectors of another length than the query's are no
-    candidates. Rows repeated with their id count once. With no candidates a query has no row.
+    candidates. Rows repeated with their id count once. With no candidates a query has no row. The
+    beam is at least twice ``k``.
     """
     spark = vectors.sparkSession
+    beam = max(beam, 2 * k)
     bounded_batches(spark, 2048)
     rows = usable(vectors, id_column, vector_column)
     copies = Window.partitionBy("vector").orderBy("id")

@@ -28,7 +28,10 @@ MIN_PAGES = 8  # fewer distinct pages say nothing about repetition
 OWN, BRANCH, PRIOR = 0.6, 0.1, 0.3
 UNKNOWN = 0.5  # own and branch importance where there are too few pages
 IN_ARTICLE, NEUTRAL = 0.8, 0.5  # priors; a noise mark's rises to NEUTRAL as it nears half of the page's text
-MARKED, MARKED_IN_ARTICLE = -2.0, 0.0
+MARKED, LINKS = -2.0, -0.5
+# A mark inside an article, such as its comments, is believed up to this share of the article's text.
+BELIEVED_IN_ARTICLE = 0.5
+LINK_DENSITY = 0.8  # of the text of a menu
 
 # Element names of HTML by their part in a page.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -53,6 +56,15 @@ NOISE_WORDS = set(
     "signup login comment comments respond disqus share sharing social related breadcrumb breadcrumbs pagination pager widget "
     "toolbar skip".split()
 )
+# In an article parts of names count as well: these words, and those of the second list beside one of the third.
+NOISE_PARTS = set(
+    "ad ads advert adverts advertisement advertising sponsor sponsored promo comment comments respond disqus newsletter "
+    "subscribe subscription signup login cookie cookies consent popup sharing".split()
+)
+PAIRED = set("related share social recommended".split())
+PAIRS = set(
+    "articles bar box buttons content follow icons items links list media news pages posts reading stories tools videos widget".split()
+)
 ANCHORS = {"article", "main"}
 UNNAMED = ANCHORS | {"html", "body"}  # their names say how the page looks, not what it is
 TITLES = {"header", "masthead"}  # in an article they hold its title
@@ -66,12 +78,13 @@ _DIGITS = re.compile(r"[0-9]+")
 
 
 class _Element:
-    __slots__ = ("tag", "path", "marks", "inside", "gone", "children", "text")
+    __slots__ = ("tag", "path", "marks", "inside", "gone", "children", "text", "linked")
 
     def __init__(self, tag: str, path: tuple, marks: tuple, inside: bool, gone: bool):
         self.tag, self.path, self.marks, self.inside, self.gone = tag, path, marks, inside, gone
         self.children: list[str] = []
         self.text: list[str] = []
+        self.linked = 0
 
 
 def _code(parent: int, name: str) -> int:
@@ -79,23 +92,27 @@ def _code(parent: int, name: str) -> int:
 
 
 def _is_marked(tag: str, names: list[str], inside: bool) -> bool:
-    """Whether tag or names speak of noise. In an article, only whole names do and titles do not."""
+    """Whether tag or names speak of noise. In an article titles do not, and of parts of names only some do."""
     if tag in UNNAMED:
         return False
     if tag in NOISE_TAGS or (tag == "header" and not inside):
         return True
     values = [v for n in names for v in n.split("=", 1)[1].split()]
-    if inside:
-        return any(v in NOISE_WORDS and v not in TITLES for v in values)
-    return any(w in NOISE_WORDS for v in values for w in _WORDS.split(v))
+    if not inside:
+        return any(w in NOISE_WORDS for v in values for w in _WORDS.split(v))
+    for value in values:
+        parts = set(_WORDS.split(value))
+        if (value in NOISE_WORDS and value not in TITLES) or parts & NOISE_PARTS or (parts & PAIRED and parts & PAIRS):
+            return True
+    return False
 
 
 def parse(page: str):
-    """("block", path, marks, inside, text) in page order and ("node", path, marks, inside, children) per element.
+    """("block", path, marks, inside, text, linked) in page order and ("node", path, marks, inside, children, 0) per element.
 
     A path is the tuple of codes of the elements above, one code per tag, class and id; digits
-    in names count as equal. ``marks`` are the elements above that speak of noise, as (number, in an article). What
-    is not shown, such as the head, is left out.
+    in names count as equal. ``marks`` are the elements above that speak of noise, as (number, in an article).
+    ``linked`` is how much of the text stands in links. What is not shown, such as the head, is left out.
     """
     root = _Element("", (1,), (), False, False)
     stack = [root]
@@ -104,9 +121,10 @@ def parse(page: str):
 
     def end_block(element):
         text = "".join(element.text)
-        element.text.clear()
         if text.strip() and not element.gone:
-            out.append(("block", element.path, element.marks, element.inside, text))
+            out.append(("block", element.path, element.marks, element.inside, text, element.linked))
+        element.text.clear()
+        element.linked = 0
 
     def block():
         k = len(stack) - 1
@@ -114,31 +132,40 @@ def parse(page: str):
             k -= 1
         return stack[k]
 
+    def add(text):
+        k, link = len(stack) - 1, False
+        while k and stack[k].tag in INLINE:
+            link = link or stack[k].tag == "a"
+            k -= 1
+        stack[k].text.append(text)
+        if link:
+            stack[k].linked += len(text.strip())
+
     def close(to):
         while len(stack) > to:
             element = stack.pop()
             if element.tag not in INLINE:
                 end_block(element)
                 if not element.gone:
-                    out.append(("node", element.path, element.marks, element.inside, element.children))
+                    out.append(("node", element.path, element.marks, element.inside, element.children, 0))
 
     at = 0
     while at < len(page):
         mark = page.find("<", at)
         if mark < 0:
-            block().text.append(page[at:])
+            add(page[at:])
             break
         if mark > at:
-            block().text.append(page[at:mark])
+            add(page[at:mark])
         found = _MARKUP.match(page, mark)
         if found is None:
-            block().text.append("<")
+            add("<")
             at = mark + 1
             continue
         at = found.end()
         if found[2] is None:
             if found[0].startswith("<![CDATA["):
-                block().text.append(html.escape(found[0][9:-3]))
+                add(html.escape(found[0][9:-3]))
             continue
         tag, attributes = found[2].lower(), found[3]
         if found[1]:
@@ -203,23 +230,33 @@ def text_of(block: str) -> str:
 
 
 def priors(parsed) -> list[float]:
-    """The prior of every block. A mark weighs less the more it holds of the article's text, or of all without article."""
-    blocks = [(marks, inside, len(text.strip())) for kind, _, marks, inside, text in parsed if kind == "block"]
-    article = sum(size for _, inside, size in blocks if inside)
-    total = article or sum(size for *_, size in blocks)
+    """The prior of every block. A mark weighs less the more it holds of the article's text, or of all without article.
+
+    In an article it weighs fully up to half of the text, as its comments may be as long as it is.
+    Outside, a block of links counts as a menu unless links are most of the text.
+    """
+    blocks = [(marks, inside, len(text.strip()), linked) for kind, _, marks, inside, text, linked in parsed if kind == "block"]
+    article = sum(size for _, inside, size, _ in blocks if inside)
+    total = article or sum(size for _, _, size, _ in blocks)
     held: Counter = Counter()
-    for marks, inside, size in blocks:
+    menus = 0
+    for marks, inside, size, linked in blocks:
         if inside or not article:
             held.update(dict.fromkeys(marks, size))
+        if linked >= LINK_DENSITY * size and not article:
+            menus += size
 
-    def prior(marks, inside):
+    def prior(marks, inside, size, linked):
         worst = NEUTRAL
         for mark in marks:
-            base = MARKED_IN_ARTICLE if mark[1] else MARKED
-            worst = min(worst, base + (NEUTRAL - base) * min(1.0, 2 * held[mark] / total))
+            share = held[mark] / total
+            trust = 2 * max(0.0, share - BELIEVED_IN_ARTICLE) if mark[1] else 2 * share
+            worst = min(worst, MARKED + (NEUTRAL - MARKED) * min(1.0, trust))
+        if linked >= LINK_DENSITY * size and not inside:
+            worst = min(worst, LINKS + (NEUTRAL - LINKS) * min(1.0, 2 * menus / total))
         return IN_ARTICLE if inside and worst >= NEUTRAL else worst
 
-    return [prior(marks, inside) for marks, inside, _ in blocks]
+    return [prior(*b) for b in blocks]
 
 
 def _host() -> F.Column:
@@ -243,7 +280,7 @@ def _keys(page: str) -> tuple[int, list[dict]]:
     """
     parsed = parse(page)
     keys, texts, prior = set(), [], iter(priors(parsed))
-    for kind, path, _, _, what in parsed:
+    for kind, path, _, _, what, _ in parsed:
         if kind == "node":
             keys.add((path, _SEEN, 0))
             keys.add((path, _STYLE, xxhash.xxh64_intdigest(" ".join(what).encode()) >> 1))
@@ -328,7 +365,7 @@ def main_text(page: str, known: dict[int, float], low: float = LOW_IMPORTANCE) -
     """The page's blocks that are not of low importance; ``known`` holds what the host's tree says."""
     parsed = parse(page)
     kept, prior = [], iter(priors(parsed))
-    for kind, path, _, _, what in parsed:
+    for kind, path, _, _, what, _ in parsed:
         if kind != "block":
             continue
         own = branch = UNKNOWN

@@ -243,7 +243,8 @@ def fit_field(texts: list[bytes], toxic: np.ndarray) -> Field:
 def train(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "toxic") -> Field:
     """Fit a field on whole labelled texts, at most SAMPLE_ROWS of them and SAMPLE_BYTES in all.
 
-    Texts are taken by a hash of their id; one that alone exceeds what is left is passed over.
+    Texts are taken in the order of a hash of their id, the first always and then up to the first that
+    does not fit, so that long texts are not left out more often than others.
     """
     bounded_batches(docs.sparkSession)
     sample = sample_of(docs, labels, label, learn, SAMPLE_ROWS)
@@ -251,7 +252,9 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "toxic
     sizes = sample.select("doc_id", "y", F.coalesce(F.length("text"), F.lit(0)).alias("bytes"))
     left, chosen = SAMPLE_BYTES, set()
     for row in sizes.orderBy(*by_hash).limit(SAMPLE_ROWS).collect():
-        if row["bytes"] <= left and row["doc_id"] not in chosen:
+        if chosen and row["bytes"] > left:
+            break
+        if row["doc_id"] not in chosen:
             left -= row["bytes"]
             chosen.add(row["doc_id"])
     ids = docs.sparkSession.createDataFrame([(i,) for i in sorted(chosen)], "chosen bigint")

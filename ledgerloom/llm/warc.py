@@ -24,6 +24,7 @@ from ledgerloom.session import new_path
 MAGIC = b"\x1f\x8b\x08"
 FILE_BYTES = 256 << 20  # a task begins another file beyond this
 RANGE_BYTES = 4 << 20
+MOST_TASKS = 16_384
 _PIECE = 1 << 18
 _PAGE = "urn:page:"
 _DATE = "1970-01-01T00:00:00Z"  # the tables carry no time of capture
@@ -85,7 +86,7 @@ def write_archives(pages: DataFrame, folder: str | None = None, min_bytes: int =
         F.max("page_id").alias("response"), F.count(F.lit(1)).alias("copies")
     )
     # Only payloads that occur again are looked up.
-    again = first.where("copies > 1").select("key", "response")
+    again = stored(first.where("copies > 1").select("key", "response"), "warc-again")
     placed = rows.join(again, "key", "left")
     revisit = F.col("response").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("response"))
     placed = placed.select("page_id", "url", "payload", F.when(revisit, F.col("response")).alias("refers_to"), revisit.alias("revisit"))
@@ -223,7 +224,8 @@ def _parse(content: bytes) -> Iterator[tuple]:
 def read_archives(files: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """The records of the files (path, bytes): ids, url, type, digest, and the payload of responses.
 
-    Files are dealt as ranges of ``range_bytes``, whatever their number and size; empty files give nothing.
+    Files are dealt as ranges of ``range_bytes``, whatever their number and size, to a task each (up to
+    ``MOST_TASKS``); empty files give nothing.
     """
     bounded_batches(files.sparkSession)
     begins = F.sequence(F.lit(0).cast("bigint"), F.col("bytes") - 1, F.lit(range_bytes).cast("bigint"))
@@ -247,7 +249,8 @@ def read_archives(files: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame
                     yield _rows(rows)
 
     kind = "page_id bigint, url string, record_type string, refers_to bigint, payload_bytes bigint, payload_digest string, payload binary"
-    return ranges.repartition("path", "start").mapInArrow(task, kind)
+    # By number: merged by size, a thousand ranges would be one task.
+    return ranges.repartition(max(1, min(ranges.count(), MOST_TASKS)), "path", "start").mapInArrow(task, kind)
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
