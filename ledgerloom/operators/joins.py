@@ -35,12 +35,18 @@ def anti_join_trimmed(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 def full_outer_left_keys(left: DataFrame, right: DataFrame, keys: Mapping[str, str]) -> DataFrame:
     """Full outer join that keeps the left keys only; they are null for rows found on the right.
 
-    Spark does not split skewed partitions of a full outer join, so both sides should be grouped by
-    the keys beforehand, as they are in this library.
+    A left join and the right rows that meet nothing, in place of the one join whose skewed
+    partitions Spark does not split: a hot key on either side is dealt over tasks, so no side needs
+    to be grouped before. Null keys meet nothing. Both sides are evaluated twice; store what is dear.
     """
     condition = reduce(and_, [left[a] == right[b] for a, b in keys.items()])
-    joined = left.join(right, condition, "full_outer")
-    return reduce(lambda d, b: d.drop(right[b]), keys.values(), joined)
+    rest = [c for c in right.columns if c not in keys.values()]
+    joined = reduce(lambda d, b: d.drop(right[b]), keys.values(), left.join(right, condition, "left"))
+    held = left.select(*[F.col(a).alias(f"__key_{i}") for i, a in enumerate(keys)]).distinct()
+    met = reduce(and_, [right[b] == held[f"__key_{i}"] for i, b in enumerate(keys.values())])
+    only = right.join(held, met, "left_anti")
+    none = [F.lit(None).cast(left.schema[c].dataType).alias(c) for c in left.columns]
+    return joined.union(only.select(*none, *rest))
 
 
 def attach_scalar(df: DataFrame, scalar: DataFrame, column: str) -> DataFrame:

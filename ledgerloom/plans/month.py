@@ -12,12 +12,12 @@ from ledgerloom.functions.calendar import first_day
 from ledgerloom.functions.scenarios import select_scenarios
 from ledgerloom.plans.facts import build_fact, label_rows, union_masters
 from ledgerloom.plans.formulas import Formula, apply_formulas
-from ledgerloom.plans.keys import extend_dimension
+from ledgerloom.plans.keys import extend_dimension, store_labels
 from ledgerloom.plans.periods import STANDARD, Variant
 from ledgerloom.plans.publish import publish
 from ledgerloom.plans.reports import report_rows
 from ledgerloom.plans.wide import build_wide
-from ledgerloom.session import new_path
+from ledgerloom.session import new_path, stage_scope
 from ledgerloom.sources.sinks import stage_boundary
 
 
@@ -38,13 +38,20 @@ class Month:
 
 
 def build_metrics(
-    month: Month, masters: tuple[DataFrame, DataFrame, DataFrame], dimension: DataFrame, costs: DataFrame | None = None
+    month: Month, masters: tuple[DataFrame, DataFrame, DataFrame], dimension: DataFrame | str, costs: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """The extended dimension and the wide metrics of the month, formulas included."""
+    """The extended dimension and the wide metrics of the month, formulas included.
+
+    A ``dimension`` given by its path is one that is stored: new labels are appended to it.
+    """
     rows = union_masters(month.mode, *masters).where(F.col("period") == str(month.period))
-    known = extend_dimension(label_rows(rows).select("kpi_label"), dimension, "kpi_id", "kpi_label")
+    labels = label_rows(rows).select("kpi_label")
+    if isinstance(dimension, str):
+        known = store_labels(labels, dimension, "kpi_id", "kpi_label")
+    else:
+        known = extend_dimension(labels, dimension, "kpi_id", "kpi_label")
     fact = stage_boundary(
-        build_fact(rows, known, month.process_codes), new_path(dimension.sparkSession, "fact"), ["period"],
+        build_fact(rows, known, month.process_codes), new_path(rows.sparkSession, "fact"), ["period"],
         {"period": month.period},
     )
     chosen = select_scenarios(fact, month.mode, "fact")
@@ -54,12 +61,22 @@ def build_metrics(
 def run_month(
     month: Month,
     masters: tuple[DataFrame, DataFrame, DataFrame],
-    dimension: DataFrame,
+    dimension: DataFrame | str,
     mapping: DataFrame,
     table: str,
     costs: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Publish the month; returns the extended dimension and the published slice."""
+    """Publish the month; returns the extended dimension and the published slice.
+
+    With the path of a stored dimension no stage is left after the run.
+    """
+    if isinstance(dimension, str):
+        with stage_scope(mapping.sparkSession):
+            return _publish_month(month, masters, dimension, mapping, table, costs)
+    return _publish_month(month, masters, dimension, mapping, table, costs)
+
+
+def _publish_month(month, masters, dimension, mapping, table, costs):
     known, wide = build_metrics(month, masters, dimension, costs)
     dated = wide.withColumn("period_date", first_day(F.col("period")))
     metrics = [c for c in dated.columns if c not in ("period", "period_date", "scenario_id")]

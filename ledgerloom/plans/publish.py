@@ -20,7 +20,7 @@ from ledgerloom.plans.periods import (
     period_and_ytd,
     period_by_difference,
 )
-from ledgerloom.session import new_path
+from ledgerloom.session import new_path, stage_scope
 from ledgerloom.sources.sinks import replace_slice, stage_boundary
 from ledgerloom.sources.tables import literal_table, read_slice
 
@@ -123,7 +123,7 @@ def publish(
     """Publish into the table at ``table`` and return the stored slice.
 
     Each stage is stored and read back: several later branches start from it, and replacing the
-    slice must not read the part of the table that is being replaced. ``describe`` may turn the
+    slice must not read the part of the table that is being replaced. Stages are removed at the end. ``describe`` may turn the
     final rows into those of the table, for example by attaching dimensions. An amount then stands
     once per dimension value, so the rows before it are kept in the table ``series`` as well, and
     later months continue that one. A missing table is an error unless this is the ``first_month``.
@@ -135,13 +135,14 @@ def publish(
     def stored(df: DataFrame, stage: str) -> DataFrame:
         return stage_boundary(df, new_path(spark, stage), ["period_date"], {"period_date": period})
 
-    history = read_published(spark, series or table, variant, first_month).where(F.col("period_date") < period)
-    reported = stored(current, "reported")
-    cumulated = stored(year_to_date_rows(reported, history, period, variant), "cumulated")
-    final = finish(cumulated, history, period, mode, variant)
-    final = stored(final, "final")
-    slice_of = ("period_date", period, "scenario_id", scenario_ids(mode, "published"))
-    if series is not None:
-        replace_slice(final, series, *slice_of)
-    replace_slice(final if describe is None else describe(final), table, *slice_of)
+    with stage_scope(spark):
+        history = read_published(spark, series or table, variant, first_month).where(F.col("period_date") < period)
+        reported = stored(current, "reported")
+        cumulated = stored(year_to_date_rows(reported, history, period, variant), "cumulated")
+        final = finish(cumulated, history, period, mode, variant)
+        final = stored(final, "final")
+        slice_of = ("period_date", period, "scenario_id", scenario_ids(mode, "published"))
+        if series is not None:
+            replace_slice(final, series, *slice_of)
+        replace_slice(final if describe is None else describe(final), table, *slice_of)
     return select_scenarios(read_slice(spark, table, {"period_date": period}), mode, "published")

@@ -86,34 +86,31 @@ def left_two_keys(spark, sf_dir):
     return orders.join(known, ["year", "status"], "left").select("o_orderkey", "year", "status", "rate_month")
 
 
-def _monthly(spark, sf_dir, status, year_low, year_high, name):
-    orders = table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == status)
-    orders = orders.where(F.year("o_orderdate").between(year_low, year_high))
-    monthly = orders.select(
-        month_code(F.col("o_orderdate")).alias("period"),
-        F.col("o_orderpriority").alias("priority"),
-        money(F.col("o_totalprice")).alias(name),
-    )
-    return group_sum(monthly, ["period", "priority"], name).withColumn(name, F.col(name).cast(MONEY))
+def _amounts(spark, sf_dir, real, name):
+    """Order amounts with their month; budgets are those of the year to come."""
+    orders = table(spark, sf_dir, "orders").where((F.col("o_orderstatus") == "F") == real)
+    month = month_code(F.col("o_orderdate"))
+    period = month if real else month + 100
+    key = [period.cast("int").alias("period"), F.col("o_custkey").alias("customer")]
+    return orders.select(*key, F.col("o_orderkey").alias(f"{name}_order"), money(F.col("o_totalprice")).alias(name))
 
 
-_MONTHLY_SQL = (
-    "SELECT CAST(year(o_orderdate) * 100 + month(o_orderdate) AS INTEGER) AS period, o_orderpriority AS priority, CAST(sum("
+_AMOUNTS_SQL = (
+    "SELECT CAST(year(o_orderdate) * 100 + month(o_orderdate) + {2} AS INTEGER) AS period, o_custkey AS customer, o_orderkey AS {0}_order, "
     + MONEY_SQL.format("o_totalprice")
-    + ") AS DECIMAL(24,10)) AS {0} FROM orders WHERE o_orderstatus = '{1}' AND year(o_orderdate) BETWEEN {2} AND {3} GROUP BY 1, 2"
+    + " AS {0} FROM orders WHERE (o_orderstatus = 'F') = {1}"
 )
 
 
 @query(
     "full_outer",
-    f"""WITH a AS ({_MONTHLY_SQL.format("real", "F", 1995, 1998)}), b AS ({_MONTHLY_SQL.format("budget", "O", 1997, 2000)})
-    SELECT a.period, a.priority, a.real, b.budget FROM a FULL OUTER JOIN b ON a.period = b.period AND a.priority = b.priority""",
+    f"""WITH a AS ({_AMOUNTS_SQL.format("real", "true", 0)}), b AS ({_AMOUNTS_SQL.format("budget", "false", 100)})
+    SELECT a.period, a.customer, a.real_order, a.real, b.budget_order, b.budget FROM a FULL OUTER JOIN b ON a.period = b.period AND a.customer = b.customer""",
 )
 def full_outer(spark, sf_dir):
-    real = _monthly(spark, sf_dir, "F", 1995, 1998, "real")
-    budget = _monthly(spark, sf_dir, "O", 1997, 2000, "budget")
-    budget = budget.withColumnsRenamed({"period": "b_period", "priority": "b_priority"})
-    return full_outer_left_keys(real, budget, {"period": "b_period", "priority": "b_priority"})
+    """All orders of all years, ungrouped: real amounts beside the budgets of the same customer and month."""
+    budget = _amounts(spark, sf_dir, False, "budget").withColumnsRenamed({"period": "b_period", "customer": "b_customer"})
+    return full_outer_left_keys(_amounts(spark, sf_dir, True, "real"), budget, {"period": "b_period", "customer": "b_customer"})
 
 
 @query(

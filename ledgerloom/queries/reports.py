@@ -14,7 +14,7 @@ from ledgerloom.operators.reshape import pivot_sum
 from ledgerloom.plans.costs import cost_block, cost_columns, scenario_spine, with_fallback
 from ledgerloom.plans.facts import FACT_KEY, build_fact, label_rows, union_masters
 from ledgerloom.plans.formulas import Formula, apply_formulas, difference_to_reported, moved_to_reported, ratio, total
-from ledgerloom.plans.keys import extend_dimension, surrogate_key_delta
+from ledgerloom.plans.keys import extend_dimension, store_labels, surrogate_key_delta
 from ledgerloom.plans.month import Month, run_month
 from ledgerloom.plans.periods import BY_COST_TYPE, month_from_fx_cumulative
 from ledgerloom.plans.publish import PUBLISHED_COLUMNS, publish
@@ -47,7 +47,7 @@ from ledgerloom.queries.base import (
 )
 from ledgerloom.queries.periods import BLOCK_CTES, PERIOD, base_block
 from ledgerloom.queries.registry import ORACLES, query
-from ledgerloom.session import cut_lineage, new_path
+from ledgerloom.session import cut_lineage, new_path, stage_rows
 from ledgerloom.sources.sinks import overwrite_partitions, overwrite_table
 from ledgerloom.sources.snapshots import latest_load
 from ledgerloom.sources.tables import literal_table
@@ -151,6 +151,22 @@ def kpi_dim_build(spark, sf_dir):
     return extend_dimension(labels, old, "kpi_id", "kpi_label")
 
 
+@query(
+    "kpi_dim_store",
+    f"WITH {_MASTERS_SQL}, {_DIMENSION_SQL} SELECT kpi_label, CAST(kpi_id AS INTEGER) AS kpi_id FROM dimension",
+)
+def kpi_dim_store(spark, sf_dir):
+    """The stored dimension after a first month, all months and a repeated run, read back."""
+    path = new_path(spark, "dimension")
+    masters = _masters(spark, sf_dir)
+    early = (F.col("scenario") == "RE") & (F.col("period") == str(_FIRST_MONTH))
+    labels = stage_rows(label_rows(masters, [early.alias("early")]), "labels")
+    store_labels(labels.where("early").select("kpi_label"), path, "kpi_id", "kpi_label")
+    for _ in range(2):
+        stored = store_labels(labels.select("kpi_label"), path, "kpi_id", "kpi_label")
+    return stored.select("kpi_label", "kpi_id")
+
+
 _FACT_SQL = f"""typed AS (SELECT 1 AS record_id, period, {FACT_ID_SQL.format("scenario")} AS scenario_id, product, origin,
       CASE process WHEN 'Costes Fijos' THEN 1 WHEN 'Cuenta de resultados' THEN 3 WHEN 'Indicadores operativos' THEN 4
         WHEN 'Resultados generados' THEN 5 ELSE 6 END AS process_id, CAST(kpi_id AS INTEGER) AS kpi_id, country, channel, kpi_code, measure_unit,

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,9 +45,32 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+_scopes: list[list[str]] = []
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """An unused path below the shared folder; each call gives another one."""
-    return f"{shared_dir(spark)}/ledgerloom/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/ledgerloom/{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def stage_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove the stages made inside once it ends well; after a failure they stay, to be looked at.
+
+    What is used after the scope must not start from one of them.
+    """
+    _scopes.append([])
+    try:
+        yield
+    except BaseException:
+        _scopes.pop()
+        raise
+    for path in _scopes.pop():
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def stage_rows(df: DataFrame, name: str) -> DataFrame:

@@ -59,3 +59,27 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     """Remove a folder with all it holds; one that is not there is fine."""
     system, where = _file_system(spark, path)
     system.delete(where, True)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    system, where = _file_system(spark, path)
+    system.mkdirs(where)
+
+
+def move_folder(spark: SparkSession, source: str, target: str) -> bool:
+    """Move a folder to a name that is free; False, and nothing changed, if another has taken it.
+
+    The file system decides in one step on stores that rename atomically.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    never_over = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
+    never_over[0] = hadoop.Options.Rename.NONE
+    where = hadoop.Path(target)
+    context = hadoop.FileContext.getFileContext(where.getFileSystem(spark._jsc.hadoopConfiguration()).getUri(), spark._jsc.hadoopConfiguration())
+    try:
+        context.rename(hadoop.Path(source), where, never_over)
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" in error.java_exception.getClass().getName() or "not empty" in str(error.java_exception):
+            return False
+        raise
+    return True

@@ -1,3 +1,4 @@
+import os
 from decimal import Decimal
 
 import pytest
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 from ledgerloom.plans.currency import currency_block, pass_through, rewrite_rate_concept
 from ledgerloom.plans.facts import MASTER_COLUMNS, build_fact, union_masters
 from ledgerloom.plans.formulas import apply_formulas, ratio, total
+from ledgerloom.plans import keys
 from ledgerloom.plans.month import Month, run_month
 from ledgerloom.plans.periods import (
     BY_COST_TYPE,
@@ -20,7 +22,8 @@ from ledgerloom.plans.periods import (
 from ledgerloom.plans.publish import PUBLISHED_COLUMNS, publish, published_rows
 from ledgerloom.plans.reports import MAPPING_SCHEMA, attach_dimensions
 from ledgerloom.plans.units import conversion_factors, convert_units
-from ledgerloom.session import new_path
+from ledgerloom.session import new_path, stage_rows, stage_scope
+from ledgerloom.sources import folders
 from ledgerloom.sources.sinks import overwrite_partitions
 from ledgerloom.sources.tables import literal_table
 
@@ -370,3 +373,39 @@ def test_a_missing_table_is_no_history(spark):
         publish(now, new_path(spark, "test-missing"), 20230101, "REAL")
     with pytest.raises(ValueError):
         publish(now, new_path(spark, "test-missing"), 20230101, "REAL", describe=lambda df: df)
+
+
+def labels_of(spark, *names):
+    return spark.createDataFrame([(n,) for n in names], "label string")
+
+
+def test_stored_dimension_gives_every_label_one_id(spark, monkeypatch):
+    path = new_path(spark, "test-dimension")
+    rows = lambda df: sorted((r.id, r.label) for r in df.collect())
+    assert rows(keys.store_labels(labels_of(spark, "b", "a", None, "a"), path, "id", "label")) == [(1, "a"), (2, "b")]
+    assert rows(keys.store_labels(labels_of(spark, "b", "a"), path, "id", "label")) == [(1, "a"), (2, "b")]
+    assert len(folders.subfolders(spark, path)) == 1  # a repeated run adds nothing
+    # Another run adds labels between this run's reading and its moving.
+    move = keys.move_folder
+
+    def late(session, source, target):
+        monkeypatch.setattr(keys, "move_folder", move)
+        keys.store_labels(labels_of(spark, "c", "d"), path, "id", "label")
+        return move(session, source, target)
+
+    monkeypatch.setattr(keys, "move_folder", late)
+    got = rows(keys.store_labels(labels_of(spark, "a", "d", "e"), path, "id", "label"))
+    assert got == [(1, "a"), (2, "b"), (3, "c"), (4, "d"), (5, "e")] and rows(keys.stored_dimension(spark, path, "id", "label")) == got
+
+
+def test_stages_go_after_success_only(spark):
+    with stage_scope(spark):
+        done = stage_rows(spark.range(3), "test-scope")
+        assert done.count() == 3
+        path = done.inputFiles()[0].rsplit("/", 1)[0]
+    assert not os.path.exists(path.removeprefix("file://"))
+    with pytest.raises(ValueError):
+        with stage_scope(spark):
+            kept = stage_rows(spark.range(3), "test-scope")
+            raise ValueError
+    assert kept.count() == 3
