@@ -37,6 +37,8 @@ _SEGMENTS = 64
 _CANDIDATE_LOG2 = 24
 POSTINGS_PER_RANGE = 500_000
 HELD_POSTINGS = 1_000_000
+OFTEN = 2 * 16  # level of shingles counted 2**16 times and more
+SPREAD = 64
 _PACKED = ["range", "tokens", "classes", "sizes", "places"]
 _PACK_ROWS = 32  # rows of an Arrow batch of packs
 PAIRS_PER_HUB = 5_000
@@ -80,8 +82,7 @@ def _counted(docs: DataFrame, log2: int, keep: Sequence[str]) -> DataFrame:
                     sizes.append(len(s))
                     all_sets.append(s)
             if all_sets:
-                at, times = np.unique((np.concatenate(all_sets) >> shift).astype(np.int64), return_counts=True)
-                counts[at] += times.astype(np.uint32)
+                np.add.at(counts, (np.concatenate(all_sets) >> shift).astype(np.int64), np.uint32(1))
             own = [batch.column(0), *(pa.array(x, pa.int64()) for x in (classes, sizes, lengths))]
             none = pa.nulls(len(sizes))
             yield pa.RecordBatch.from_arrays([*own, none.cast(pa.int32()), none.cast(pa.binary()), *batch.columns[2:]], names=kind.names)
@@ -134,11 +135,13 @@ def _levels(counted: DataFrame, log2: int) -> np.ndarray:
 
 
 def prefix(s: np.ndarray, levels: np.ndarray, order: int, percent: int) -> np.ndarray:
-    """The first n - ceil(t n) + 1 shingles of a set: rare ones first, ties by a hash of the order."""
+    """The first n - ceil(t n) + 1 shingles of a set: rare ones first, ties by the shingle or, under later orders, a hash of it."""
     size = len(s) - (-(-percent * len(s) // 100)) + 1
-    tie = mixed(s ^ np.uint64(0x5851F42D4C957F2D * (order + 1) & (1 << 64) - 1))
     level = levels[(s >> np.uint64(64 - (len(levels).bit_length() - 1))).astype(np.int64)]
-    # Level, then tie; what agrees in both stays in the order of the shingles, so the order is one for all sets.
+    if not order:  # the set is sorted
+        return s[np.argsort(level, kind="stable")[:size]]
+    tie = mixed(s ^ np.uint64(0x5851F42D4C957F2D * (order + 1) & (1 << 64) - 1))
+    # What agrees in level and tie stays in the order of the shingles, so the order is one for all sets.
     return s[np.argsort(level.astype(np.uint64) << np.uint64(56) | tie >> np.uint64(8), kind="stable")[:size]]
 
 
@@ -147,12 +150,18 @@ def _range_log2(postings: int) -> int:
 
 
 def _posted(docs: DataFrame, levels, percent: int, log2: int) -> DataFrame:
-    """Prefix shingles with class, set size and place, packed by range of shingles."""
+    """Prefix shingles with class, set size and place, packed by range of shingles.
+
+    What the sketch counts very often does not go to its range, where it could be more than a task
+    holds, but is spread over ranges below zero.
+    """
     kinds = (np.uint64, np.int64, np.int32, np.int32)
 
     def packed(held) -> pa.RecordBatch:
         columns = [np.concatenate([h[k] for h in held]).astype(kind) for k, kind in enumerate(kinds)]
-        at = (columns[0] >> np.uint64(64 - log2)).astype(np.uint16)
+        bucket = columns[0] >> np.uint64(64 - (len(levels.value).bit_length() - 1))
+        often = levels.value[bucket.astype(np.int64)] >= OFTEN
+        at = np.where(often, -1 - columns[1] % SPREAD, (columns[0] >> np.uint64(64 - log2)).astype(np.int64)).astype(np.int16)
         order = np.argsort(at, kind="stable")
         ranges, first = np.unique(at[order], return_index=True)
         bounds = [*first.tolist(), len(order)]
@@ -178,77 +187,54 @@ def _posted(docs: DataFrame, levels, percent: int, log2: int) -> DataFrame:
     return docs.select(utf8("text")).mapInArrow(task, ", ".join(f"{c} {'int' if c == 'range' else 'binary'}" for c in _PACKED))
 
 
-def _shared_tokens(posted: DataFrame) -> DataFrame:
-    """(range, shared): the sorted shingles that were posted more than once, by range.
+def _met(posted: DataFrame) -> DataFrame:
+    """The postings (token, class, n, place) of shingles that are posted more than once, as rows.
 
-    Each pack sends a shingle once, however many classes hold it, and says if they are several.
+    Packs of a range meet in a task, which sorts them in memory: a range is a bounded share of the
+    rarer shingles. Postings of frequent shingles pass.
     """
+    kinds = (np.int64, np.int64, np.int32, np.int32)
 
-    def once(batches):
-        for batch in batches:
-            ranges, own, again = batch.column(0), [], []
-            for tokens in batch.column(1).to_pylist():
-                unique, times = np.unique(np.frombuffer(tokens, dtype=np.uint64), return_counts=True)
-                own.append(unique.tobytes())
-                again.append(unique[times > 1].tobytes())
-            yield pa.RecordBatch.from_arrays([ranges, pa.array(own, pa.binary()), pa.array(again, pa.binary())], names=["range", "own", "again"])
-
-    def merged(batches):
-        current, own, again = None, [], []
-
-        def done():
-            tokens = np.sort(np.concatenate(own))
-            shared = np.unique(np.concatenate([tokens[1:][tokens[1:] == tokens[:-1]], *again]))
-            return pa.RecordBatch.from_arrays([pa.array([current], pa.int32()), pa.array([shared.tobytes()], pa.binary())], names=["range", "shared"])
-
-        for batch in batches:
-            for at, a, b in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if at != current:
-                    if current is not None:
-                        yield done()
-                    current, own, again = at, [], []
-                own.append(np.frombuffer(a, dtype=np.uint64))
-                again.append(np.frombuffer(b, dtype=np.uint64))
-        if current is not None:
-            yield done()
-
-    sent = posted.select("range", "tokens").mapInArrow(once, "range int, own binary, again binary")
-    return sent.repartition("range").sortWithinPartitions("range").mapInArrow(merged, "range int, shared binary")
+    def shared(packs) -> pa.RecordBatch:
+        columns = [np.concatenate([np.frombuffer(p[k], dtype=kind) for p in packs]) for k, kind in enumerate(kinds)]
+        order = np.argsort(columns[0], kind="stable")
+        tokens = columns[0][order]
+        same = tokens[1:] == tokens[:-1]
+        keep = order[np.concatenate([same, [False]]) | np.concatenate([[False], same])]
+        return pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in columns], names=["token", "class", "n", "place"])
 
-
-def _met(posted: DataFrame, shared: DataFrame) -> DataFrame:
-    """The postings of shared shingles as rows. Packs meet their range's shingles; nothing is sorted by shingle."""
+    def passed(pack) -> pa.RecordBatch:
+        columns = [pa.array(np.frombuffer(x, dtype=kind)) for x, kind in zip(pack, kinds, strict=True)]
+        return pa.RecordBatch.from_arrays(columns, names=["token", "class", "n", "place"])
 
     def task(batches):
+        current, packs = None, []
         for batch in batches:
-            out = [[], [], [], []]
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                shared = np.frombuffer(row[4], dtype=np.uint64)
-                if not len(shared):
+            for at, *pack in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if at < 0:
+                    yield passed(pack)
                     continue
-                tokens, *rest = (np.frombuffer(x, dtype=k) for x, k in zip(row, (np.uint64, np.int64, np.int32, np.int32), strict=False))
-                at = np.minimum(np.searchsorted(shared, tokens), len(shared) - 1)
-                keep = shared[at] == tokens
-                for column, x in zip(out, (tokens.view(np.int64), *rest), strict=True):
-                    column.append(x[keep])
-            if out[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], names=["token", "class", "n", "place"])
-
-    rows = posted.join(shared, "range").select(*_PACKED[1:], "shared")
+                if at != current:
+                    if packs:
+                        yield shared(packs)
+                    current, packs = at, []
+                packs.append(pack)
+        if packs:
+            yield shared(packs)
+
+    rows = posted.repartition("range").sortWithinPartitions("range")
     return rows.mapInArrow(task, "token bigint, class bigint, n int, place int")
 
 
 def _buckets(docs: DataFrame, levels, percent: int, postings: int) -> DataFrame:
     """Prefix shingles that several classes share, with the place in each prefix and the hub.
 
-    Most shingles are posted once; they are dropped in packs, before anything is grouped by shingle.
+    Most shingles are posted once; they are dropped from packs, before rows are grouped by shingle.
     """
     spark = docs.sparkSession
     bounded_batches(spark, _PACK_ROWS)
-    posted = stored(_posted(docs, levels, percent, _range_log2(postings)), "join-posted")
-    shared = stored(_shared_tokens(posted), "join-shared")
-    met = _met(posted, shared).dropDuplicates(["token", "class", "n"])
-    met = stored(met, "join-met")
+    met = _met(_posted(docs, levels, percent, _range_log2(postings)))
+    met = stored(met.dropDuplicates(["token", "class", "n"]), "join-met")
     bounded_batches(spark)
     # Combined where the rows are read, so that a frequent shingle is one row per task.
     about = met.groupBy("token").agg(

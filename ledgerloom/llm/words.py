@@ -121,6 +121,14 @@ def scan(texts: list[bytes], prefixes: tuple[int, ...] = (), suffixes: tuple[int
     return words
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted distinct values; for many short arrays several times faster than ``np.unique``."""
+    values = np.sort(values)
+    keep = np.ones(len(values), dtype=bool)
+    np.not_equal(values[1:], values[:-1], out=keep[1:])
+    return values[keep]
+
+
 def rolled_shingles(words: Words, size: int = SHINGLE_WORDS) -> np.ndarray:
     """The hash of the ``size`` words from each place on, whatever text they belong to."""
     h = words.hash
@@ -145,7 +153,7 @@ def shingle_sets(words: Words, size: int = SHINGLE_WORDS, only: int | None = Non
     out = []
     for a, b in bounds:
         if b - a >= size:
-            out.append(np.unique(rolled[a : b - size + 1]))
+            out.append(distinct(rolled[a : b - size + 1]))
         elif b > a:
             factors = np.array([pow(_MULTIPLIER, k + 3, 1 << 64) for k in range(b - a)], dtype=np.uint64)
             out.append(mixed((h[a:b] * factors).sum(dtype=np.uint64, keepdims=True) + np.uint64(b - a)))
