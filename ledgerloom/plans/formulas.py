@@ -74,16 +74,35 @@ def _expression(formula: Formula, names: Sequence[str], scenario: str) -> str:
     return f"cast({text} as {_TYPE})"
 
 
-def apply_formulas(df: DataFrame, formulas: Sequence[Formula], scenario: str = "scenario_id") -> DataFrame:
+def needed(formulas: Sequence[Formula], wanted: Sequence[str]) -> list[Formula]:
+    """The formulas that the wanted metrics depend on, in order.
+
+    The dependency graph is walked from the last definition back: a definition is needed if a metric
+    wanted after it, or an operand of a needed formula after it, means just this one.
+    """
+    open_, kept = set(wanted), []
+    for formula in reversed(formulas):
+        if formula.name in open_:
+            open_.discard(formula.name)  # earlier definitions of this name mean something else
+            open_ |= set(formula.inputs)
+            kept.append(formula)
+    return kept[::-1]
+
+
+def apply_formulas(
+    df: DataFrame, formulas: Sequence[Formula], scenario: str = "scenario_id", wanted: Sequence[str] | None = None
+) -> DataFrame:
     """Add all metrics with one selection whose expressions refer to each other by name.
 
     Formulas apply in order: an operand means its latest definition so far. Defining a name twice
     needs ``redefine=True``; an operand that is neither a column nor defined earlier is an error,
     which also rules out cycles. Spark stacks one projection per dependency level, where a chain of
-    added columns would be analysed once per metric.
+    added columns would be analysed once per metric. With ``wanted`` only these metrics are added,
+    and only formulas that they depend on enter the plan.
     """
     current = {c: c for c in df.columns}
     selected = []
+    use = None if wanted is None else {id(f) for f in needed(formulas, wanted)}
     for number, formula in enumerate(formulas):
         if formula.name in current and not formula.redefine:
             raise ValueError(f"metric defined twice: {formula.name}")
@@ -92,8 +111,14 @@ def apply_formulas(df: DataFrame, formulas: Sequence[Formula], scenario: str = "
             raise ValueError(f"{formula.name} uses metrics not defined before it: {unknown}")
         names = [current[n] for n in formula.inputs]
         stored = f"__v{number}_{formula.name}" if formula.name in current else formula.name
-        selected.append(f"{_expression(formula, names, scenario)} AS `{stored}`")
+        if use is None or id(formula) in use:
+            selected.append(f"{_expression(formula, names, scenario)} AS `{stored}`")
         current[formula.name] = stored
+    unknown = [n for n in wanted or () if n not in current]
+    if unknown:
+        raise ValueError(f"wanted metrics that nothing defines: {unknown}")
     result = df.selectExpr("*", *selected)
-    order = dict.fromkeys([*df.columns, *[f.name for f in formulas]])
-    return result.selectExpr(*[f"`{current[n]}` AS `{n}`" for n in order])
+    order = dict.fromkeys([*df.columns, *([f.name for f in formulas] if wanted is None else wanted)])
+    # A column that an unwanted formula defines anew keeps its own value.
+    held = set(result.columns)
+    return result.selectExpr(*[f"`{current[n] if current[n] in held else n}` AS `{n}`" for n in order])

@@ -38,11 +38,16 @@ class Month:
 
 
 def build_metrics(
-    month: Month, masters: tuple[DataFrame, DataFrame, DataFrame], dimension: DataFrame | str, costs: DataFrame | None = None
+    month: Month,
+    masters: tuple[DataFrame, DataFrame, DataFrame],
+    dimension: DataFrame | str,
+    costs: DataFrame | None = None,
+    asked: Sequence[str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """The extended dimension and the wide metrics of the month, formulas included.
 
-    A ``dimension`` given by its path is one that is stored: new labels are appended to it.
+    A ``dimension`` given by its path is one that is stored: new labels are appended to it. With
+    ``asked`` only formulas that these metrics need are computed; names that are no metric are ignored.
     """
     rows = union_masters(month.mode, *masters).where(F.col("period") == str(month.period))
     labels = label_rows(rows).select("kpi_label")
@@ -55,7 +60,12 @@ def build_metrics(
         {"period": month.period},
     )
     chosen = select_scenarios(fact, month.mode, "fact")
-    return known, apply_formulas(build_wide(chosen, known, month.labels, costs, month.noise), month.formulas)
+    wide = build_wide(chosen, known, month.labels, costs, month.noise)
+    wanted = None
+    if asked is not None:
+        defined = {f.name for f in month.formulas}
+        wanted = [name for name in dict.fromkeys(asked) if name in defined]
+    return known, apply_formulas(wide, month.formulas, wanted=wanted)
 
 
 def run_month(
@@ -77,9 +87,11 @@ def run_month(
 
 
 def _publish_month(month, masters, dimension, mapping, table, costs):
-    known, wide = build_metrics(month, masters, dimension, costs)
+    # The mapping is configuration, a row per report row; its metrics are those worth computing.
+    mapped = {r[0] for r in mapping.select("metric").distinct().collect()}
+    known, wide = build_metrics(month, masters, dimension, costs, [*mapped, month.rate_acc, month.rate_month])
     dated = wide.withColumn("period_date", first_day(F.col("period")))
-    metrics = [c for c in dated.columns if c not in ("period", "period_date", "scenario_id")]
+    metrics = [c for c in dated.columns if c not in ("period", "period_date", "scenario_id") and c in mapped]
     rows = report_rows(dated, mapping, metrics, month.rate_acc, month.rate_month)
     if "metric" not in month.variant.carried:
         rows = rows.drop("metric")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.plans.currency import currency_block, pass_through, rewrite_rate_concept
 from ledgerloom.plans.facts import MASTER_COLUMNS, build_fact, union_masters
-from ledgerloom.plans.formulas import apply_formulas, ratio, total
+from ledgerloom.plans.formulas import apply_formulas, needed, ratio, total
 from ledgerloom.plans import keys
 from ledgerloom.plans.month import Month, run_month
 from ledgerloom.plans.periods import (
@@ -409,3 +409,42 @@ def test_stages_go_after_success_only(spark):
             kept = stage_rows(spark.range(3), "test-scope")
             raise ValueError
     assert kept.count() == 3
+
+
+def test_only_wanted_formulas_enter_the_plan(spark):
+    formulas = [
+        total("a", "x"), total("b", "a", "y"), total("a", "a", "a", redefine=True), total("c", "a"), total("unused", "b"), ratio("r", "c", "b"),
+        total("x", "y", redefine=True),
+    ]
+    assert [f.name for f in needed(formulas, ["c"])] == ["a", "a", "c"]
+    assert [f.name for f in needed(formulas, ["b"])] == ["a", "b"]
+    assert [f.name for f in needed(formulas, ["x"])] == ["x"] and needed(formulas, ["y"]) == []
+    df = spark.createDataFrame([(Decimal(3), Decimal(5), Decimal(7), 1)], "x decimal(24,10), y decimal(24,10), z decimal(24,10), scenario_id int")
+    every = apply_formulas(df, formulas).first().asDict()
+    for wanted in (["c"], ["r", "b"], ["x", "r"], []):
+        got = apply_formulas(df, formulas, wanted=wanted)
+        assert got.columns == list(dict.fromkeys([*df.columns, *wanted]))
+        assert {k: v for k, v in got.first().asDict().items() if k in wanted} == {k: every[k] for k in wanted}
+    assert apply_formulas(df, formulas, wanted=["c"]).first()["x"] == 3  # its new definition is not asked for
+    plan = apply_formulas(df, formulas, wanted=["r"]).select("r")._jdf.queryExecution().optimizedPlan().toString()
+    assert "unused" not in plan and "z#" not in plan.split("LocalRelation")[0].split("LogicalRDD")[0]
+    with pytest.raises(ValueError, match="nothing defines"):
+        apply_formulas(df, formulas, wanted=["nope"])
+
+
+def test_218_formulas_run_as_generated_code(spark):
+    """More formulas than the business has, several levels deep, where a failed compilation would be an error."""
+    base = [f"b{k}" for k in range(213)]
+    df = spark.range(0, 2_000, 1, 4).select(F.lit(1).alias("scenario_id"), *[(F.col("id") + k).cast("decimal(24,10)").alias(c) for k, c in enumerate(base)])
+    formulas, names = [], list(base)
+    for k in range(218):
+        operands = [names[(7 * k + 31 * j) % len(names)] for j in range(2 + k % 9)]
+        formulas.append(ratio(f"f{k}", *operands[:2]) if k % 10 == 9 else total(f"f{k}", *operands))
+        names.append(f"f{k}")
+    spark.conf.set("spark.sql.codegen.factoryMode", "CODEGEN_ONLY")
+    spark.conf.set("spark.sql.codegen.fallback", "false")
+    try:
+        apply_formulas(df, formulas).write.format("noop").mode("overwrite").save()
+    finally:
+        spark.conf.unset("spark.sql.codegen.factoryMode")
+        spark.conf.unset("spark.sql.codegen.fallback")
