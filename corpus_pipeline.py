@@ -1,7 +1,14 @@
-"""A corpus pipeline: five stages over ``documents``, each one operator whose decisions take effect."""
+"""A corpus pipeline: five stages over ``documents``, each one operator whose decisions take effect.
+
+Null and empty texts, null and repeated ids and empty tables pass every stage; other columns keep their
+values, whatever they are called. Rows without id are never dropped for being like others or for holding a
+benchmark item, since these decisions name documents by their id.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,20 +24,35 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _with_own(docs: DataFrame, names: tuple[str, ...], stage: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The columns of ``docs`` after ``stage``; those called like what the stage adds keep their values."""
+    aside = {c: f"__own_{c}" for c in docs.columns if c.lower() in names}
+    out = stage(docs.withColumnsRenamed(aside))
+    return out.select(*[F.col(f"`{aside.get(c, c)}`").alias(c) for c in docs.columns])
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier predicts to be good; the classifier is fitted on the given ones."""
-    trees = quality.train(docs, _table(spark, sf_dir, "labels"), in_training(F.col("doc_id"), 3, 1))
-    return quality.score(docs, trees).where("predicted = 1").select(docs.columns)
+
+    def stage(own: DataFrame) -> DataFrame:
+        trees = quality.train(own, _table(spark, sf_dir, "labels"), in_training(F.col("doc_id"), 3, 1))
+        return quality.score(own, trees).where("predicted = 1")
+
+    return _with_own(docs, ("score", "predicted"), stage)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without lines that a smaller document holds; n_chars follows the text."""
-    kept = dedup_lines(docs)
-    if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        changed = F.when(F.col("n_dropped") > 0, F.length("text")).otherwise(F.col("n_chars"))
-        kept = kept.withColumn("n_chars", changed.cast(kind))
-    return kept.select(docs.columns)
+
+    def stage(own: DataFrame) -> DataFrame:
+        kept = dedup_lines(own)
+        if "n_chars" in own.columns:
+            kind = own.schema["n_chars"].dataType
+            changed = F.when(F.col("n_dropped") > 0, F.length("text")).otherwise(F.col("n_chars"))
+            kept = kept.withColumn("n_chars", changed.cast(kind))
+        return kept
+
+    return _with_own(docs, ("n_lines", "n_dropped", "kept_sha256"), stage)
 
 
 def similar_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
