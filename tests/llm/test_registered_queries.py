@@ -94,3 +94,22 @@ def test_pipeline_matches_brute_force(spark, sf_dir):
     full = [r for r in packed if "full" in r[3]]
     assert sorted(r[:3] for r in full) == sorted((k, p, 2048) for k, n in total.items() for p in range((n - 1) // 2048))
     assert len({r[3] for r in full}) == len(full) and all(r[4] == 0 for r in full)
+
+
+def test_pipeline_of_odd_rows(spark, sf_dir):
+    given = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    clash = ["score", "predicted", "n_lines", "n_dropped", "kept_sha256", "n_shingles", "component_id", "class", "item_id", "bin_id"]
+    odd = spark.createDataFrame([(None, None, None, None, None), (None, "", "en", "s", 0), (5, None, "en", None, 0)], given.schema)
+    docs = given.unionByName(odd).unionByName(given.limit(3)).withColumns({c: F.lit(f"mine {c}") for c in clash})
+    plain = given.unionByName(odd).unionByName(given.limit(3))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = spark.createDataFrame(stage(spark, docs, sf_dir).toArrow())
+        plain = spark.createDataFrame(stage(spark, plain, sf_dir).toArrow())
+        assert docs.columns == [*given.columns, *clash], name
+        assert docs.where(" or ".join(f"{c} <> 'mine {c}' or {c} is null" for c in clash)).isEmpty(), name
+        assert sorted(docs.select(given.columns).collect(), key=str) == sorted(plain.collect(), key=str), name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).count() >= docs.count()
+    docs = given.limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        docs = spark.createDataFrame(stage(spark, docs, sf_dir).toArrow())
+        assert docs.count() == 0
