@@ -26,7 +26,7 @@ _TURN = re.compile(r"### ((?:[^\\:#<]|\\.)*): ((?:[^\\#<]|\\.)*)</turn>\n", re.D
 def folded(events: DataFrame) -> DataFrame:
     """(conv_id, message, role, text): the final state of every message.
 
-    ``events`` has conv_id, message (any sortable key, in the order of turns), seq, kind, role, text. By seq,
+    ``events`` has conv_id, message and seq (any sortable keys; messages in the order of turns), kind, role, text. By seq,
     ``start`` sets the role, ``delta`` appends its text, ``edit`` replaces the text so far and ``regenerate``
     clears it. Events of one seq are taken by kind and text. Null text counts as empty, a message
     without any role has the empty role, unknown kinds are an error. Null conv_id is a conversation.
@@ -174,27 +174,46 @@ DELTA_CHARS = 512
 
 
 def events_of(conversations: DataFrame, delta_chars: int = DELTA_CHARS) -> DataFrame:
-    """The log a chat service would have kept: per row a start and deltas of ``delta_chars`` code points.
+    """The log a chat service would have kept of the rows: streamed deltas, edits and regenerations.
 
-    A message's key is its turn and, where rows share a turn, their place by role and text.
+    A message's key is its turn and, where rows share a turn, their place by role and text. By turn and
+    place, every fourth message is streamed as it is; the next is streamed wrongly and regenerated; of
+    the next a wrong version is streamed, which an edit replaces after the whole conversation; of the last the
+    first half is edited before the rest arrives. ``seq`` orders the events of a conversation: late edits
+    last, then turn, place and step. Wrong versions are the text backwards. Deltas have ``delta_chars`` code points.
     """
     from pyspark.sql import Window
 
     tied = Window.partitionBy("conv_id", "turn").orderBy("role", "text")
     rows = conversations.select(F.col("conv_id").cast("bigint"), F.col("turn").cast("bigint"), "role", "text")
     rows = rows.withColumn("message", F.struct("turn", F.row_number().over(tied).alias("copy")))
-    size = F.coalesce(F.length("text"), F.lit(0))
-    begins = F.when(size > 0, F.sequence(F.lit(1), size, F.lit(delta_chars))).otherwise(F.array().cast("array<int>"))
-    deltas = F.transform(
-        begins,
-        lambda b: F.struct(
-            b.cast("bigint").alias("seq"), F.lit("delta").alias("kind"), F.lit(None).cast("string").alias("role"),
-            F.substring(F.col("text"), b, F.lit(delta_chars)).alias("text"),
+    rows = rows.withColumn("text", F.coalesce("text", F.lit("")))
+    half = F.floor(F.length("text") / 2).cast("int")
+    none, wrong = F.lit(None).cast("string"), F.reverse("text")
+
+    def event(step, kind: str, text, role=none, late: int = 0):
+        fields = [F.lit(late).alias("late"), F.col("message.turn").alias("turn"), F.col("message.copy").alias("copy")]
+        seq = F.struct(*fields, step.cast("bigint").alias("step"))
+        return F.struct(seq.alias("seq"), F.lit(kind).alias("kind"), role.alias("role"), text.alias("text"))
+
+    def deltas(text, begin: int):
+        """Steps from ``begin`` on; long texts have more of them than short ones, never as many as there are between begins."""
+        size = F.length(text)
+        starts = F.when(size > 0, F.sequence(F.lit(1), size, F.lit(delta_chars))).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda b: event(b + F.lit(begin).cast("bigint"), "delta", F.substring(text, b, F.lit(delta_chars))))
+
+    later = 1 << 33
+    start = F.array(event(F.lit(0), "start", none, F.col("role")))
+    rule = F.pmod(F.coalesce("message.turn", F.lit(0)) + F.col("message.copy"), F.lit(4))
+    kinds = [
+        F.concat(start, deltas(F.col("text"), 0)),
+        F.concat(start, deltas(wrong, 0), F.array(event(F.lit(later), "regenerate", none)), deltas(F.col("text"), later)),
+        F.concat(start, deltas(wrong, 0), F.array(event(F.lit(0), "edit", F.col("text"), late=1))),
+        F.concat(
+            start, deltas(F.substring(wrong, F.lit(1), half), 0), F.array(event(F.lit(later), "edit", F.substring(F.col("text"), F.lit(1), half))),
+            deltas(F.substring(F.col("text"), half + 1, F.length("text")), later),
         ),
-    )
-    start = F.struct(
-        F.lit(0).cast("bigint").alias("seq"), F.lit("start").alias("kind"), F.col("role").alias("role"),
-        F.lit(None).cast("string").alias("text"),
-    )
-    events = rows.select("conv_id", "message", F.inline(F.concat(F.array(start), deltas)))
+    ]
+    log = F.when(rule == 1, kinds[0]).when(rule == 2, kinds[1]).when(rule == 3, kinds[2]).otherwise(kinds[3])
+    events = rows.select("conv_id", "message", F.inline(log))
     return events.select("conv_id", "message", "seq", "kind", "role", "text")

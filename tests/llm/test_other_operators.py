@@ -242,3 +242,18 @@ def test_rows_become_events_and_back(spark):
     table = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
     got = sorted((r.conv_id, r.role, r.text) for r in chat.folded(chat.events_of(table)).collect())
     assert got == sorted((c, r or "", t or "") for c, _, r, t in rows)
+
+
+def test_every_kind_of_event_is_derived(spark):
+    rows = [(7, turn, "user" if turn % 2 else "assistant", f"{turn}: " + "é<x> " * (turn * 40)) for turn in range(8)]
+    table = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    events = chat.events_of(table, 16)
+    assert {r.kind for r in events.select("kind").distinct().collect()} == {"start", "delta", "edit", "regenerate"}
+    log = [r.asDict(recursive=True) for r in events.collect()]
+    assert len({tuple(r["seq"].values()) for r in log}) == len(log)  # one sequence for the whole conversation
+    state = {}
+    for r in sorted(log, key=lambda r: tuple(r["seq"].values())):
+        key, text = r["message"]["turn"], r["text"] or ""
+        state[key] = {"start": "", "delta": state.get(key, "") + text, "edit": text, "regenerate": ""}[r["kind"]]
+    assert state == {turn: text for _, turn, _, text in rows}
+    assert sorted((r.message.turn, r.role, r.text) for r in chat.folded(events).collect()) == sorted((t, r, x) for _, t, r, x in rows)
