@@ -368,8 +368,9 @@ def _results(costs):
     known = costs.select("period", "scenario_id").distinct().withColumn("year", year_of_month(F.col("period")))
     fx = known.join(_load_rates(spark), "year").select("period", "scenario_id", "rate")
     wanted = any_of([{"kpi": "imp_large", "unit_id": 51, "data_type": 1}])
-    large = costs.where(wanted & (F.col("period") % 100 != 5))
-    months = month_from_fx_cumulative(large, fx, ["scenario_id"], "period", "amount", "rate")
+    # May has no rate for results, so that it has none and June lacks its predecessor.
+    valued = fx.where(F.col("period") % 100 != 5)
+    months = month_from_fx_cumulative(costs.where(wanted), valued, ["scenario_id"], "period", "amount", "rate")
     return months.withColumnRenamed("amount", "result"), fx
 
 

@@ -152,7 +152,10 @@ def create_insert(spark, sf_dir):
         F.concat(F.lower(F.translate("c_name", "#", "")), F.lit("@example.com")).alias("email"),
     )
     name = f"users_{uuid.uuid4().hex}"
-    return create_table_from(users, name, f"{shared_dir(spark)}/ledgerloom/{name}")
+    path = f"{shared_dir(spark)}/ledgerloom/{name}"
+    schema = create_table_from(users, name, path).schema
+    spark.sql(f"DROP TABLE {name}")  # its files stay where they are
+    return spark.read.schema(schema).parquet(path)
 
 
 @query(
