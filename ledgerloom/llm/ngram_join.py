@@ -165,7 +165,8 @@ def _posted(docs: DataFrame, levels, percent: int, log2: int) -> DataFrame:
         order = np.argsort(at, kind="stable")
         ranges, first = np.unique(at[order], return_index=True)
         bounds = [*first.tolist(), len(order)]
-        cut = [[c[order][a:b].tobytes() for a, b in zip(bounds, bounds[1:], strict=False)] for c in columns]
+        columns = [c[order] for c in columns]
+        cut = [[c[a:b].tobytes() for a, b in zip(bounds, bounds[1:], strict=False)] for c in columns]
         return pa.RecordBatch.from_arrays([pa.array(ranges.astype(np.int32)), *(pa.array(c, pa.binary()) for c in cut)], names=_PACKED)
 
     def task(batches):
