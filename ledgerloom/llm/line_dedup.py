@@ -19,6 +19,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ledgerloom.llm.common import bounded_batches, stored, utf8
 from ledgerloom.llm.filters import contains, seen_filters
+from ledgerloom.session import new_path
 
 MIN_KEY_CHARS = 10
 FILTER_LOG2_BITS = 26  # 8 MB a filter
@@ -85,7 +86,7 @@ def repeated_keys(
     ranges = max(1, math.ceil(total / keys_per_filter))
     if ranges > 1:
         keys = stored(keys.withColumn("range", F.pmod("low", F.lit(ranges))), "line-ranges", "range")
-    suspects = None
+    suspects = new_path(spark, "line-suspects")
     for k in range(ranges):
         part = keys.where(F.col("range") == k).drop("range") if ranges > 1 else keys
         twice = spark.sparkContext.broadcast(seen_filters(part.select("high"), log2_bits)[1])
@@ -95,9 +96,10 @@ def repeated_keys(
                 high = batch.column(1).to_numpy().view(np.uint64)
                 yield batch.filter(pa.array(contains(twice.value, log2_bits, high)))
 
-        found = part.mapInArrow(probe, part.schema)
-        suspects = found if suspects is None else suspects.unionByName(found)
-    suspects = stored(suspects, "line-suspects")
+        # Written before the next range's filter is made: one filter is held at a time.
+        part.mapInArrow(probe, part.schema).write.mode("append").parquet(suspects)
+        twice.unpersist()
+    suspects = spark.read.schema(keys.drop("range").schema).parquet(suspects)
     held = (
         suspects.groupBy("high", "low")
         .agg(F.min("doc_id").alias("keeper"), F.max("doc_id").alias("__last"))
