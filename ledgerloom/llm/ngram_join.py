@@ -156,11 +156,12 @@ def _posted(docs: DataFrame, levels, percent: int, log2: int) -> DataFrame:
     holds, but is spread over ranges below zero.
     """
     kinds = (np.uint64, np.int64, np.int32, np.int32)
+    frequent, most = OFTEN, HELD_POSTINGS
 
     def packed(held) -> pa.RecordBatch:
         columns = [np.concatenate([h[k] for h in held]).astype(kind) for k, kind in enumerate(kinds)]
         bucket = columns[0] >> np.uint64(64 - (len(levels.value).bit_length() - 1))
-        often = levels.value[bucket.astype(np.int64)] >= OFTEN
+        often = levels.value[bucket.astype(np.int64)] >= frequent
         at = np.where(often, -1 - columns[1] % SPREAD, (columns[0] >> np.uint64(64 - log2)).astype(np.int64)).astype(np.int16)
         order = np.argsort(at, kind="stable")
         ranges, first = np.unique(at[order], return_index=True)
@@ -179,7 +180,7 @@ def _posted(docs: DataFrame, levels, percent: int, log2: int) -> DataFrame:
                 head = prefix(s, levels.value, 0, percent)
                 held.append((head, np.full(len(head), own), np.full(len(head), len(s)), np.arange(len(head))))
                 size += len(head)
-                if size >= HELD_POSTINGS:
+                if size >= most:
                     yield packed(held)
                     held, size = [], 0
         if held:

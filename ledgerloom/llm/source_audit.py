@@ -47,6 +47,7 @@ def term_runs(text: bytes):
 def counted(docs: DataFrame) -> DataFrame:
     """(lang, source, term, n, docs) summed as far as a task can hold them; rows repeat across tasks."""
     schema = pa.schema([("lang", pa.string()), ("source", pa.string()), ("term", pa.string()), ("n", pa.int64()), ("docs", pa.int64())])
+    most = HELD_KEYS
 
     def task(batches):
         held, keys = {}, 0
@@ -68,7 +69,7 @@ def counted(docs: DataFrame) -> DataFrame:
                     own.update(run)
                 seen.update(own)
                 keys += len(n)
-                if keys > HELD_KEYS:
+                if keys > most:
                     yield from rows()
                     held, keys = {}, 0
         yield from rows()

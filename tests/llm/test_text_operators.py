@@ -8,10 +8,11 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerloom.llm import ngram_join
 from ledgerloom.llm.decontamination import contaminated
 from ledgerloom.llm.line_dedup import dedup_lines, repeated_keys
 from ledgerloom.llm.ngram_join import similar_groups
-from ledgerloom.llm.packing import measured, pack
+from ledgerloom.llm.packing import measured, pack, sizes_of
 
 DOCS = "doc_id bigint, text string, source string, score string, label int, n_lines int, class string"
 
@@ -195,16 +196,30 @@ def test_near_copies_do_not_share_a_bin(spark):
     texts = [*near, near[0].upper(), *(" ".join(f"x{k}-{i}" for i in range(60)) for k in range(6)), "", None]
     rows = [(k, text) for k, text in enumerate(texts)] + [(None, near[3]), (None, "only here twice"), (None, "only here twice")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("source", F.lit(None).cast("string"))
-    got = pack(docs, 400, groups=similar_groups(docs)).collect()
-    assert len(got) == len(rows)
-    bins = defaultdict(list)
-    for r in got:
-        bins[r.bin_id].append((r.doc_id, r.n_tokens))
-    # The near copies 0 to 6 and the row of 61 tokens without id are one cluster.
-    for held in bins.values():
-        assert sum((k is None and n == 61) or (k is not None and k < 7) for k, n in held) <= 1
-        assert held.count((None, 4)) <= 1
-    assert len(bins) == 8
+    whole = sizes_of(similar_groups(docs, keep=["source"]))
+    assert sorted(((r.doc_id, r.n_tokens) for r in whole.collect()), key=str) == sorted(((k, len(words(t)) + 1) for k, t in rows), key=str)
+    for packed in (pack(docs, 400, groups=similar_groups(docs)), pack(docs, 400, sizes=whole)):
+        got = packed.collect()
+        assert len(got) == len(rows)
+        bins = defaultdict(list)
+        for r in got:
+            bins[r.bin_id].append((r.doc_id, r.n_tokens))
+        # The near copies 0 to 6 and the row of 61 tokens without id are one cluster.
+        for held in bins.values():
+            assert sum((k is None and n == 61) or (k is not None and k < 7) for k, n in held) <= 1
+            assert held.count((None, 4)) <= 1
+        assert len(bins) == 8
+
+
+def test_frequent_shingles_pass_their_range(spark, rows, monkeypatch):
+    docs = spark.createDataFrame(rows, DOCS)
+    columns = ["doc_id", "n_shingles", "component_id"]
+    want = sorted(similar_groups(docs).select(columns).collect(), key=str)
+    for often, held, per_range in ((0, 10, 5), (6, 50, 1 << 20)):
+        monkeypatch.setattr(ngram_join, "OFTEN", often)
+        monkeypatch.setattr(ngram_join, "HELD_POSTINGS", held)
+        monkeypatch.setattr(ngram_join, "POSTINGS_PER_RANGE", per_range)
+        assert sorted(similar_groups(docs).select(columns).collect(), key=str) == want
 
 
 def test_empty_tables(frame):
