@@ -60,8 +60,10 @@ def convert_units(
     """One row per fact row with a column ``attribute_unit`` per wanted pair.
 
     Instead of turning the fact into rows and back, which would shuffle it several times over, the
-    factors are turned into one row per business unit and joined to the fact, which keeps its
-    place. A pair without a factor is null. Factor and offset of a pair are one value: several of them for
+    factors are turned into one row per business unit and sent to the tasks of the fact, which keeps
+    its place. Spark's size check cannot see how few they are: it multiplies the sizes of the
+    configuration tables, and would shuffle the fact into as many tasks as there are business units.
+    A pair without a factor is null. Factor and offset of a pair are one value: several of them for
     a business unit, or a configured pair that is not wanted, are an error when the query runs.
     """
     named = F.concat_ws(" in ", "attribute_name", "to_unit")
@@ -83,7 +85,7 @@ def convert_units(
         return checked.when(~low.eqNullSafe(high), F.raise_error(several)).otherwise(low)
 
     per_unit = found.select("id_bu", *[single(a, u).alias(f"__p_{a}_{u}") for a, u in wanted])
-    joined = fact.join(per_unit, "id_bu", "left")
+    joined = fact.join(F.broadcast(per_unit), "id_bu", "left")
     return joined.select(
         *fixed,
         *[
