@@ -83,3 +83,23 @@ def build_fact(masters: DataFrame, dimension: DataFrame, process_codes: dict | N
         F.lit(0).alias("computed"),
     )
     return dedup_subset(typed, FACT_KEY)
+
+
+def keyed_amounts(masters: DataFrame, process_codes: dict | None = None) -> DataFrame:
+    """The business keys of the fact, each once, with the label in place of the id it has in a dimension.
+
+    For readers of nothing but keys and amounts: no columns beside the key are carried or settled, so
+    rows are made distinct by hash, without a sort, and before they meet the dimension. Labels
+    that a dimension lacks are still apart here; in the fact they share the null id.
+    """
+    rows = masters.withColumn("business_unit", clean_unit("business_unit"))
+    return rows.select(
+        F.col("period").try_cast("int").alias("period"),
+        fact_scenario_id("scenario").alias("scenario_id"),
+        "business_unit",
+        "country",
+        code_of("process", process_codes or PROCESS_CODES, OTHER_PROCESS).alias("process_id"),
+        composite_label("business_unit", "kpi_name", "product").alias("kpi_label"),
+        "measure_unit",
+        F.col("value").try_cast(SOURCE_MONEY).alias("value"),
+    ).distinct()

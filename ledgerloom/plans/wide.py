@@ -28,9 +28,30 @@ def build_wide(
     """
     rows = fact.dropDuplicates([c for c in fact.columns if c != "record_id"])
     summed = rows.groupBy("period", "scenario_id", "kpi_id").agg(F.sum("value").alias("value"))
+    return _named(summed, "kpi_id", dimension, labels, costs, noise)
+
+
+def build_wide_of_keys(
+    amounts: DataFrame,
+    dimension: DataFrame,
+    labels: Mapping[str, str],
+    costs: DataFrame | None = None,
+    noise: str | None = None,
+) -> DataFrame:
+    """What ``build_wide`` gives, from the distinct business keys (``keyed_amounts``) in place of the fact.
+
+    A dimension gives each of its labels an id of its own, so amounts can be summed per full label;
+    labels that it lacks take no part, like the fact's null ids.
+    """
+    summed = amounts.groupBy("period", "scenario_id", "kpi_label").agg(F.sum("value").alias("value"))
+    return _named(summed, "kpi_label", dimension, labels, costs, noise)
+
+
+def _named(
+    summed: DataFrame, key: str, dimension: DataFrame, labels: Mapping[str, str], costs: DataFrame | None, noise: str | None
+) -> DataFrame:
     label = F.col("kpi_label") if noise is None else strip_pattern("kpi_label", noise)
-    known = dimension.select("kpi_id", label.alias("label"))
-    labelled = summed.join(known, "kpi_id")
+    labelled = summed.join(dimension.select(key, label.alias("label")), key)
     keys = ["period", "scenario_id"]
     wide = dictionary_projection(pivot_sum(labelled, keys, "label", "value", list(labels)), keys, labels)
     return wide if costs is None else wide.join(costs, keys, "left")
